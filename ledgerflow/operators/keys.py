@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 256
@@ -20,8 +20,8 @@ def dense_key(
     1. The values with the smallest hashes form a uniform sample of fixed
        size; sorted, they cut the column into ordered buckets.
     2. Rows are numbered inside their bucket, all buckets in parallel.
-    3. A running total over the bucket sizes (at most ``buckets`` rows, hence
-       the broadcast) gives the offset of each bucket.
+    3. The sizes of the buckets before it (at most ``buckets`` numbers, hence
+       the list and the broadcast) give the offset of each bucket.
 
     The cuts only balance the work: the numbering is the same whatever the
     sample, the partitioning or the number of retries.
@@ -40,17 +40,18 @@ def dense_key(
         .drop("_cuts")
     )
 
-    running = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        bucketed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_bucket", F.coalesce(F.sum("_rows").over(running), F.lit(0)).alias("_offset"))
-    )
+    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    listed = sizes.agg(F.collect_list(F.struct("_bucket", "_rows")).alias("_sizes"))
+    offsets = listed.select(F.inline(F.transform("_sizes", _with_offset)))
     inside = Window.partitionBy("_bucket").orderBy(order_col)
     numbered = bucketed.withColumn("_position", F.row_number().over(inside))
     key = F.lit(start - 1) + F.col("_offset") + F.col("_position")
     return numbered.join(F.broadcast(offsets), "_bucket").select(
         key.cast("bigint").alias(name), *df.columns
     )
+
+
+def _with_offset(bucket: Column) -> Column:
+    before = F.filter("_sizes", lambda other: other["_bucket"] < bucket["_bucket"])
+    offset = F.aggregate(before, F.lit(0).cast("bigint"), lambda total, x: total + x["_rows"])
+    return F.struct(bucket["_bucket"].alias("_bucket"), offset.alias("_offset"))

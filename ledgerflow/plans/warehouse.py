@@ -27,6 +27,11 @@ class Warehouse:
         return {name: df for name, df in self.mart.items() if name.startswith("fact_")}
 
 
+def load_raw(spark: SparkSession, sources: Tables, root: str) -> Tables:
+    """Full reload of the all-text raw tables from their extracts."""
+    return publish(spark, f"{root}/raw", sources)
+
+
 def build_staging(spark: SparkSession, raw: Tables, root: str) -> Tables:
     return publish(spark, f"{root}/staging", staging.stage_all(raw))
 
@@ -52,14 +57,16 @@ def build_facts(spark: SparkSession, stg: Tables, dims: Tables, root: str) -> Ta
     )
 
 
-def build(spark: SparkSession, raw: Tables, root: str) -> Warehouse:
+def build(spark: SparkSession, sources: Tables, root: str) -> Warehouse:
     """Every layer reads the published files of the one before, not its lineage."""
+    raw = load_raw(spark, sources, root)
     stg = build_staging(spark, raw, root)
     dims = build_dimensions(spark, stg, root)
     return Warehouse(raw, stg, dims | build_facts(spark, stg, dims, root))
 
 
-def load(spark: SparkSession, raw: Tables, root: str) -> Warehouse:
+def load(spark: SparkSession, root: str) -> Warehouse:
     """Current version of a warehouse built earlier."""
-    mart = read_published(spark, f"{root}/dimensions") | read_published(spark, f"{root}/facts")
-    return Warehouse(raw, read_published(spark, f"{root}/staging"), mart)
+    layers = ("raw", "staging", "dimensions", "facts")
+    raw, stg, dims, facts_ = (read_published(spark, f"{root}/{layer}") for layer in layers)
+    return Warehouse(raw, stg, dims | facts_)

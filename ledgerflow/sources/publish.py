@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,17 +42,26 @@ def publish(
     tables: dict[str, DataFrame],
     verify: Callable[[dict[str, DataFrame]], None] | None = None,
     partition_by: dict[str, list[str]] | None = None,
+    parallel: int = 4,
 ) -> dict[str, DataFrame]:
-    """Write, verify, then switch. Returns the published tables."""
+    """Write, verify, then switch. Returns the published tables.
+
+    The tables of a layer do not depend on each other: ``parallel`` of them
+    are submitted at a time, so the tail of one job overlaps the next.
+    """
     current = current_version(spark, root)
     sequence = current[0] + 1 if current else 1
     folder = f"{root}/v{sequence}-{uuid.uuid4().hex[:12]}"
-    for name, df in tables.items():
-        writer = df.write.mode("errorifexists")
+
+    def write(name: str) -> None:
+        writer = tables[name].write.mode("errorifexists")
         columns = (partition_by or {}).get(name)
         if columns:
             writer = writer.partitionBy(*columns)
         writer.parquet(f"{folder}/{name}")
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), tables))
     written = {name: spark.read.parquet(f"{folder}/{name}") for name in tables}
     if verify:
         verify(written)
