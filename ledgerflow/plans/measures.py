@@ -89,6 +89,11 @@ class Model:
     parts: Callable[[], dict[str, Column]] = field(repr=False)
     measures: Callable[[], dict[str, Column]] = field(repr=False)
 
+    def reachable(self, filters: dict[str, object] | None) -> dict[str, object]:
+        """The filters that touch this fact: others leave it as it is, as in any star."""
+        columns = {c for d in (*self.dimensions, "dim_date") for c in ATTRIBUTES[d]} | set(self.own)
+        return {c: v for c, v in (filters or {}).items() if c in columns}
+
     def date_fk(self, role: str | None) -> str:
         return self.date_roles[role] if role else next(iter(self.date_roles.values()))
 
@@ -302,18 +307,16 @@ def performance(
     stacked and added up, so no fact joins another and a figure without a
     counterpart is kept.
     """
+
+    def reduced(model: Model, *names: str) -> DataFrame:
+        return measure(mart, model, list(names), by, model.reachable(filters))
+
     sources = (
-        measure(mart, TRANSACTIONS, ["frais_totaux"], by, filters).withColumnRenamed(
-            "frais_totaux", "revenu_realise"
-        ),
-        measure(mart, CREDITS, ["production_credit"], by, filters),
-        measure(mart, ENTRIES, ["nouveaux_clients"], by, filters),
-        measure(
-            mart,
-            TARGETS,
-            ["objectif_revenu", "objectif_nouveaux_clients", "objectif_production_credit"],
-            by,
-            filters,
+        reduced(TRANSACTIONS, "frais_totaux").withColumnRenamed("frais_totaux", "revenu_realise"),
+        reduced(CREDITS, "production_credit"),
+        reduced(ENTRIES, "nouveaux_clients"),
+        reduced(
+            TARGETS, "objectif_revenu", "objectif_nouveaux_clients", "objectif_production_credit"
         ),
     )
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)

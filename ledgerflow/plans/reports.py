@@ -142,8 +142,11 @@ def branch_revenue_gap(mart: Tables, filters: Filters = None) -> DataFrame:
 def branch_detail(mart: Tables, agence_id: str, filters: Filters = None) -> DataFrame:
     """Drill-through: one branch, month by month, targets and risk side by side."""
     chosen = {**(filters or {}), "agence_id": agence_id}
-    results = _monthly(M.performance(mart, ["mois_debut"], chosen))
-    risk = _monthly(
-        M.measure(mart, M.REPAYMENTS, ["nb_echeances", "nb_impayes", "taux_impaye"], ["mois_debut"], chosen)
+    names = ["nb_echeances", "nb_impayes", "taux_impaye"]
+    results = M.performance(mart, ["mois_debut"], chosen)
+    risk = M.measure(mart, M.REPAYMENTS, names, ["mois_debut"], chosen)
+    stacked = _monthly(results.unionByName(risk, allowMissingColumns=True))
+    # At most one row per side and month: max only picks the side that has the value.
+    return stacked.groupBy("mois_debut").agg(
+        *[F.max(c).alias(c) for c in stacked.columns if c != "mois_debut"]
     )
-    return results.join(risk, "mois_debut", "left")
