@@ -28,55 +28,35 @@ def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def unpivot_metrics(row: DataFrame, value_type: str = "bigint") -> DataFrame:
-    """One wide row -> (metrique, valeur) rows."""
-    cells = [
-        F.struct(F.lit(c).alias("metrique"), F.col(f"`{c}`").cast(value_type).alias("valeur"))
-        for c in row.columns
-    ]
-    return row.select(F.inline(F.array(*cells)))
+def unpivot(row: DataFrame, value_type: str = "bigint") -> DataFrame:
+    """One wide row -> (mesure, valeur) rows."""
+    cells = ", ".join(f"'{c}', cast(`{c}` as {value_type})" for c in row.columns)
+    return row.selectExpr(f"stack({len(row.columns)}, {cells}) as (mesure, valeur)")
 
 
 def run(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     """All checks of a table in one aggregate."""
-    wide = df.agg(*[c.value.cast("bigint").alias(f"m{i}") for i, c in enumerate(checks)])
-    rows = [
-        F.struct(
-            F.lit(c.family).alias("famille"),
-            F.lit(table).alias("nom_table"),
-            F.lit(c.name).alias("controle"),
-            F.col(f"m{i}").alias("valeur"),
-            _status(F.col(f"m{i}"), c.limit).alias("statut"),
-        )
-        for i, c in enumerate(checks)
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+    wide = df.agg(*[c.value.alias(f"m{i}") for i, c in enumerate(checks)])
+    return _report(wide, table, [(c.family, c.name, f"m{i}", c.limit) for i, c in enumerate(checks)])
 
 
 def single(df: DataFrame, family: str, table: str, limit: int | None = 0) -> DataFrame:
     """Report rows from a one-row frame whose columns are the metrics."""
-    return df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(family).alias("famille"),
-                        F.lit(table).alias("nom_table"),
-                        F.lit(c).alias("controle"),
-                        F.col(c).cast("bigint").alias("valeur"),
-                        _status(F.col(c), limit).alias("statut"),
-                    )
-                    for c in df.columns
-                ]
-            )
-        )
+    return _report(df, table, [(family, c, c, limit) for c in df.columns])
+
+
+def _report(wide: DataFrame, table: str, lines: list[tuple[str, str, str, int | None]]) -> DataFrame:
+    cells = ", ".join(
+        f"'{family}', '{table}', '{name}', cast(`{column}` as bigint), {_status(column, limit)}"
+        for family, name, column, limit in lines
     )
+    return wide.selectExpr(f"stack({len(lines)}, {cells}) as ({', '.join(REPORT_COLUMNS)})")
 
 
-def _status(value: Column, limit: int | None) -> Column:
+def _status(column: str, limit: int | None) -> str:
     if limit is None:
-        return F.lit(INFO)
-    return F.when(value == limit, OK).otherwise(ATTENTION)
+        return f"'{INFO}'"
+    return f"case when `{column}` = {limit} then '{OK}' else '{ATTENTION}' end"
 
 
 def offenders(df: DataFrame, condition: Column, columns: list, order: list, n: int = 20) -> DataFrame:

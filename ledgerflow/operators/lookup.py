@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -143,36 +140,37 @@ def resolve_key(
     return joined.withColumn(alias, key_or_unknown(F.col("_found"))).drop("_found")
 
 
-def unmatched_rows(df: DataFrame, fk: Column, ref: DataFrame, ref_col: str, name: str) -> DataFrame:
-    """One row: how many rows of ``df`` have no partner (a NULL key has none).
+def unmatched_values(df: DataFrame, fk: Column, ref: DataFrame, ref_col: str) -> DataFrame:
+    """Key values without a partner (``_fk``) and the rows that carry them (``_rows``).
 
-    Counted per key first, so the anti join sees each key once.
+    Counted per value first, map-side, so the anti join sees each value once
+    however many rows share it. NULL is a value without a partner.
     """
-    per_key = df.groupBy(fk.alias("_fk")).agg(F.count(F.lit(1)).alias("_rows"))
-    keys = ref.select(F.col(ref_col).alias("_ref"))
-    missing = per_key.join(keys, F.col("_fk") == F.col("_ref"), "left_anti")
-    return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias(name))
+    per_value = df.groupBy(fk.alias("_fk")).agg(F.expr("count(1) as _rows"))
+    return per_value.join(ref.selectExpr(f"{ref_col} as _fk"), "_fk", "left_anti")
+
+
+def unmatched_rows(df: DataFrame, fk: Column, ref: DataFrame, ref_col: str, name: str) -> DataFrame:
+    """One row: how many rows of ``df`` have no partner."""
+    missing = unmatched_values(df, fk, ref, ref_col)
+    return missing.agg(F.expr(f"cast(coalesce(sum(_rows), 0) as bigint) as `{name}`"))
 
 
 def any_orphan(df: DataFrame, fks: list[tuple[str, DataFrame, str]], name: str) -> DataFrame:
     """One row: rows of ``df`` with at least one key absent from its dimension.
 
-    The broken key *values* are found on the distinct keys; the rows are then
+    The broken key *values* come from the distinct keys; the rows are then
     only compared with that list, normally empty. A row broken in several
     ways counts once.
     """
-    flags = []
+    rows = df.select(*[column for column, _, _ in fks])
     for i, (column, dim, key) in enumerate(fks):
-        flag = f"_broken_{i}"
-        broken = (
-            df.select(F.col(column).alias("_fk"))
-            .distinct()
-            .join(dim.select(F.col(key).alias("_dim")), F.col("_fk") == F.col("_dim"), "left_anti")
-            .withColumn(flag, F.lit(True))
+        broken = unmatched_values(df, F.col(column), dim, key).withColumnsRenamed(
+            {"_fk": f"_fk{i}", "_rows": f"_rows{i}"}
         )
-        df = df.join(broken, F.col(column).eqNullSafe(F.col("_fk")), "left").drop("_fk")
-        flags.append(F.coalesce(F.col(flag), F.lit(False)))
-    return df.agg(F.count_if(reduce(or_, flags)).alias(name))
+        rows = rows.join(broken, F.expr(f"{column} <=> _fk{i}"), "left")
+    flags = " or ".join(f"_rows{i} is not null" for i in range(len(fks)))
+    return rows.agg(F.expr(f"count_if({flags}) as `{name}`"))
 
 
 def orphan_rows(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:

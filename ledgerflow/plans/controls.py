@@ -11,14 +11,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.dates import french_date
 from ledgerflow.functions.predicates import any_of
 from ledgerflow.functions.rules import EN_RETARD, IMPAYE, is_status, unpaid_amount
 from ledgerflow.functions.text import message
-from ledgerflow.operators.checks import ATTENTION, OK
+from ledgerflow.operators.checks import ATTENTION, OK, unpivot
 from ledgerflow.operators.lookup import any_orphan, unmatched_rows
 from ledgerflow.plans.calendar import date_bounds
 from ledgerflow.plans.guards import DIMENSION_KEYS
@@ -442,12 +442,12 @@ def relationship_report(dims: Tables, facts: Tables) -> DataFrame:
     for fact, fk, dim in RELATIONSHIPS:
         broken = unmatched_rows(facts[fact], F.col(fk), dims[dim], DIMENSION_KEYS[dim], "orphelins")
         parts.append(
-            broken.select(
-                F.lit(fact).alias("table_faits"),
-                F.lit(fk).alias("cle"),
-                F.lit(dim).alias("dimension"),
+            broken.selectExpr(
+                f"'{fact}' as table_faits",
+                f"'{fk}' as cle",
+                f"'{dim}' as dimension",
                 "orphelins",
-                F.when(F.col("orphelins") == 0, OK).otherwise(ATTENTION).alias("statut"),
+                f"case when orphelins = 0 then '{OK}' else '{ATTENTION}' end as statut",
             )
         )
     return reduce(DataFrame.unionByName, parts)
@@ -491,63 +491,55 @@ def figures(staging: Tables, mart: Tables) -> DataFrame:
         *unknown_key_figures(staging, dims),
         *integrity_figures(dims, facts),
     ]
-    return reduce(DataFrame.unionByName, [_long(f) for f in frames])
+    return reduce(DataFrame.unionByName, [unpivot(f, VALUE) for f in frames])
 
 
-def _long(row: DataFrame) -> DataFrame:
-    cells = [
-        F.struct(F.lit(c).alias("mesure"), F.col(f"`{c}`").cast(VALUE).alias("valeur"))
-        for c in row.columns
-    ]
-    return row.select(F.inline(F.array(*cells)))
+_DEFINITION = "controle_id int, categorie string, controle string, _a string, _fixe int, _o string, commentaire string"
+
+
+def definitions(spark: SparkSession) -> DataFrame:
+    """The controls as rows; the expected side names a figure or is a fixed number."""
+    rows = []
+    for i, c in enumerate(CONTROLS, 1):
+        named = isinstance(c.expected, str)
+        sides = (c.expected, None) if named else (None, c.expected)
+        rows.append((i, c.category, c.name, *sides, c.observed, c.comment))
+    return spark.createDataFrame(rows, _DEFINITION)
 
 
 def controls(staging: Tables, mart: Tables) -> DataFrame:
     """The control rows, numbered in report order."""
-    one_row = figures(staging, mart).agg(
+    values = figures(staging, mart).agg(
         F.map_from_entries(F.collect_list(F.struct("mesure", "valeur"))).alias("_m")
     )
     bounds = date_bounds(staging)
-    texts = {
-        "premiere_date": bounds.select(french_date(F.col("date_min"))).scalar(),
-        "derniere_date": bounds.select(french_date(F.col("date_max"))).scalar(),
-    }
-    literals = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("controle_id"),
-                F.lit(c.category).alias("categorie"),
-                F.lit(c.name).alias("controle"),
-                F.lit(c.expected if isinstance(c.expected, str) else None).cast("string").alias("_a"),
-                F.lit(None if isinstance(c.expected, str) else c.expected).cast(VALUE).alias("_fixe"),
-                F.lit(c.observed).alias("_o"),
-                F.lit(c.comment).alias("commentaire"),
-            )
-            for i, c in enumerate(CONTROLS, 1)
-        ]
+    span = bounds.select(F.struct(*[french_date(F.col(c)).alias(c) for c in bounds.columns]))
+    rows = definitions(bounds.sparkSession).select(
+        "*", values.scalar().alias("_m"), span.scalar().alias("_span")
     )
-    rows = one_row.select(
-        "_m",
-        *[t.alias(f"_{name}") for name, t in texts.items()],
-        F.explode(literals).alias("_c"),
-    ).select("_m", *[f"_{name}" for name in texts], "_c.*")
-    expected = F.coalesce(F.col("_fixe"), F.col("_m")[F.col("_a")])
-    observed = F.col("_m")[F.col("_o")]
-    comment = F.col("commentaire")
-    for name in texts:
-        comment = F.replace(comment, F.lit("{" + name + "}"), F.coalesce(F.col(f"_{name}"), F.lit("")))
-    for name in ("credits_introuvables", "agences_credit_inconnues"):
-        shown = F.col("_m")[name].cast("bigint").cast("string")
-        comment = F.replace(comment, F.lit("{" + name + "}"), shown)
-    return rows.select(
+    compared = rows.selectExpr(
+        "*",
+        f"coalesce(cast(_fixe as {VALUE}), _m[_a]) as valeur_attendue",
+        "_m[_o] as valeur_observee",
+    )
+    written = {
+        "premiere_date": "_span.date_min",
+        "derniere_date": "_span.date_max",
+        "credits_introuvables": "cast(_m['credits_introuvables'] as bigint)",
+        "agences_credit_inconnues": "cast(_m['agences_credit_inconnues'] as bigint)",
+    }
+    comment = "commentaire"
+    for name, value in written.items():
+        comment = f"replace({comment}, '{{{name}}}', coalesce(cast({value} as string), ''))"
+    return compared.selectExpr(
         "controle_id",
         "categorie",
         "controle",
-        expected.alias("valeur_attendue"),
-        observed.alias("valeur_observee"),
-        (observed - expected).cast(VALUE).alias("ecart"),
-        F.when(observed == expected, OK).otherwise(ATTENTION).alias("statut"),
-        comment.alias("commentaire"),
+        "valeur_attendue",
+        "valeur_observee",
+        f"cast(valeur_observee - valeur_attendue as {VALUE}) as ecart",
+        f"case when valeur_observee = valeur_attendue then '{OK}' else '{ATTENTION}' end as statut",
+        f"{comment} as commentaire",
     )
 
 

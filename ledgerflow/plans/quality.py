@@ -8,6 +8,7 @@ or filter before they join. Every report row is
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,8 @@ from ledgerflow.operators.lookup import orphan_rows, reference_keys
 from ledgerflow.sources.schemas import RAW_COLUMNS, staging_type
 
 Tables = dict[str, DataFrame]
+# Family, check name, condition built on demand, accepted count (None: informative).
+Condition = tuple[str, str, Callable[[], Column], int | None]
 
 TABLES = tuple(RAW_COLUMNS)
 # Tables whose repeated lines are removed on the way to staging.
@@ -85,61 +88,51 @@ def converted(table: str, column: str) -> Column:
     return {"date": safe_date, "int": safe_int, "timestamp_ntz": safe_timestamp}[kind](source)
 
 
-def failed_columns(table: str) -> dict[str, Column]:
-    """Per typed column: the source holds a value that staging could not read."""
-    return {
-        c: P.failed_conversion(F.col(c), converted(table, c))
-        for c in RAW_COLUMNS[table]
-        if staging_type(table, c) != "string"
-    }
+def failed_column(table: str, column: str) -> Column:
+    """The source holds a value that staging could not read."""
+    return P.failed_conversion(F.col(column), converted(table, column))
 
 
 def any_failed(table: str) -> Column:
-    return P.any_of(*failed_columns(table).values())
+    typed = [c for c in RAW_COLUMNS[table] if staging_type(table, c) != "string"]
+    return P.any_of(*[failed_column(table, c) for c in typed])
 
 
 # ------------------------------------------------------------------ raw checks
-def raw_checks(table: str) -> list[Check]:
-    checks = []
-    failed = failed_columns(table)
-    if failed:
-        checks.append(Check("Q2", "conversions_impossibles", count_where(any_failed(table))))
-        checks += [
-            Check("Q2", f"conversions_impossibles: {c}", count_where(bad))
-            for c, bad in failed.items()
-        ]
+def raw_conditions(table: str) -> list[Condition]:
+    found: list[Condition] = []
+    typed = [c for c in RAW_COLUMNS[table] if staging_type(table, c) != "string"]
+    found.append(("Q2", "conversions_impossibles", lambda: any_failed(table), 0))
+    found += [
+        ("Q2", f"conversions_impossibles: {c}", lambda c=c: failed_column(table, c), 0) for c in typed
+    ]
     if table in MANDATORY_RAW:
-        checks.append(
-            Check("Q4", "lignes_source_incompletes", count_where(P.any_blank(*MANDATORY_RAW[table])))
-        )
+        found.append(("Q4", "lignes_source_incompletes", lambda: P.any_blank(*MANDATORY_RAW[table]), 0))
     if table == "remboursements":
-        checks += [
-            Check("Q4", "dates_paiement_absentes", count_where(P.any_blank("date_paiement")), None),
-            Check("Q5", "remboursement_id_invalides", count_where(_wrong_raw_code("remboursement_id", "R", 8))),
-            Check("Q5", "credit_id_invalides", count_where(_wrong_raw_code("credit_id", "CR", 6))),
-            Check("Q11", "paiements_negatifs_source", count_where(_negative(table, "montant_paye")), None),
-            Check(
-                "Q12",
-                "statuts_non_standardises_source",
-                count_where(
-                    ~clean_text(F.col("statut_remboursement")).isin(*domains.STATUT_REMBOURSEMENT)
-                ),
-                None,
-            ),
+        status = clean_text(F.col("statut_remboursement"))
+        found += [
+            ("Q4", "dates_paiement_absentes", lambda: P.any_blank("date_paiement"), None),
+            ("Q5", "remboursement_id_invalides", lambda: _wrong_raw_code("remboursement_id", "R", 8), 0),
+            ("Q5", "credit_id_invalides", lambda: _wrong_raw_code("credit_id", "CR", 6), 0),
+            ("Q11", "paiements_negatifs_source", lambda: _negative(table, "montant_paye"), None),
+            ("Q12", "statuts_non_standardises_source",
+             lambda: ~status.isin(*domains.STATUT_REMBOURSEMENT), None),
         ]
     if table == "transactions":
-        checks.append(
-            Check("Q4", "produits_absents_source", count_where(P.any_blank("produit_id")), None)
-        )
+        found.append(("Q4", "produits_absents_source", lambda: P.any_blank("produit_id"), None))
     if table == "credits":
-        checks.append(
-            Check("Q11", "taux_negatifs_source", count_where(_negative(table, "taux_annuel")), None)
-        )
+        found.append(("Q11", "taux_negatifs_source", lambda: _negative(table, "taux_annuel"), None))
     if table == "clients":
-        checks.append(
-            Check("Q11", "revenus_negatifs_source", count_where(_negative(table, "revenu_mensuel")), None)
-        )
-    return checks
+        found.append(("Q11", "revenus_negatifs_source", lambda: _negative(table, "revenu_mensuel"), None))
+    return found
+
+
+def raw_checks(table: str, families: tuple[str, ...] | None = None) -> list[Check]:
+    return [
+        Check(family, name, count_where(condition()), limit)
+        for family, name, condition, limit in raw_conditions(table)
+        if families is None or family in families
+    ]
 
 
 def _wrong_raw_code(column: str, prefix: str, digits: int) -> Column:
@@ -151,35 +144,38 @@ def _negative(table: str, column: str) -> Column:
 
 
 # -------------------------------------------------------------- staging checks
-def staging_conditions(table: str, as_of: str) -> list[tuple[str, str, Column, int | None]]:
-    """(family, check, condition, accepted count): the rows are listed by the same condition."""
+def staging_conditions(table: str, as_of: str) -> list[Condition]:
+    """(family, check, condition, accepted count): counts and row lists share the condition.
+
+    Conditions are built on demand, so a report over one family only pays for its own.
+    """
     c = F.col
-    found: list[tuple[str, str, Column, int | None]] = []
+    found: list[Condition] = []
     if table in MANDATORY_STAGING:
-        found.append(("Q4", "lignes_incompletes", P.any_null(*MANDATORY_STAGING[table]), 0))
+        found.append(("Q4", "lignes_incompletes", lambda: P.any_null(*MANDATORY_STAGING[table]), 0))
     if table == "agences":
         found += [
-            ("Q5", "codes_postaux_invalides", P.wrong_postcode(c("code_postal")), 0),
-            ("Q6", "effectifs_invalides", P.any_of(c("effectif").isNull(), c("effectif") <= 0), 0),
-            ("Q7", "dates_invalides", c("date_ouverture").isNull() | P.after(c("date_ouverture"), as_of), 0),
-            ("Q8", "categories_inconnues", P.outside_domain(c("categorie_agence"), domains.CATEGORIE_AGENCE), 0),
+            ("Q5", "codes_postaux_invalides", lambda: P.wrong_postcode(c("code_postal")), 0),
+            ("Q6", "effectifs_invalides", lambda: P.any_of(c("effectif").isNull(), c("effectif") <= 0), 0),
+            ("Q7", "dates_invalides", lambda: c("date_ouverture").isNull() | P.after(c("date_ouverture"), as_of), 0),
+            ("Q8", "categories_inconnues", lambda: P.outside_domain(c("categorie_agence"), domains.CATEGORIE_AGENCE), 0),
         ]
     elif table == "clients":
         score = c("score_risque_initial")
         found += [
-            ("Q4", "codes_postaux_manquants", c("code_postal").isNull(), None),
-            ("Q4", "emails_manquants", c("email").isNull(), None),
-            ("Q4", "revenus_manquants_ou_invalides", c("revenu_mensuel").isNull(), None),
-            ("Q5", "emails_invalides", P.wrong_email(c("email")), 0),
-            ("Q6", "scores_hors_bornes", P.any_of(score < 0, score > 100), 0),
-            ("Q7", "naissance_apres_entree", P.any_of(c("date_naissance") > c("date_entree")), 0),
+            ("Q4", "codes_postaux_manquants", lambda: c("code_postal").isNull(), None),
+            ("Q4", "emails_manquants", lambda: c("email").isNull(), None),
+            ("Q4", "revenus_manquants_ou_invalides", lambda: c("revenu_mensuel").isNull(), None),
+            ("Q5", "emails_invalides", lambda: P.wrong_email(c("email")), 0),
+            ("Q6", "scores_hors_bornes", lambda: P.any_of(score < 0, score > 100), 0),
+            ("Q7", "naissance_apres_entree", lambda: P.any_of(c("date_naissance") > c("date_entree")), 0),
             ("Q7", "valeurs_incoherentes",
-             P.any_of(score < 0, score > 100, c("date_naissance") > c("date_entree")), 0),
-            ("Q11", "revenus_negatifs_staging", P.any_of(c("revenu_mensuel") < 0), 0),
+             lambda: P.any_of(score < 0, score > 100, c("date_naissance") > c("date_entree")), 0),
+            ("Q11", "revenus_negatifs_staging", lambda: P.any_of(c("revenu_mensuel") < 0), 0),
         ]
     elif table == "credits":
         found += [
-            ("Q6", "valeurs_numeriques_invalides", P.any_of(
+            ("Q6", "valeurs_numeriques_invalides", lambda: P.any_of(
                 c("montant_initial").isNull(), c("montant_initial") <= 0,
                 c("taux_annuel") < 0,
                 c("duree_mois").isNull(), c("duree_mois") <= 0,
@@ -187,98 +183,101 @@ def staging_conditions(table: str, as_of: str) -> list[tuple[str, str, Column, i
                 c("score_risque_octroi").isNull(),
                 c("score_risque_octroi") < 0, c("score_risque_octroi") > 100,
             ), 0),
-            ("Q7", "dates_incoherentes", P.any_of(
+            ("Q7", "dates_incoherentes", lambda: P.any_of(
                 c("date_octroi").isNull(), c("date_fin_prevue").isNull(),
                 c("date_fin_prevue") <= c("date_octroi"),
                 F.add_months(c("date_octroi"), c("duree_mois")) != c("date_fin_prevue"),
             ), 0),
-            ("Q8", "categories_inconnues", P.any_of(
+            ("Q8", "categories_inconnues", lambda: P.any_of(
                 P.outside_domain(c("type_credit"), domains.TYPE_CREDIT),
                 P.outside_domain(c("statut_credit"), domains.STATUT_CREDIT),
             ), 0),
-            ("Q10", "agences_remplacees_par_null", c("agence_id").isNull(), None),
-            ("Q11", "taux_negatifs_staging", P.any_of(c("taux_annuel") < 0), 0),
-            ("Q11", "taux_remplaces_par_null", c("taux_annuel").isNull(), None),
+            ("Q10", "agences_remplacees_par_null", lambda: c("agence_id").isNull(), None),
+            ("Q11", "taux_negatifs_staging", lambda: P.any_of(c("taux_annuel") < 0), 0),
+            ("Q11", "taux_remplaces_par_null", lambda: c("taux_annuel").isNull(), None),
         ]
     elif table == "objectifs_agences":
         amounts = ("objectif_revenu", "objectif_nouveaux_clients", "objectif_production_credit")
         threshold = c("seuil_taux_impaye_pct")
         found += [
-            ("Q5", "formats_agence_invalides", P.wrong_code(c("agence_id"), "A", 3, null_is_wrong=False), 0),
-            ("Q6", "valeurs_numeriques_invalides", P.any_of(
+            ("Q5", "formats_agence_invalides", lambda: P.wrong_code(c("agence_id"), "A", 3, null_is_wrong=False), 0),
+            ("Q6", "valeurs_numeriques_invalides", lambda: P.any_of(
                 P.any_null(*amounts, "seuil_taux_impaye_pct"), *[c(a) < 0 for a in amounts],
                 threshold < 0, threshold > 100,
             ), 0),
-            ("Q13", "dates_hors_premier_jour", P.any_of(F.dayofmonth("mois") != 1), 0),
+            ("Q13", "dates_hors_premier_jour", lambda: P.any_of(F.dayofmonth("mois") != 1), 0),
         ]
     elif table == "produits":
         found += [
-            ("Q5", "identifiants_invalides", P.wrong_code(c("produit_id"), "P", 3), 0),
-            ("Q6", "niveaux_invalides", P.outside_range(c("niveau_complexite"), 1, 4), 0),
-            ("Q8", "familles_inconnues", P.outside_domain(c("famille_produit"), domains.FAMILLE_PRODUIT), 0),
-            ("Q8", "univers_inconnus", P.outside_domain(c("univers"), domains.UNIVERS), 0),
+            ("Q5", "identifiants_invalides", lambda: P.wrong_code(c("produit_id"), "P", 3), 0),
+            ("Q6", "niveaux_invalides", lambda: P.outside_range(c("niveau_complexite"), 1, 4), 0),
+            ("Q8", "familles_inconnues", lambda: P.outside_domain(c("famille_produit"), domains.FAMILLE_PRODUIT), 0),
+            ("Q8", "univers_inconnus", lambda: P.outside_domain(c("univers"), domains.UNIVERS), 0),
         ]
     elif table == "remboursements":
         paid, due = c("montant_paye"), c("montant_attendu")
         late = F.datediff("date_paiement", "date_echeance")
         unpaid = c("statut_remboursement") == IMPAYE
         found += [
-            ("Q6", "valeurs_numeriques_invalides", P.any_of(
+            ("Q6", "valeurs_numeriques_invalides", lambda: P.any_of(
                 due.isNull(), due <= 0, paid < 0, paid > due,
                 c("jours_retard").isNull(), c("jours_retard") < 0,
             ), 0),
-            ("Q7", "retards_calcules_incoherents", P.any_of(
+            ("Q7", "retards_calcules_incoherents", lambda: P.any_of(
                 c("date_paiement").isNotNull()
                 & (c("jours_retard") != F.when(late > 0, late).otherwise(0))
             ), 0),
-            ("Q7", "impayes_incoherents", P.any_of(
+            ("Q7", "impayes_incoherents", lambda: P.any_of(
                 unpaid & (c("date_paiement").isNotNull() | (paid != 0) | (c("jours_retard") <= 0))
             ), 0),
-            ("Q7", "nombre_impayes", P.any_of(unpaid), None),
+            ("Q7", "nombre_impayes", lambda: P.any_of(unpaid), None),
             ("Q8", "statuts_inconnus_staging",
-             P.outside_domain(c("statut_remboursement"), domains.STATUT_REMBOURSEMENT), 0),
-            ("Q11", "paiements_negatifs_staging", P.any_of(paid < 0), 0),
-            ("Q17", "paiements_complets", P.any_of(paid == due), None),
-            ("Q17", "paiements_partiels", P.any_of((paid > 0) & (paid < due)), None),
-            ("Q17", "paiements_nuls", P.any_of(paid == 0), None),
-            ("Q17", "paiements_invalides_null", paid.isNull(), None),
+             lambda: P.outside_domain(c("statut_remboursement"), domains.STATUT_REMBOURSEMENT), 0),
+            ("Q11", "paiements_negatifs_staging", lambda: P.any_of(paid < 0), 0),
+            ("Q17", "paiements_complets", lambda: P.any_of(paid == due), None),
+            ("Q17", "paiements_partiels", lambda: P.any_of((paid > 0) & (paid < due)), None),
+            ("Q17", "paiements_nuls", lambda: P.any_of(paid == 0), None),
+            ("Q17", "paiements_invalides_null", lambda: paid.isNull(), None),
         ]
     elif table == "transactions":
         amount, fee, side = c("montant"), c("frais"), c("sens")
         banking = c("type_transaction") == "Frais bancaires"
         wrong_sign = ((side == "Débit") & (amount >= 0)) | ((side == "Crédit") & (amount <= 0))
         found += [
-            ("Q4", "produits_absents_staging", c("produit_id").isNull(), None),
-            ("Q5", "transaction_id_invalides", P.wrong_code(c("transaction_id"), "T", 9), 0),
-            ("Q5", "client_id_invalides", P.wrong_code(c("client_id"), "C", 6), 0),
-            ("Q5", "produit_id_invalides", P.wrong_code(c("produit_id"), "P", 3, null_is_wrong=False), 0),
-            ("Q5", "agence_id_invalides", P.wrong_code(c("agence_id"), "A", 3, null_is_wrong=False), 0),
-            ("Q7", "dates_nulles_staging", c("date_transaction").isNull(), None),
-            ("Q8", "types_inconnus", P.outside_domain(c("type_transaction"), domains.TYPE_TRANSACTION), 0),
-            ("Q8", "canaux_inconnus", P.outside_domain(c("canal"), domains.CANAL), 0),
-            ("Q8", "statuts_inconnus", P.outside_domain(c("statut"), domains.STATUT_TRANSACTION), 0),
-            ("Q8", "devises_inconnues", P.outside_domain(c("devise"), domains.DEVISE), 0),
-            ("Q10", "clients_null_staging", c("client_id").isNull(), None),
-            ("Q10", "agences_remplacees_par_null", c("agence_id").isNull(), None),
-            ("Q15", "nombre_debits", P.any_of(side == "Débit"), None),
-            ("Q15", "nombre_credits", P.any_of(side == "Crédit"), None),
-            ("Q15", "montants_nuls_ou_absents", P.any_of(amount.isNull(), amount == 0), 0),
-            ("Q15", "montants_sens_incoherents", P.any_of(wrong_sign), 0),
-            ("Q15", "sens_inconnus", P.outside_domain(side, domains.SENS), 0),
-            ("Q16", "operations_avec_frais", P.any_of(fee > 0), None),
-            ("Q16", "frais_negatifs_ou_absents", P.any_of(fee.isNull(), fee < 0), 0),
-            ("Q16", "frais_hors_operation_bancaire", P.any_of((fee > 0) & ~banking), 0),
-            ("Q16", "operations_frais_sans_frais", P.any_of(banking & (fee.isNull() | (fee <= 0))), 0),
+            ("Q4", "produits_absents_staging", lambda: c("produit_id").isNull(), None),
+            ("Q5", "transaction_id_invalides", lambda: P.wrong_code(c("transaction_id"), "T", 9), 0),
+            ("Q5", "client_id_invalides", lambda: P.wrong_code(c("client_id"), "C", 6), 0),
+            ("Q5", "produit_id_invalides", lambda: P.wrong_code(c("produit_id"), "P", 3, null_is_wrong=False), 0),
+            ("Q5", "agence_id_invalides", lambda: P.wrong_code(c("agence_id"), "A", 3, null_is_wrong=False), 0),
+            ("Q7", "dates_nulles_staging", lambda: c("date_transaction").isNull(), None),
+            ("Q8", "types_inconnus", lambda: P.outside_domain(c("type_transaction"), domains.TYPE_TRANSACTION), 0),
+            ("Q8", "canaux_inconnus", lambda: P.outside_domain(c("canal"), domains.CANAL), 0),
+            ("Q8", "statuts_inconnus", lambda: P.outside_domain(c("statut"), domains.STATUT_TRANSACTION), 0),
+            ("Q8", "devises_inconnues", lambda: P.outside_domain(c("devise"), domains.DEVISE), 0),
+            ("Q10", "clients_null_staging", lambda: c("client_id").isNull(), None),
+            ("Q10", "agences_remplacees_par_null", lambda: c("agence_id").isNull(), None),
+            ("Q15", "nombre_debits", lambda: P.any_of(side == "Débit"), None),
+            ("Q15", "nombre_credits", lambda: P.any_of(side == "Crédit"), None),
+            ("Q15", "montants_nuls_ou_absents", lambda: P.any_of(amount.isNull(), amount == 0), 0),
+            ("Q15", "montants_sens_incoherents", lambda: P.any_of(wrong_sign), 0),
+            ("Q15", "sens_inconnus", lambda: P.outside_domain(side, domains.SENS), 0),
+            ("Q16", "operations_avec_frais", lambda: P.any_of(fee > 0), None),
+            ("Q16", "frais_negatifs_ou_absents", lambda: P.any_of(fee.isNull(), fee < 0), 0),
+            ("Q16", "frais_hors_operation_bancaire", lambda: P.any_of((fee > 0) & ~banking), 0),
+            ("Q16", "operations_frais_sans_frais", lambda: P.any_of(banking & (fee.isNull() | (fee <= 0))), 0),
         ]
     if table in ACCENTED:
-        found.append(("Q9", "encodages_incorrects", P.mojibake(*ACCENTED[table]), 0))
+        found.append(("Q9", "encodages_incorrects", lambda: P.mojibake(*ACCENTED[table]), 0))
     return found
 
 
-def staging_checks(table: str, as_of: str) -> list[Check]:
+def staging_checks(
+    table: str, as_of: str, families: tuple[str, ...] | None = None
+) -> list[Check]:
     return [
-        Check(family, name, count_where(condition), limit)
+        Check(family, name, count_where(condition()), limit)
         for family, name, condition, limit in staging_conditions(table, as_of)
+        if families is None or family in families
     ]
 
 
@@ -289,12 +288,11 @@ def counted(
     parts = []
     for table in TABLES:
         for layer, frames, checks in (
-            ("raw", raw, raw_checks(table)),
-            ("staging", staging, staging_checks(table, as_of)),
+            ("raw", raw, raw_checks(table, families)),
+            ("staging", staging, staging_checks(table, as_of, families)),
         ):
-            kept = [k for k in checks if families is None or k.family in families]
-            if kept:
-                parts.append(run(frames[table], f"{layer}.{table}", kept))
+            if checks:
+                parts.append(run(frames[table], f"{layer}.{table}", checks))
     return _union(parts)
 
 
@@ -303,7 +301,7 @@ def offenders(
 ) -> DataFrame:
     """Rows of a staging table that fail a counted check, first ``n`` in order."""
     conditions = {name: condition for _, name, condition, _ in staging_conditions(table, as_of)}
-    return staging[table].where(conditions[check]).orderBy(*order).limit(n)
+    return staging[table].where(conditions[check]()).orderBy(*order).limit(n)
 
 
 def conversion_offenders(raw: Tables, table: str, order: list[str], n: int = 20) -> DataFrame:
@@ -541,7 +539,7 @@ def target_pairs(raw: Tables, staging: Tables) -> DataFrame:
 
 def impossible_dates(raw: Tables, staging: Tables) -> DataFrame:
     """Operations whose date could not be read, with what was received."""
-    bad = raw["transactions"].where(failed_columns("transactions")["date_transaction"]).select(
+    bad = raw["transactions"].where(failed_column("transactions", "date_transaction")).select(
         reference_key(F.col("transaction_id")).alias("_key"),
         F.col("date_transaction").alias("date_source"),
     )

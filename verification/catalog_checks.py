@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.rules import IMPAYE
-from ledgerflow.operators import grouping
-from ledgerflow.operators.checks import offenders
+from ledgerflow.operators.checks import unpivot
 from ledgerflow.plans import controls, quality, reports, summaries
 from ledgerflow.plans import measures as M
 from ledgerflow.sources.schemas import RAW_COLUMNS, STAGING_TYPES
@@ -481,8 +481,9 @@ def _missing(table: str, column: str, dim: str) -> str:
     key = controls.DIMENSION_KEYS[dim]
     business = "date_complete" if dim == "dim_date" else f"{dim[4:]}_id"
     value = f"cast(t.{column} as date)" if dim == "dim_date" else f"t.{column}"
-    return f"(select count(*) from stg_{table} t left join dim d_ on false) " if False else (
-        f"(select count(*) from stg_{table} t left join {dim} d on d.{business} = {value} and d.{key} <> 0 where d.{key} is null)"
+    return (
+        f"(select count(*) from stg_{table} t left join {dim} d on d.{business} = {value} and d.{key} <> 0"
+        f" where d.{key} is null)"
     )
 
 
@@ -605,9 +606,7 @@ def _figures(names: list[str], sides: list[str]) -> str:
 
 
 def _long(frames: list[DataFrame]) -> DataFrame:
-    from functools import reduce
-
-    return reduce(DataFrame.unionByName, [controls._long(f) for f in frames])
+    return reduce(DataFrame.unionByName, [unpivot(f, controls.VALUE) for f in frames])
 
 
 _DIM_FIGURES = (
