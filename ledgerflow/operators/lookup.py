@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.rules import key_or_unknown
@@ -15,6 +17,11 @@ HOT_LIMIT = 1000
 HOT_MIN_ROWS = 200_000
 # Number of tasks a hot key (and the rows without a key) is spread over.
 HOT_SPLITS = 64
+# A counted list of at most this many key values is sent to every executor.
+BROADCAST_VALUES = 500_000
+
+# Column, dimension, key of the dimension.
+ForeignKey = tuple[str, DataFrame, str]
 
 
 def hot_keys(
@@ -156,20 +163,47 @@ def unmatched_rows(df: DataFrame, fk: Column, ref: DataFrame, ref_col: str, name
     return missing.agg(F.expr(f"cast(coalesce(sum(_rows), 0) as bigint) as `{name}`"))
 
 
-def any_orphan(df: DataFrame, fks: list[tuple[str, DataFrame, str]], name: str) -> DataFrame:
+def orphan_counts(df: DataFrame, table: str, fks: list[ForeignKey]) -> DataFrame:
+    """One row per foreign key: broken values and the rows that carry them."""
+    parts = [
+        unmatched_values(df, F.col(column), dim, key).agg(
+            F.expr(f"'{table}' as nom_table"),
+            F.expr(f"'{column}' as cle"),
+            F.expr("count(1) as valeurs"),
+            F.expr("cast(coalesce(sum(_rows), 0) as bigint) as orphelins"),
+        )
+        for column, dim, key in fks
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+def any_orphan(
+    df: DataFrame, fks: list[ForeignKey], name: str, counts: dict[str, Row] | None = None
+) -> DataFrame:
     """One row: rows of ``df`` with at least one key absent from its dimension.
 
-    The broken key *values* come from the distinct keys; the rows are then
-    only compared with that list, normally empty. A row broken in several
+    ``counts`` holds the :func:`orphan_counts` row of each key (a handful of
+    numbers, read here when not given). With no broken key the answer is 0,
+    with one it is that key's count, and the rows are not read again. Only
+    when several keys are broken are rows compared with the lists of broken
+    values, broadcast when their counted size allows. A row broken in several
     ways counts once.
     """
-    rows = df.select(*[column for column, _, _ in fks])
-    for i, (column, dim, key) in enumerate(fks):
-        broken = unmatched_values(df, F.col(column), dim, key).withColumnsRenamed(
+    if counts is None:
+        counts = {r["cle"]: r for r in orphan_counts(df, "", fks).collect()}
+    broken = [fk for fk in fks if counts[fk[0]]["valeurs"]]
+    if len(broken) <= 1:
+        rows = counts[broken[0][0]]["orphelins"] if broken else 0
+        return df.sparkSession.range(1).select(F.lit(rows).cast("bigint").alias(name))
+    rows = df.select(*[column for column, _, _ in broken])
+    for i, (column, dim, key) in enumerate(broken):
+        values = unmatched_values(df, F.col(column), dim, key).withColumnsRenamed(
             {"_fk": f"_fk{i}", "_rows": f"_rows{i}"}
         )
-        rows = rows.join(broken, F.expr(f"{column} <=> _fk{i}"), "left")
-    flags = " or ".join(f"_rows{i} is not null" for i in range(len(fks)))
+        if counts[column]["valeurs"] <= BROADCAST_VALUES:
+            values = F.broadcast(values)
+        rows = rows.join(values, F.expr(f"{column} <=> _fk{i}"), "left")
+    flags = " or ".join(f"_rows{i} is not null" for i in range(len(broken)))
     return rows.agg(F.expr(f"count_if({flags}) as `{name}`"))
 
 

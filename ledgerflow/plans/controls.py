@@ -19,7 +19,7 @@ from ledgerflow.functions.predicates import any_of
 from ledgerflow.functions.rules import EN_RETARD, IMPAYE, is_status, unpaid_amount
 from ledgerflow.functions.text import message
 from ledgerflow.operators.checks import ATTENTION, OK, unpivot
-from ledgerflow.operators.lookup import any_orphan, unmatched_rows
+from ledgerflow.operators.lookup import ForeignKey, any_orphan, orphan_counts, unmatched_rows
 from ledgerflow.plans.calendar import date_bounds
 from ledgerflow.plans.guards import DIMENSION_KEYS
 
@@ -436,37 +436,48 @@ def instalments_per_credit(staging: Tables, dims: Tables) -> DataFrame:
     )
 
 
+def foreign_keys(fact: str, dims: Tables) -> list[ForeignKey]:
+    return [(fk, dims[d], DIMENSION_KEYS[d]) for f, fk, d in RELATIONSHIPS if f == fact]
+
+
+def relationship_counts(dims: Tables, facts: Tables) -> DataFrame:
+    """Broken values and rows of the 17 relationships."""
+    parts = [orphan_counts(facts[fact], fact, foreign_keys(fact, dims)) for fact in FACTS]
+    return reduce(DataFrame.union, parts)
+
+
 def relationship_report(dims: Tables, facts: Tables) -> DataFrame:
     """The 17 relationships with the number of rows breaking each."""
-    parts = []
-    for fact, fk, dim in RELATIONSHIPS:
-        broken = unmatched_rows(facts[fact], F.col(fk), dims[dim], DIMENSION_KEYS[dim], "orphelins")
-        parts.append(
-            broken.selectExpr(
-                f"'{fact}' as table_faits",
-                f"'{fk}' as cle",
-                f"'{dim}' as dimension",
-                "orphelins",
-                f"case when orphelins = 0 then '{OK}' else '{ATTENTION}' end as statut",
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    spark = next(iter(facts.values())).sparkSession
+    targets = spark.createDataFrame(RELATIONSHIPS, "table_faits string, cle string, dimension string")
+    counts = relationship_counts(dims, facts).withColumnRenamed("nom_table", "table_faits")
+    return targets.join(counts, ["table_faits", "cle"]).selectExpr(
+        "table_faits",
+        "cle",
+        "dimension",
+        "orphelins",
+        f"case when orphelins = 0 then '{OK}' else '{ATTENTION}' end as statut",
+    )
 
 
 def integrity_figures(dims: Tables, facts: Tables) -> list[DataFrame]:
-    """Rows with any broken key per fact, and how many relationships hold."""
+    """Rows with any broken key per fact, and how many relationships hold.
+
+    The 17 counts are read first: they decide whether rows have to be looked at.
+    """
+    counts = relationship_counts(dims, facts).collect()
     frames = [
         any_orphan(
             facts[fact],
-            [(fk, dims[d], DIMENSION_KEYS[d]) for f, fk, d in RELATIONSHIPS if f == fact],
+            foreign_keys(fact, dims),
             f"orphelins:{fact}",
+            {r["cle"]: r for r in counts if r["nom_table"] == fact},
         )
         for fact in FACTS
     ]
-    held = relationship_report(dims, facts).agg(
-        F.count_if(F.col("orphelins") == 0).alias("relations_verifiees")
-    )
-    return [*frames, held]
+    held = sum(r["orphelins"] == 0 for r in counts)
+    spark = next(iter(facts.values())).sparkSession
+    return [*frames, spark.range(1).select(F.lit(held).alias("relations_verifiees"))]
 
 
 def present_tables(staging: Tables, mart: Tables) -> DataFrame:
@@ -491,7 +502,7 @@ def figures(staging: Tables, mart: Tables) -> DataFrame:
         *unknown_key_figures(staging, dims),
         *integrity_figures(dims, facts),
     ]
-    return reduce(DataFrame.unionByName, [unpivot(f, VALUE) for f in frames])
+    return reduce(DataFrame.union, [unpivot(f, VALUE) for f in frames])
 
 
 _DEFINITION = "controle_id int, categorie string, controle string, _a string, _fixe int, _o string, commentaire string"

@@ -1,9 +1,10 @@
 """Business measures over the star, cut by any dimension attribute.
 
-A measure is a formula over additive parts. Parts are summed per foreign key
-inside the fact first, so only that small result meets the dimensions; the
-rows of a fact never join a dimension one by one, and a hot key is one row by
-then.
+A measure is a formula over additive parts. Cut by one dimension, the parts are
+summed per foreign key inside the fact and only that small result meets the
+dimension. Cut by several, the short dimensions (days, branches, products) are
+joined first and the client dimension, which grows with the data, last: per
+client there is one row by then, however hot the client.
 """
 
 from __future__ import annotations
@@ -246,24 +247,34 @@ def measure(
     if unknown:
         raise ValueError(f"{model.fact} has no attribute {', '.join(unknown)}")
 
-    own = [c for c in used if c in model.own]
-    dims = {d: [c for c in used if c not in model.own and homes[c] == d] for d in keys}
-    dims = {d: columns for d, columns in dims.items() if columns}
-
     fact = mart[model.fact]
     for condition in _conditions(filters, model.own):
         fact = fact.where(condition)
+    members = {}
+    for dim in keys:
+        columns = tuple(c for c in used if c not in model.own and homes[c] == dim)
+        if columns:
+            chosen = dimension(mart, dim)
+            for condition in _conditions(filters, columns):
+                chosen = chosen.where(condition)
+            shown = [c for c in columns if c in by]
+            members[dim] = chosen.select(F.col(KEYS[dim]).alias(keys[dim]), *shown), shown
+
     parts = model.parts()
-    total = fact.groupBy(*[keys[d] for d in dims], *own).agg(
-        *[F.sum(p).alias(f"_{n}") for n, p in parts.items()]
-    )
-    for dim, columns in dims.items():
-        members = dimension(mart, dim)
-        for condition in _conditions(filters, tuple(columns)):
-            members = members.where(condition)
-        members = members.select(F.col(KEYS[dim]).alias("_member"), *columns)
-        total = total.join(members, F.col(keys[dim]) == F.col("_member")).drop("_member", keys[dim])
-    rolled = total.groupBy(*by).agg(*[F.sum(f"_{n}").alias(n) for n in parts])
+    # The dimension the sums wait for: the only one, or else the large one.
+    last = next(iter(members)) if len(members) == 1 else "dim_client"
+    seen = [c for c in by if c in model.own]
+    for dim, (frame, shown) in members.items():
+        if dim != last:
+            fact = fact.join(frame, keys[dim])
+            seen += shown
+    sums = {n: F.sum(p) for n, p in parts.items()}
+    if last in members:
+        frame, _ = members[last]
+        reduced = fact.groupBy(keys[last], *seen).agg(*[s.alias(n) for n, s in sums.items()])
+        rolled = reduced.join(frame, keys[last]).groupBy(*by).agg(*[F.sum(n).alias(n) for n in parts])
+    else:
+        rolled = fact.groupBy(*by).agg(*[s.alias(n) for n, s in sums.items()])
     formulas = model.measures()
     return rolled.select(*by, *[formulas[n].alias(n) for n in names])
 
