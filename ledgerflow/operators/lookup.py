@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -24,6 +25,14 @@ BROADCAST_VALUES = 500_000
 ForeignKey = tuple[str, DataFrame, str]
 
 
+class Lookup(NamedTuple):
+    """One reference of a frame: its label, its member list and its identifier (SQL)."""
+
+    label: str
+    members: str
+    identifier: str
+
+
 def hot_keys(
     df: DataFrame,
     key: Column,
@@ -157,24 +166,53 @@ def unmatched_values(df: DataFrame, fk: Column, ref: DataFrame, ref_col: str) ->
     return per_value.join(ref.selectExpr(f"{ref_col} as _fk"), "_fk", "left_anti")
 
 
-def unmatched_rows(df: DataFrame, fk: Column, ref: DataFrame, ref_col: str, name: str) -> DataFrame:
-    """One row: how many rows of ``df`` have no partner."""
-    missing = unmatched_values(df, fk, ref, ref_col)
-    return missing.agg(F.expr(f"cast(coalesce(sum(_rows), 0) as bigint) as `{name}`"))
-
+def unmatched_counts(
+    sources: list[tuple[DataFrame, list[Lookup]]], members: dict[str, DataFrame]
+) -> DataFrame:
+    """``(cle, valeurs, lignes)`` for many lookups at once: values and rows without a partner.
 
-def orphan_counts(df: DataFrame, table: str, fks: list[ForeignKey]) -> DataFrame:
-    """One row per foreign key: broken values and the rows that carry them."""
-    parts = [
-        unmatched_values(df, F.col(column), dim, key).agg(
-            F.expr(f"'{table}' as nom_table"),
-            F.expr(f"'{column}' as cle"),
-            F.expr("count(1) as valeurs"),
-            F.expr("cast(coalesce(sum(_rows), 0) as bigint) as orphelins"),
+    ``sources`` lists frames with their lookups (label, member list, SQL
+    expression of the identifier); ``members`` maps a member list to a
+    one-column frame. All identifiers of a frame are taken in one read,
+    counted per value map-side, and meet all member lists in a single join.
+    Lookups without any unmatched row are reported with 0.
+    """
+    labels = [lookup.label for _, lookups in sources for lookup in lookups]
+    spark = sources[0][0].sparkSession
+    numbered = spark.createDataFrame(list(enumerate(labels)), "_n int, cle string")
+    lists = list(members)
+
+    position = 0
+    taken = []
+    for frame, lookups in sources:
+        cells = []
+        for lookup in lookups:
+            where = lists.index(lookup.members)
+            cells.append(f"{position}, {where}, cast({lookup.identifier} as string)")
+            position += 1
+        taken.append(
+            frame.selectExpr(f"stack({len(cells)}, {', '.join(cells)}) as (_n, _list, _fk)")
         )
-        for column, dim, key in fks
-    ]
-    return reduce(DataFrame.union, parts)
+    per_value = (
+        reduce(DataFrame.union, taken).groupBy("_n", "_list", "_fk").agg(F.expr("count(1) as _rows"))
+    )
+    known = reduce(
+        DataFrame.union,
+        [
+            frame.selectExpr(f"{i} as _list", f"cast(`{frame.columns[0]}` as string) as _fk")
+            for i, frame in enumerate(members.values())
+        ],
+    )
+    missing = (
+        per_value.join(known, ["_list", "_fk"], "left_anti")
+        .groupBy("_n")
+        .agg(F.expr("count(1) as _values"), F.expr("sum(_rows) as _rows"))
+    )
+    return numbered.join(missing, "_n", "left").selectExpr(
+        "cle",
+        "coalesce(_values, 0L) as valeurs",
+        "coalesce(_rows, 0L) as lignes",
+    )
 
 
 def any_orphan(
@@ -182,18 +220,20 @@ def any_orphan(
 ) -> DataFrame:
     """One row: rows of ``df`` with at least one key absent from its dimension.
 
-    ``counts`` holds the :func:`orphan_counts` row of each key (a handful of
-    numbers, read here when not given). With no broken key the answer is 0,
-    with one it is that key's count, and the rows are not read again. Only
+    ``counts`` holds the :func:`unmatched_counts` row of each key (a handful
+    of numbers, read here when not given). With no broken key the answer is
+    0, with one it is that key's count, and the rows are not read again. Only
     when several keys are broken are rows compared with the lists of broken
     values, broadcast when their counted size allows. A row broken in several
     ways counts once.
     """
     if counts is None:
-        counts = {r["cle"]: r for r in orphan_counts(df, "", fks).collect()}
+        lookups = [Lookup(column, column, column) for column, _, _ in fks]
+        members = {column: dim.select(key) for column, dim, key in fks}
+        counts = {r["cle"]: r for r in unmatched_counts([(df, lookups)], members).collect()}
     broken = [fk for fk in fks if counts[fk[0]]["valeurs"]]
     if len(broken) <= 1:
-        rows = counts[broken[0][0]]["orphelins"] if broken else 0
+        rows = counts[broken[0][0]]["lignes"] if broken else 0
         return df.sparkSession.range(1).select(F.lit(rows).cast("bigint").alias(name))
     rows = df.select(*[column for column, _, _ in broken])
     for i, (column, dim, key) in enumerate(broken):

@@ -19,7 +19,7 @@ from ledgerflow.functions.predicates import any_of
 from ledgerflow.functions.rules import EN_RETARD, IMPAYE, is_status, unpaid_amount
 from ledgerflow.functions.text import message
 from ledgerflow.operators.checks import ATTENTION, OK, unpivot
-from ledgerflow.operators.lookup import ForeignKey, any_orphan, orphan_counts, unmatched_rows
+from ledgerflow.operators.lookup import Lookup, any_orphan, unmatched_counts
 from ledgerflow.plans.calendar import date_bounds
 from ledgerflow.plans.guards import DIMENSION_KEYS
 
@@ -364,33 +364,55 @@ def grain_figures(facts: Tables) -> list[DataFrame]:
     return frames
 
 
-def unknown_key_figures(staging: Tables, dims: Tables) -> list[DataFrame]:
-    """Expected unknown keys, recomputed from staging by looking for missing partners."""
-    real = {d: dims[d].where(F.col(k) != 0) for d, k in DIMENSION_KEYS.items()}
-    direct = (
-        ("fact_transactions", "date_key", "transactions", "date_transaction"),
-        ("fact_transactions", "client_key", "transactions", "client_id"),
-        ("fact_transactions", "agence_key", "transactions", "agence_id"),
-        ("fact_transactions", "produit_key", "transactions", "produit_id"),
-        ("fact_credits", "date_octroi_key", "credits", "date_octroi"),
-        ("fact_credits", "date_fin_prevue_key", "credits", "date_fin_prevue"),
-        ("fact_credits", "client_key", "credits", "client_id"),
-        ("fact_credits", "agence_key", "credits", "agence_id"),
-        ("fact_remboursements", "date_echeance_key", "remboursements", "date_echeance"),
-        ("fact_remboursements", "date_paiement_key", "remboursements", "date_paiement"),
-        ("fact_objectifs_agences", "date_key", "objectifs_agences", "mois"),
-        ("fact_objectifs_agences", "agence_key", "objectifs_agences", "agence_id"),
-        ("fact_entrees_clients", "date_key", "clients", "date_entree"),
-        ("fact_entrees_clients", "client_key", "clients", "client_id"),
-        ("fact_entrees_clients", "agence_key", "clients", "agence_id"),
+# --- fixed values: (fact, foreign key, staging identifier) looked up directly -----
+LOOKUPS = {
+    "transactions": (
+        ("fact_transactions", "date_key", "date_transaction"),
+        ("fact_transactions", "client_key", "client_id"),
+        ("fact_transactions", "agence_key", "agence_id"),
+        ("fact_transactions", "produit_key", "produit_id"),
+    ),
+    "credits": (
+        ("fact_credits", "date_octroi_key", "date_octroi"),
+        ("fact_credits", "date_fin_prevue_key", "date_fin_prevue"),
+        ("fact_credits", "client_key", "client_id"),
+        ("fact_credits", "agence_key", "agence_id"),
+    ),
+    "remboursements": (
+        ("fact_remboursements", "date_echeance_key", "date_echeance"),
+        ("fact_remboursements", "date_paiement_key", "date_paiement"),
+    ),
+    "objectifs_agences": (
+        ("fact_objectifs_agences", "date_key", "mois"),
+        ("fact_objectifs_agences", "agence_key", "agence_id"),
+    ),
+    "clients": (
+        ("fact_entrees_clients", "date_key", "date_entree"),
+        ("fact_entrees_clients", "client_key", "client_id"),
+        ("fact_entrees_clients", "agence_key", "agence_id"),
+    ),
+}
+
+
+def unknown_key_figures(staging: Tables, dims: Tables) -> DataFrame:
+    """(mesure, valeur): expected unknown keys, recomputed by looking for missing partners."""
+    home = {(fact, fk): dim for fact, fk, dim in RELATIONSHIPS}
+    business = {d: "date_complete" if d == "dim_date" else f"{d[4:]}_id" for d in DIMENSION_KEYS}
+    sources = []
+    for table, looked_up in LOOKUPS.items():
+        lookups = []
+        for fact, fk, column in looked_up:
+            dim = home[fact, fk]
+            identifier = f"cast({column} as date)" if dim == "dim_date" else column
+            lookups.append(Lookup(f"attendu:{fact}.{fk}", dim, identifier))
+        sources.append((staging[table], lookups))
+    members = {
+        d: dims[d].where(F.col(k) != 0).select(business[d]) for d, k in DIMENSION_KEYS.items()
+    }
+    direct = unmatched_counts(sources, members).selectExpr(
+        "cle as mesure", f"cast(lignes as {VALUE}) as valeur"
     )
-    frames = []
-    for fact, fk, table, column in direct:
-        dim = next(d for f, k, d in RELATIONSHIPS if (f, k) == (fact, fk))
-        own = F.col(column).cast("date") if dim == "dim_date" else F.col(column)
-        business = "date_complete" if dim == "dim_date" else f"{dim[4:]}_id"
-        frames.append(unmatched_rows(staging[table], own, real[dim], business, f"attendu:{fact}.{fk}"))
-    return [*frames, repayment_unknowns(staging, dims)]
+    return direct.union(unpivot(repayment_unknowns(staging, dims), VALUE))
 
 
 def repayment_unknowns(staging: Tables, dims: Tables) -> DataFrame:
@@ -436,22 +458,25 @@ def instalments_per_credit(staging: Tables, dims: Tables) -> DataFrame:
     )
 
 
-def foreign_keys(fact: str, dims: Tables) -> list[ForeignKey]:
-    return [(fk, dims[d], DIMENSION_KEYS[d]) for f, fk, d in RELATIONSHIPS if f == fact]
-
-
 def relationship_counts(dims: Tables, facts: Tables) -> DataFrame:
-    """Broken values and rows of the 17 relationships."""
-    parts = [orphan_counts(facts[fact], fact, foreign_keys(fact, dims)) for fact in FACTS]
-    return reduce(DataFrame.union, parts)
+    """(cle, valeurs, lignes) of the 17 relationships; ``cle`` is ``fact.foreign_key``."""
+    sources = [
+        (facts[fact], [Lookup(f"{f}.{fk}", dim, fk) for f, fk, dim in RELATIONSHIPS if f == fact])
+        for fact in FACTS
+    ]
+    members = {d: dims[d].select(k) for d, k in DIMENSION_KEYS.items()}
+    return unmatched_counts(sources, members)
 
 
 def relationship_report(dims: Tables, facts: Tables) -> DataFrame:
     """The 17 relationships with the number of rows breaking each."""
     spark = next(iter(facts.values())).sparkSession
-    targets = spark.createDataFrame(RELATIONSHIPS, "table_faits string, cle string, dimension string")
-    counts = relationship_counts(dims, facts).withColumnRenamed("nom_table", "table_faits")
-    return targets.join(counts, ["table_faits", "cle"]).selectExpr(
+    named = [(f"{fact}.{fk}", fact, fk, dim) for fact, fk, dim in RELATIONSHIPS]
+    targets = spark.createDataFrame(
+        named, "_id string, table_faits string, cle string, dimension string"
+    )
+    counts = relationship_counts(dims, facts).selectExpr("cle as _id", "lignes as orphelins")
+    return targets.join(counts, "_id").selectExpr(
         "table_faits",
         "cle",
         "dimension",
@@ -465,17 +490,17 @@ def integrity_figures(dims: Tables, facts: Tables) -> list[DataFrame]:
 
     The 17 counts are read first: they decide whether rows have to be looked at.
     """
-    counts = relationship_counts(dims, facts).collect()
+    counts = {r["cle"]: r for r in relationship_counts(dims, facts).collect()}
     frames = [
         any_orphan(
             facts[fact],
-            foreign_keys(fact, dims),
+            [(fk, dims[d], DIMENSION_KEYS[d]) for f, fk, d in RELATIONSHIPS if f == fact],
             f"orphelins:{fact}",
-            {r["cle"]: r for r in counts if r["nom_table"] == fact},
+            {fk: counts[f"{f}.{fk}"] for f, fk, _ in RELATIONSHIPS if f == fact},
         )
         for fact in FACTS
     ]
-    held = sum(r["orphelins"] == 0 for r in counts)
+    held = sum(r["lignes"] == 0 for r in counts.values())
     spark = next(iter(facts.values())).sparkSession
     return [*frames, spark.range(1).select(F.lit(held).alias("relations_verifiees"))]
 
@@ -499,10 +524,10 @@ def figures(staging: Tables, mart: Tables) -> DataFrame:
         *dimension_figures(staging, dims),
         *fact_figures(facts),
         *grain_figures(facts),
-        *unknown_key_figures(staging, dims),
         *integrity_figures(dims, facts),
     ]
-    return reduce(DataFrame.union, [unpivot(f, VALUE) for f in frames])
+    rows = [unpivot(f, VALUE) for f in frames]
+    return reduce(DataFrame.union, [*rows, unknown_key_figures(staging, dims)])
 
 
 _DEFINITION = "controle_id int, categorie string, controle string, _a string, _fixe int, _o string, commentaire string"

@@ -78,10 +78,17 @@ def dim_produit(staging: dict[str, DataFrame]) -> DataFrame:
     return with_unknown(keyed, "produit_key", UNKNOWN_PRODUIT)
 
 
+def calendar_dimension(staging: dict[str, DataFrame]) -> DataFrame:
+    return dim_date(date_bounds(staging))
+
+
+JOBS = {
+    "dim_date": calendar_dimension,
+    "dim_agence": dim_agence,
+    "dim_client": dim_client,
+    "dim_produit": dim_produit,
+}
+
+
 def build_dimensions(staging: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "dim_date": dim_date(date_bounds(staging)),
-        "dim_agence": dim_agence(staging),
-        "dim_client": dim_client(staging),
-        "dim_produit": dim_produit(staging),
-    }
+    return {name: job(staging) for name, job in JOBS.items()}

@@ -36,7 +36,7 @@ from ledgerflow.operators.checks import (
     single,
 )
 from ledgerflow.operators.dedup import first_by
-from ledgerflow.operators.lookup import orphan_rows, reference_keys
+from ledgerflow.operators.lookup import Lookup, orphan_rows, unmatched_counts
 from ledgerflow.sources.schemas import RAW_COLUMNS, staging_type
 
 Tables = dict[str, DataFrame]
@@ -311,7 +311,7 @@ def conversion_offenders(raw: Tables, table: str, order: list[str], n: int = 20)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.union, parts)
 
 
 # ------------------------------------------------------------ Q1 reconciliation
@@ -400,19 +400,27 @@ REFERENCES = (
 def orphan_report(raw: Tables, staging: Tables) -> DataFrame:
     """Rows whose given identifier has no reference, counted per identifier before the anti join."""
     layers = {"raw": raw, "staging": staging}
-    parts = []
-    for layer, table, column, ref, ref_column in REFERENCES:
-        key = reference_key(F.col(column)).alias("_own")
-        per_key = (
-            layers[layer][table].select(key).where(F.col("_own").isNotNull())
-            .groupBy("_own").agg(F.count(F.lit(1)).alias("_rows"))
-        )
-        refs = reference_keys(raw[ref], ref_column)
-        lost = per_key.join(refs, F.col("_own") == F.col("_ref"), "left_anti")
-        name = f"{column}_orphelins"
-        total = lost.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias(name))
-        parts.append(single(total, "Q10", f"{layer}.{table}"))
-    return _union(parts)
+    grouped: dict[tuple[str, str], list[Lookup]] = {}
+    for layer, table, column, ref, _ in REFERENCES:
+        # A missing identifier is not an orphan: it is matched with itself.
+        given = f"coalesce(upper(nullif(trim({column}), '')), '')"
+        label = f"{layer}.{table}/{column}_orphelins"
+        grouped.setdefault((layer, table), []).append(Lookup(label, ref, given))
+    members = {}
+    for *_, ref, ref_column in REFERENCES:
+        if ref not in members:
+            key = f"coalesce(upper(nullif(trim({ref_column}), '')), '')"
+            given = raw[ref].selectExpr(f"{key} as _ref")
+            blank = raw[ref].sparkSession.range(1).selectExpr("'' as _ref")
+            members[ref] = given.union(blank).distinct()
+    sources = [(layers[layer][table], lookups) for (layer, table), lookups in grouped.items()]
+    return unmatched_counts(sources, members).selectExpr(
+        "'Q10' as famille",
+        "split_part(cle, '/', 1) as nom_table",
+        "split_part(cle, '/', 2) as controle",
+        "lignes as valeur",
+        f"case when lignes = 0 then '{OK}' else '{ATTENTION}' end as statut",
+    )
 
 
 def orphan_list(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +34,11 @@ def load_raw(spark: SparkSession, sources: Tables, root: str) -> Tables:
 
 
 def build_staging(spark: SparkSession, raw: Tables, root: str) -> Tables:
-    return publish(spark, f"{root}/staging", staging.stage_all(raw))
+    return publish(
+        spark,
+        f"{root}/staging",
+        {table: partial(job, raw) for table, job in staging.JOBS.items()},
+    )
 
 
 def build_dimensions(spark: SparkSession, stg: Tables, root: str) -> Tables:
@@ -41,7 +46,7 @@ def build_dimensions(spark: SparkSession, stg: Tables, root: str) -> Tables:
     return publish(
         spark,
         f"{root}/dimensions",
-        dimensions.build_dimensions(stg),
+        {name: partial(job, stg) for name, job in dimensions.JOBS.items()},
         verify=lambda written: guards.enforce(guards.dimension_guards(stg, written)),
     )
 
@@ -52,7 +57,7 @@ def build_facts(spark: SparkSession, stg: Tables, dims: Tables, root: str) -> Ta
     return publish(
         spark,
         f"{root}/facts",
-        facts.build_facts(stg, dims),
+        {name: partial(job, stg, dims) for name, job in facts.JOBS.items()},
         verify=lambda written: guards.enforce(guards.fact_guards(stg, written)),
     )
 

@@ -39,7 +39,7 @@ def current_version(spark: SparkSession, root: str) -> tuple[int, str, list[str]
 def publish(
     spark: SparkSession,
     root: str,
-    tables: dict[str, DataFrame],
+    tables: dict[str, DataFrame | Callable[[], DataFrame]],
     verify: Callable[[dict[str, DataFrame]], None] | None = None,
     partition_by: dict[str, list[str]] | None = None,
     parallel: int = 4,
@@ -47,14 +47,17 @@ def publish(
     """Write, verify, then switch. Returns the published tables.
 
     The tables of a layer do not depend on each other: ``parallel`` of them
-    are submitted at a time, so the tail of one job overlaps the next.
+    are submitted at a time, so the tail of one job overlaps the next. A table
+    may be given as a function, called when its turn comes.
     """
     current = current_version(spark, root)
     sequence = current[0] + 1 if current else 1
     folder = f"{root}/v{sequence}-{uuid.uuid4().hex[:12]}"
 
     def write(name: str) -> None:
-        writer = tables[name].write.mode("errorifexists")
+        table = tables[name]
+        df = table() if callable(table) else table
+        writer = df.write.mode("errorifexists")
         columns = (partition_by or {}).get(name)
         if columns:
             writer = writer.partitionBy(*columns)

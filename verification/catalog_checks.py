@@ -634,7 +634,7 @@ _UNKNOWN = [
 
 @register("m08_m11_unknown_keys", _figures(*map(list, zip(*_UNKNOWN))))
 def _(x: Context) -> DataFrame:
-    return _long(controls.unknown_key_figures(x.staging, x.dims)).where(F.col("mesure").startswith("attendu:"))
+    return controls.unknown_key_figures(x.staging, x.dims).where(F.col("mesure").startswith("attendu:"))
 
 
 @register("m06_m13_fact_figures", _figures(
