@@ -23,6 +23,26 @@ CSV_OPTIONS = {
 }
 
 
+# Name of each extract inside the delivery folder.
+EXTRACT_FILES = {
+    "agences": "agences.csv",
+    "clients": "clients_raw.csv",
+    "credits": "credits_raw.csv",
+    "objectifs_agences": "objectifs_agences.csv",
+    "produits": "produits.csv",
+    "remboursements": "remboursements_raw.csv",
+    "transactions": "transactions_raw.csv",
+}
+
+
+def read_extracts(
+    spark: SparkSession, folder: str, files: dict[str, str] | None = None
+) -> dict[str, DataFrame]:
+    """All raw tables of a delivery; ``files`` overrides single names."""
+    names = EXTRACT_FILES | (files or {})
+    return {table: read_raw_csv(spark, table, f"{folder}/{name}") for table, name in names.items()}
+
+
 def read_raw_csv(spark: SparkSession, table: str, path: str) -> DataFrame:
     """A raw table from a file or a folder of files, every column text."""
     return spark.read.schema(raw_schema(table)).options(**CSV_OPTIONS).csv(path)

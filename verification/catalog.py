@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,26 +11,15 @@ from pyspark.sql import functions as F
 from ledgerflow.functions import dates, domains, parsing, rules, text
 from ledgerflow.functions import predicates as P
 from ledgerflow.operators import dedup, grouping, lookup
-from ledgerflow.plans import (
-    calendar,
-    controls,
-    dimensions,
-    facts,
-    guards,
-    quality,
-    reports,
-    staging,
-    summaries,
-)
+from ledgerflow.plans import calendar, controls, dimensions, facts, guards, quality, staging
 from ledgerflow.plans import measures as M
 from ledgerflow.sources import layers, publish, text_files
-from ledgerflow.sources.schemas import RAW_COLUMNS, STAGING_TYPES
+from ledgerflow.sources.schemas import RAW_COLUMNS
 from verification import oracle as O
 from verification.context import Context
 from verification.oracle import statement
 
 AS_OF = "2026-06-30"
-MATERIAL_TABLES = tuple(RAW_COLUMNS)
 
 QUERIES: dict[str, Callable[[Context], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,6 +81,21 @@ def _(x: Context) -> DataFrame:
     return layers.volume_report(publish.read_published(x.spark, root))
 
 
+@register("a5_a8_layers_and_columns", "select nom_table, cast(count(*) as bigint) as nombre_colonnes from ("
+          + " union all ".join(f"select '{t}' as nom_table from (values {', '.join(['(1)'] * len(RAW_COLUMNS[t]))}) v"
+                               for t in ("agences", "produits")) + ") t group by nom_table")
+def _(x: Context) -> DataFrame:
+    """Layer databases in the shared folder, two raw tables loaded twice, columns from the catalog."""
+    prefix = f"bank_{uuid.uuid4().hex[:8]}_"
+    layers.create_layers(x.spark, prefix, f"{x.root}/catalog")
+    for _run in range(2):
+        layers.create_layers(x.spark, prefix, f"{x.root}/catalog")
+        for table in ("agences", "produits"):
+            layers.replace_table(x.raw[table], f"{prefix}raw.{table}")
+    layers.require_tables(x.spark, [(f"{prefix}raw.{t}", "raw load") for t in ("agences", "produits")])
+    return layers.catalog_column_report(x.spark, f"{prefix}raw")
+
+
 @register("a6_literal_rows", """select agence_id, nom_agence, ville, region from dim_agence where agence_key = 0""")
 def _(x: Context) -> DataFrame:
     return x.dims["dim_agence"].where("agence_key = 0").select("agence_id", "nom_agence", "ville", "region")
