@@ -16,8 +16,10 @@ from ledgerflow.functions.text import reference_key
 HOT_LIMIT = 1000
 # Below this size a key is not worth splitting.
 HOT_MIN_ROWS = 200_000
-# Number of tasks a hot key (and the rows without a key) is spread over.
-HOT_SPLITS = 64
+# Rows of a hot key that one join group should receive.
+ROWS_PER_SPLIT = 1_000_000
+# Join groups for rows without a key: they need no partner, hence no copies.
+NULL_SPLITS = 1 << 16
 # A counted list of at most this many key values is sent to every executor.
 BROADCAST_VALUES = 500_000
 
@@ -37,21 +39,23 @@ def hot_keys(
     df: DataFrame,
     key: Column,
     min_rows: int = HOT_MIN_ROWS,
+    rows_per_split: int = ROWS_PER_SPLIT,
     limit: int = HOT_LIMIT,
 ) -> DataFrame:
-    """The most frequent keys, at most ``limit`` rows: safe to broadcast.
+    """The most frequent keys (``_hot``) and the groups to spread them over (``_splits``).
 
-    The count is combined map-side, so finding the hot keys is not itself skewed.
+    At most ``limit`` rows, so safe to broadcast. The count is combined
+    map-side: finding the hot keys is not itself skewed.
     """
     return (
         df.select(key.alias("_hot"))
-        .where(F.col("_hot").isNotNull())
+        .where("_hot is not null")
         .groupBy("_hot")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= min_rows)
+        .agg(F.expr("count(1) as _rows"))
+        .where(f"_rows >= {min_rows}")
         .orderBy(F.desc("_rows"), "_hot")
         .limit(limit)
-        .select("_hot")
+        .selectExpr("_hot", f"cast(1 + _rows div {rows_per_split} as int) as _splits")
     )
 
 
@@ -62,35 +66,34 @@ def split_left_join(
     right_key: str,
     spread_by: list[str],
     hot: DataFrame | None = None,
-    splits: int = HOT_SPLITS,
 ) -> DataFrame:
     """Left join against a reference unique on ``right_key``; ``right_key`` is dropped.
 
-    Rows of hot keys and rows without a key are spread over ``splits`` join
-    groups by a hash of ``spread_by``; only the reference rows of hot keys are
-    copied once per group. Every other row joins as usual, so nothing is
-    capped. The spread is a function of the row, hence stable under retries.
+    Rows of a hot key are spread over as many join groups as its size asks
+    for, by a hash of ``spread_by``, and only the reference row of that key is
+    copied once per group; rows without a key are spread without copies.
+    Every other row joins as usual, so nothing is capped. The spread is a
+    function of the row, hence stable under retries.
     """
-    hot = hot_keys(left, left_key) if hot is None else hot
-    spread = F.pmod(F.xxhash64(*spread_by), F.lit(splits)).cast("int")
-
+    hot = F.broadcast(hot_keys(left, left_key) if hot is None else hot)
+    spread = F.xxhash64(*spread_by)
     tagged = (
-        left.withColumn("_key", left_key)
-        .join(F.broadcast(hot), F.col("_key") == F.col("_hot"), "left")
+        left.withColumns({"_key": left_key, "_spread": spread})
+        .join(hot, F.col("_key") == F.col("_hot"), "left")
         .withColumn(
             "_split",
-            F.when(F.col("_hot").isNotNull() | F.col("_key").isNull(), spread).otherwise(F.lit(0)),
+            F.expr(
+                f"cast(case when _key is null then pmod(_spread, {NULL_SPLITS})"
+                " when _hot is not null then pmod(_spread, _splits) else 0 end as int)"
+            ),
         )
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(
-        F.array(F.lit(0))
+        .drop("_hot", "_splits", "_spread")
     )
     reference = (
         right.withColumnRenamed(right_key, "_key")
-        .join(F.broadcast(hot), F.col("_key") == F.col("_hot"), "left")
-        .withColumn("_split", F.explode(copies))
-        .drop("_hot")
+        .join(hot, F.col("_key") == F.col("_hot"), "left")
+        .withColumn("_split", F.expr("explode(sequence(0, coalesce(_splits, 1) - 1))"))
+        .drop("_hot", "_splits")
     )
     return tagged.join(reference, ["_key", "_split"], "left").drop("_key", "_split")
 
@@ -249,6 +252,8 @@ def any_orphan(
 
 def orphan_rows(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:
     """Rows whose given identifier is absent from a raw reference table."""
-    keys = reference_keys(ref, ref_column)
+    keys = reference_keys(ref, ref_column).withColumn("_known", F.lit(True))
     own = reference_key(F.col(column))
-    return df.where(own.isNotNull()).join(keys, own == F.col("_ref"), "left_anti")
+    given = df.where(own.isNotNull())
+    joined = split_left_join(given, keys, own, "_ref", df.columns)
+    return joined.where("_known is null").drop("_known")

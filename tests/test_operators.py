@@ -59,9 +59,9 @@ def test_split_join_equals_plain_join(spark):
     right = spark.range(40).selectExpr("string(id) as code", "id as found").unionByName(
         spark.createDataFrame([("hot", -1)], "code string, found bigint")
     )
-    hot = lookup.hot_keys(left, F.col("fk"), min_rows=1000)
-    assert [r[0] for r in hot.collect()] == ["hot"]
-    split = lookup.split_left_join(left, right, F.col("fk"), "code", ["id"], hot, splits=8)
+    hot = lookup.hot_keys(left, F.col("fk"), min_rows=1000, rows_per_split=400)
+    assert [tuple(r) for r in hot.collect()] == [("hot", 8)]
+    split = lookup.split_left_join(left, right, F.col("fk"), "code", ["id"], hot)
     plain = left.join(right.withColumnRenamed("code", "fk"), "fk", "left")
     assert sorted(map(tuple, split.select("id", "found").collect()), key=str) == sorted(
         map(tuple, plain.select("id", "found").collect()), key=str
@@ -71,11 +71,11 @@ def test_split_join_equals_plain_join(spark):
 def test_hot_key_is_spread_over_join_groups(spark):
     left = spark.range(8000).selectExpr("id", "'hot' as fk")
     right = spark.createDataFrame([("hot", 1)], "code string, found int")
-    hot = lookup.hot_keys(left, F.col("fk"), min_rows=10)
+    hot = lookup.hot_keys(left, F.col("fk"), min_rows=10, rows_per_split=100)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = lookup.split_left_join(left, right, F.col("fk"), "code", ["id"], hot, splits=64)
+        joined = lookup.split_left_join(left, right, F.col("fk"), "code", ["id"], hot)
         sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -83,6 +83,28 @@ def test_hot_key_is_spread_over_join_groups(spark):
     assert sum(sizes) == 8000 and len(sizes) == 4 and max(sizes) < 4000
 
 
+def test_rows_without_key_are_spread(spark):
+    left = spark.range(8000).selectExpr("id", "cast(null as string) as fk")
+    right = spark.createDataFrame([("a", 1)], "code string, found int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookup.split_left_join(left, right, F.col("fk"), "code", ["id"])
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 8000 and len(sizes) == 4 and max(sizes) < 2500
+
+
+def test_orphan_rows_with_a_hot_orphan(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "HOT_MIN_ROWS", 5)
+    df = spark.range(300).selectExpr("id", "case id % 3 when 0 then ' a9 ' when 1 then '' else 'a1' end as fk")
+    ref = spark.createDataFrame([("A1",)], "code string")
+    assert lookup.orphan_rows(df, "fk", ref, "code").where("id % 3 = 0").count() == 100
+    assert lookup.orphan_rows(df, "fk", ref, "code").count() == 100
+
+
 def test_null_orphans_keep_every_row(spark):
     df = spark.createDataFrame([(1, "a1"), (2, "A2"), (3, None), (4, "A9")], "n int, fk string")
     refs = spark.createDataFrame([(" A1",), ("a2 ",), ("A2",), (None,), ("",)], "code string")

@@ -74,3 +74,15 @@ def test_volume_report_and_preview(spark):
     report = layers.volume_report({"a": spark.range(3), "b": spark.range(0)}).collect()
     assert sorted(map(tuple, report)) == [("a", 3), ("b", 0)]
     assert [r.id for r in layers.preview(spark.range(100).repartition(3), 4, "id").collect()] == [0, 1, 2, 3]
+
+
+def test_entry_point_builds_from_extracts(spark, golden, tmp_path, capsys):
+    """Extract files in, published warehouse and verdict out."""
+    from ledgerflow import run
+    from ledgerflow.sources.text_files import EXTRACT_FILES
+
+    for table, name in EXTRACT_FILES.items():
+        write_raw_csv(golden.raw[table], str(tmp_path / "in" / name))
+    run.main(["--extracts", str(tmp_path / "in"), "--root", str(tmp_path / "out")])
+    printed = capsys.readouterr().out
+    assert "MODÈLE VALIDÉ. 61 contrôles" in printed and "18899 échéances" in printed
