@@ -71,156 +71,112 @@ FACTS = tuple(dict.fromkeys(fact for fact, _, _ in RELATIONSHIPS))
 
 @dataclass(frozen=True)
 class Control:
+    """A figure and what it should be: another figure (by name) or a fixed number."""
+
     category: str
     name: str
     expected: str | int
     observed: str
-    comment: str
+    detail: str = ""
+
+    @property
+    def comment(self) -> str:
+        if isinstance(self.expected, str):
+            return f"{self.observed} comparé à {self.expected}{self.detail}"
+        return f"{self.observed} doit valoir {self.expected}{self.detail}"
+
+
+# --- fixed values: names of the controls, in report order --------------------------
+DIMENSION_VOLUMES = {
+    "agence": "Nombre d’agences réelles",
+    "client": "Nombre de clients réels",
+    "produit": "Nombre de produits réels",
+}
+FACT_VOLUMES = {
+    "fact_transactions": ("transactions", "Nombre de transactions"),
+    "fact_credits": ("credits", "Nombre de crédits"),
+    "fact_remboursements": ("remboursements", "Nombre d’échéances"),
+    "fact_objectifs_agences": ("objectifs_agences", "Nombre d’objectifs agence-mois"),
+    "fact_entrees_clients": ("clients", "Nombre d’entrées clients"),
+}
+UNIQUE_IDS = {
+    "Une ligne par transaction": ("fact_transactions", "transaction_id"),
+    "Une ligne par crédit": ("fact_credits", "credit_id"),
+    "Une ligne par échéance": ("fact_remboursements", "remboursement_id"),
+}
+UNIQUE_KEYS = {
+    "Un objectif par agence et par mois": "objectifs_doublons",
+    "Une entrée par client": "entrees_doublons",
+}
+UNKNOWN_KEYS = (
+    ("Dates inconnues", "fact_transactions", "date_key"),
+    ("Clients inconnus", "fact_transactions", "client_key"),
+    ("Agences inconnues", "fact_transactions", "agence_key"),
+    ("Produits inconnus", "fact_transactions", "produit_key"),
+    ("Dates d’octroi inconnues", "fact_credits", "date_octroi_key"),
+    ("Dates de fin prévues inconnues", "fact_credits", "date_fin_prevue_key"),
+    ("Clients inconnus", "fact_credits", "client_key"),
+    ("Agences inconnues", "fact_credits", "agence_key"),
+    ("Dates d’échéance inconnues", "fact_remboursements", "date_echeance_key"),
+    ("Dates de paiement inconnues", "fact_remboursements", "date_paiement_key"),
+    ("Clients inconnus", "fact_remboursements", "client_key"),
+    ("Agences inconnues", "fact_remboursements", "agence_key"),
+    ("Dates inconnues", "fact_objectifs_agences", "date_key"),
+    ("Agences inconnues", "fact_objectifs_agences", "agence_key"),
+    ("Dates inconnues", "fact_entrees_clients", "date_key"),
+    ("Clients inconnus", "fact_entrees_clients", "client_key"),
+    ("Agences inconnues", "fact_entrees_clients", "agence_key"),
+)
+AMOUNTS = {
+    "Montant signé total des transactions": ("stg_montant", "fact_montant_signe"),
+    "Production totale de crédit": ("stg_montant_initial", "fact_montant_initial"),
+    "Montant total attendu des remboursements": ("stg_montant_attendu", "fact_montant_attendu"),
+    "Montant total payé des remboursements": ("stg_montant_paye", "fact_montant_paye"),
+    "Objectif total de revenu": ("stg_objectif_revenu", "fact_objectif_revenu"),
+    "Objectif total de production de crédit": (
+        "stg_objectif_production_credit", "fact_objectif_production_credit",
+    ),
+}
+INDICATORS = {
+    "Compteur nombre_transactions": "nombre_transactions_invalides",
+    "Cohérence de montant_debit": "montant_debit_invalides",
+    "Cohérence de montant_credit": "montant_credit_invalides",
+    "Compteur nombre_credits": "nombre_credits_invalides",
+    "Compteur nombre_echeances": "nombre_echeances_invalides",
+    "Cohérence de est_impaye": "est_impaye_incoherents",
+    "Cohérence de est_en_retard": "est_en_retard_incoherents",
+    "Cohérence de montant_non_paye": "montant_non_paye_incoherents",
+    "Compteur nombre_lignes_objectif": "nombre_lignes_objectif_invalides",
+    "Compteur nombre_nouveaux_clients": "nombre_nouveaux_clients_invalides",
+}
+# Repayments reach their branch through the credit: the comment splits the two causes.
+_BRANCH_CAUSES = (
+    " : {credits_introuvables} sans crédit, {agences_credit_inconnues} dont le crédit n’a pas d’agence connue"
+)
+
+
+def _unknown_key_control(label: str, fact: str, fk: str) -> Control:
+    detail = _BRANCH_CAUSES if (fact, fk) == ("fact_remboursements", "agence_key") else ""
+    sides = f"attendu:{fact}.{fk}", f"observe:{fact}.{fk}"
+    return Control("Clés inconnues", f"{label} dans {fact}", *sides, detail)
 
 
-# --- fixed values: the controls, in report order ---------------------------------
 CONTROLS = (
-    Control("Préparation", "Présence des tables nécessaires", len(REQUIRED), "tables_presentes",
-            "Toutes les tables staging, dimensions et faits nécessaires sont présentes."),
+    Control("Préparation", "Présence des tables nécessaires", len(REQUIRED), "tables_presentes"),
     Control("Dimensions", "Couverture de mart.dim_date", "jours_attendus", "jours_observes",
-            "La dimension Date doit couvrir chaque journée du {premiere_date} au {derniere_date}, hors membre inconnu."),
-    Control("Dimensions", "Nombre d’agences réelles", "stg_agences", "dim_agence_reels",
-            "Chaque agence de staging doit apparaître une seule fois dans mart.dim_agence."),
-    Control("Dimensions", "Nombre de clients réels", "stg_clients", "dim_client_reels",
-            "Chaque client de staging doit apparaître une seule fois dans mart.dim_client."),
-    Control("Dimensions", "Nombre de produits réels", "stg_produits", "dim_produit_reels",
-            "Chaque produit de staging doit apparaître une seule fois dans mart.dim_produit."),
-    Control("Dimensions", "Membre inconnu de dim_date", 1, "dim_date_inconnus",
-            "dim_date doit contenir exactement une ligne date_key = 0."),
-    Control("Dimensions", "Membre inconnu de dim_agence", 1, "dim_agence_inconnus",
-            "dim_agence doit contenir exactement une ligne agence_key = 0."),
-    Control("Dimensions", "Membre inconnu de dim_client", 1, "dim_client_inconnus",
-            "dim_client doit contenir exactement une ligne client_key = 0."),
-    Control("Dimensions", "Membre inconnu de dim_produit", 1, "dim_produit_inconnus",
-            "dim_produit doit contenir exactement une ligne produit_key = 0."),
-    Control("Dimensions", "Unicité de agence_id", "dim_agence_reels", "dim_agence_distincts",
-            "Une agence métier ne doit apparaître qu’une seule fois dans dim_agence."),
-    Control("Dimensions", "Unicité de client_id", "dim_client_reels", "dim_client_distincts",
-            "Un client métier ne doit apparaître qu’une seule fois dans dim_client."),
-    Control("Dimensions", "Unicité de produit_id", "dim_produit_reels", "dim_produit_distincts",
-            "Un produit métier ne doit apparaître qu’une seule fois dans dim_produit."),
-    Control("Tables de faits", "Nombre de transactions", "stg_transactions", "fact_transactions_lignes",
-            "Chaque transaction de staging doit produire une ligne dans fact_transactions."),
-    Control("Tables de faits", "Nombre de crédits", "stg_credits", "fact_credits_lignes",
-            "Chaque crédit de staging doit produire une ligne dans fact_credits."),
-    Control("Tables de faits", "Nombre d’échéances", "stg_remboursements", "fact_remboursements_lignes",
-            "Chaque remboursement de staging doit produire une ligne dans fact_remboursements."),
-    Control("Tables de faits", "Nombre d’objectifs agence-mois", "stg_objectifs_agences", "fact_objectifs_agences_lignes",
-            "Chaque objectif de staging doit produire une ligne dans fact_objectifs_agences."),
-    Control("Tables de faits", "Nombre d’entrées clients", "stg_clients", "fact_entrees_clients_lignes",
-            "Chaque client doit produire une ligne dans fact_entrees_clients."),
-    Control("Grains", "Une ligne par transaction", "fact_transactions_lignes", "transaction_id_distincts",
-            "transaction_id doit être unique dans fact_transactions."),
-    Control("Grains", "Une ligne par crédit", "fact_credits_lignes", "credit_id_distincts",
-            "credit_id doit être unique dans fact_credits."),
-    Control("Grains", "Une ligne par échéance", "fact_remboursements_lignes", "remboursement_id_distincts",
-            "remboursement_id doit être unique dans fact_remboursements."),
-    Control("Grains", "Un objectif par agence et par mois", 0, "objectifs_doublons",
-            "Le couple date_key + agence_key doit être unique dans fact_objectifs_agences."),
-    Control("Grains", "Une entrée par client", 0, "entrees_doublons",
-            "client_key doit être unique dans fact_entrees_clients."),
-    Control("Clés inconnues", "Dates inconnues dans fact_transactions",
-            "attendu:fact_transactions.date_key", "observe:fact_transactions.date_key",
-            "Le nombre attendu est recalculé depuis staging en recherchant les dates sans correspondance dans dim_date."),
-    Control("Clés inconnues", "Clients inconnus dans fact_transactions",
-            "attendu:fact_transactions.client_key", "observe:fact_transactions.client_key",
-            "Le nombre attendu correspond aux client_id de staging non retrouvés dans dim_client."),
-    Control("Clés inconnues", "Agences inconnues dans fact_transactions",
-            "attendu:fact_transactions.agence_key", "observe:fact_transactions.agence_key",
-            "Le nombre attendu correspond aux agence_id de staging non retrouvés dans dim_agence."),
-    Control("Clés inconnues", "Produits inconnus dans fact_transactions",
-            "attendu:fact_transactions.produit_key", "observe:fact_transactions.produit_key",
-            "Le nombre attendu correspond aux produit_id de staging non retrouvés dans dim_produit."),
-    Control("Clés inconnues", "Dates d’octroi inconnues dans fact_credits",
-            "attendu:fact_credits.date_octroi_key", "observe:fact_credits.date_octroi_key",
-            "Le nombre attendu est calculé à partir des dates d’octroi sans correspondance dans dim_date."),
-    Control("Clés inconnues", "Dates de fin prévues inconnues dans fact_credits",
-            "attendu:fact_credits.date_fin_prevue_key", "observe:fact_credits.date_fin_prevue_key",
-            "Le nombre attendu est calculé à partir des dates de fin sans correspondance dans dim_date."),
-    Control("Clés inconnues", "Clients inconnus dans fact_credits",
-            "attendu:fact_credits.client_key", "observe:fact_credits.client_key",
-            "Le nombre attendu correspond aux clients de crédits non retrouvés dans dim_client."),
-    Control("Clés inconnues", "Agences inconnues dans fact_credits",
-            "attendu:fact_credits.agence_key", "observe:fact_credits.agence_key",
-            "Le nombre attendu correspond aux agences de crédits non retrouvées dans dim_agence."),
-    Control("Clés inconnues", "Dates d’échéance inconnues dans fact_remboursements",
-            "attendu:fact_remboursements.date_echeance_key", "observe:fact_remboursements.date_echeance_key",
-            "Le nombre attendu correspond aux dates d’échéance sans correspondance dans dim_date."),
-    Control("Clés inconnues", "Dates de paiement inconnues dans fact_remboursements",
-            "attendu:fact_remboursements.date_paiement_key", "observe:fact_remboursements.date_paiement_key",
-            "Une date_paiement_key égale à 0 est normale lorsqu’aucune date valide n’est retrouvée dans dim_date."),
-    Control("Clés inconnues", "Clients inconnus dans fact_remboursements",
-            "attendu:fact_remboursements.client_key", "observe:fact_remboursements.client_key",
-            "Le nombre attendu inclut les crédits introuvables et les éventuels clients de crédit absents de dim_client."),
-    Control("Clés inconnues", "Agences inconnues dans fact_remboursements",
-            "attendu:fact_remboursements.agence_key", "observe:fact_remboursements.agence_key",
-            "Le nombre attendu inclut {credits_introuvables} échéance(s) avec crédit introuvable et "
-            "{agences_credit_inconnues} échéance(s) dont le crédit existe mais dont l’agence est inconnue."),
-    Control("Clés inconnues", "Dates inconnues dans fact_objectifs_agences",
-            "attendu:fact_objectifs_agences.date_key", "observe:fact_objectifs_agences.date_key",
-            "Le nombre attendu correspond aux mois d’objectif sans correspondance dans dim_date."),
-    Control("Clés inconnues", "Agences inconnues dans fact_objectifs_agences",
-            "attendu:fact_objectifs_agences.agence_key", "observe:fact_objectifs_agences.agence_key",
-            "Le nombre attendu correspond aux agences d’objectif non retrouvées dans dim_agence."),
-    Control("Clés inconnues", "Dates inconnues dans fact_entrees_clients",
-            "attendu:fact_entrees_clients.date_key", "observe:fact_entrees_clients.date_key",
-            "Le nombre attendu correspond aux dates d’entrée non retrouvées dans dim_date."),
-    Control("Clés inconnues", "Clients inconnus dans fact_entrees_clients",
-            "attendu:fact_entrees_clients.client_key", "observe:fact_entrees_clients.client_key",
-            "Le nombre attendu correspond aux clients de staging non retrouvés dans dim_client."),
-    Control("Clés inconnues", "Agences inconnues dans fact_entrees_clients",
-            "attendu:fact_entrees_clients.agence_key", "observe:fact_entrees_clients.agence_key",
-            "Le nombre attendu correspond aux agences de rattachement non retrouvées dans dim_agence."),
-    Control("Montants", "Montant signé total des transactions", "stg_montant", "fact_montant_signe",
-            "La somme de montant_signe doit être identique à la somme de staging.transactions.montant."),
-    Control("Montants", "Production totale de crédit", "stg_montant_initial", "fact_montant_initial",
-            "La somme des montants initiaux doit être conservée."),
-    Control("Montants", "Montant total attendu des remboursements", "stg_montant_attendu", "fact_montant_attendu",
-            "La somme des montants attendus doit être conservée."),
-    Control("Montants", "Montant total payé des remboursements", "stg_montant_paye", "fact_montant_paye",
-            "La somme des montants payés valides doit être conservée."),
-    Control("Montants", "Objectif total de revenu", "stg_objectif_revenu", "fact_objectif_revenu",
-            "La somme des objectifs de revenu doit être conservée."),
-    Control("Montants", "Objectif total de production de crédit", "stg_objectif_production_credit",
-            "fact_objectif_production_credit",
-            "La somme des objectifs de production de crédit doit être conservée."),
-    Control("Indicateurs", "Compteur nombre_transactions", 0, "nombre_transactions_invalides",
-            "Chaque ligne de fact_transactions doit avoir nombre_transactions = 1."),
-    Control("Indicateurs", "Cohérence de montant_debit", 0, "montant_debit_invalides",
-            "Un débit doit être positif dans montant_debit ; les autres opérations doivent contenir 0."),
-    Control("Indicateurs", "Cohérence de montant_credit", 0, "montant_credit_invalides",
-            "Un crédit doit être positif dans montant_credit ; les autres opérations doivent contenir 0."),
-    Control("Indicateurs", "Compteur nombre_credits", 0, "nombre_credits_invalides",
-            "Chaque ligne de fact_credits doit avoir nombre_credits = 1."),
-    Control("Indicateurs", "Compteur nombre_echeances", 0, "nombre_echeances_invalides",
-            "Chaque ligne de fact_remboursements doit avoir nombre_echeances = 1."),
-    Control("Indicateurs", "Cohérence de est_impaye", 0, "est_impaye_incoherents",
-            "est_impaye doit valoir 1 uniquement lorsque le statut est Impayé."),
-    Control("Indicateurs", "Cohérence de est_en_retard", 0, "est_en_retard_incoherents",
-            "est_en_retard doit valoir 1 uniquement lorsque le statut est Payé en retard."),
-    Control("Indicateurs", "Cohérence de montant_non_paye", 0, "montant_non_paye_incoherents",
-            "montant_non_paye doit suivre la règle du reste à payer."),
-    Control("Indicateurs", "Compteur nombre_lignes_objectif", 0, "nombre_lignes_objectif_invalides",
-            "Chaque ligne d’objectif doit avoir nombre_lignes_objectif = 1."),
-    Control("Indicateurs", "Compteur nombre_nouveaux_clients", 0, "nombre_nouveaux_clients_invalides",
-            "Chaque entrée client doit avoir nombre_nouveaux_clients = 1."),
-    Control("Relations", "Clés orphelines dans fact_transactions", 0, "orphelins:fact_transactions",
-            "Toutes les clés de fact_transactions doivent correspondre à une dimension."),
-    Control("Relations", "Clés orphelines dans fact_credits", 0, "orphelins:fact_credits",
-            "Toutes les clés de fact_credits doivent correspondre à une dimension."),
-    Control("Relations", "Clés orphelines dans fact_remboursements", 0, "orphelins:fact_remboursements",
-            "Toutes les clés de fact_remboursements doivent correspondre à une dimension."),
-    Control("Relations", "Clés orphelines dans fact_objectifs_agences", 0, "orphelins:fact_objectifs_agences",
-            "Toutes les clés de fact_objectifs_agences doivent correspondre à une dimension."),
-    Control("Relations", "Clés orphelines dans fact_entrees_clients", 0, "orphelins:fact_entrees_clients",
-            "Toutes les clés de fact_entrees_clients doivent correspondre à une dimension."),
-    Control("Relations", "Relations vérifiées", len(RELATIONSHIPS), "relations_verifiees",
-            "Le modèle doit contenir 17 relations sans clé orpheline."),
+            " du {premiere_date} au {derniere_date}"),
+    *[Control("Dimensions", name, f"stg_{d}s", f"dim_{d}_reels") for d, name in DIMENSION_VOLUMES.items()],
+    *[Control("Dimensions", f"Membre inconnu de {d}", 1, f"{d}_inconnus") for d in DIMENSION_KEYS],
+    *[Control("Dimensions", f"Unicité de {d}_id", f"dim_{d}_reels", f"dim_{d}_distincts")
+      for d in DIMENSION_VOLUMES],
+    *[Control("Tables de faits", name, f"stg_{t}", f"{fact}_lignes") for fact, (t, name) in FACT_VOLUMES.items()],
+    *[Control("Grains", name, f"{fact}_lignes", f"{c}_distincts") for name, (fact, c) in UNIQUE_IDS.items()],
+    *[Control("Grains", name, 0, figure) for name, figure in UNIQUE_KEYS.items()],
+    *[_unknown_key_control(*entry) for entry in UNKNOWN_KEYS],
+    *[Control("Montants", name, *sides) for name, sides in AMOUNTS.items()],
+    *[Control("Indicateurs", name, 0, figure) for name, figure in INDICATORS.items()],
+    *[Control("Relations", f"Clés orphelines dans {fact}", 0, f"orphelins:{fact}") for fact in FACTS],
+    Control("Relations", "Relations vérifiées", len(RELATIONSHIPS), "relations_verifiees"),
 )
 
 
@@ -603,18 +559,16 @@ def verdict(results: DataFrame, mart: Tables) -> DataFrame:
     ).select("*", *counts)
     c = F.col
     good = message(
-        "CONCLUSION FINALE : MODÈLE VALIDÉ. ", c("controles_realises"),
-        " contrôles ont été réalisés et tous sont conformes. Le modèle mart contient ",
-        c("dates_reelles"), " dates réelles, ", c("agences_reelles"), " agences, ",
-        c("clients_reels"), " clients, ", c("produits_reels"), " produits, ",
+        "Modèle validé : ", c("controles_realises"), " contrôles conformes (",
+        c("dates_reelles"), " jours, ", c("agences_reelles"), " agences, ",
+        c("clients_reels"), " clients, ", c("produits_reels"), " produits ; ",
         c("transactions"), " transactions, ", c("credits"), " crédits, ",
-        c("remboursements"), " échéances, ", c("objectifs_agences"),
-        " objectifs agence-mois et ", c("entrees_clients"), " entrées clients.",
+        c("remboursements"), " échéances, ", c("objectifs_agences"), " objectifs, ",
+        c("entrees_clients"), " entrées).",
     )
     bad = message(
-        "CONCLUSION FINALE : MODÈLE À VÉRIFIER. ", c("controles_attention"),
-        " contrôle(s) portent le statut ATTENTION sur ", c("controles_realises"),
-        " contrôles réalisés.",
+        "Modèle à vérifier : ", c("controles_attention"), " contrôle(s) en écart sur ",
+        c("controles_realises"), ".",
     )
     return row.withColumn(
         "conclusion_finale", F.when(c("controles_attention") == 0, good).otherwise(bad)

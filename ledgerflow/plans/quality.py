@@ -327,13 +327,12 @@ def row_counts(raw: Tables, staging: Tables) -> DataFrame:
         removed = F.col("lignes_raw") - F.col("lignes_staging")
         accepted = removed >= 0 if table in DEDUPLICATED else removed == 0
         sentence = (
-            message("CONCLUSION : OK. ", F.col("lignes_staging"), " lignes dans staging.", table,
-                    ", ", removed, " doublon(s) retiré(s).")
+            message(f"{table} : ", F.col("lignes_staging"), " lignes uniques, ", removed,
+                    " répétition(s) écartée(s).")
             if table in DEDUPLICATED
-            else message("CONCLUSION : OK. Les ", F.col("lignes_raw"), " lignes ont été chargées dans staging.",
-                         table, " sans perte.")
+            else message(f"{table} : ", F.col("lignes_raw"), " lignes, aucune perdue.")
         )
-        warning = message("CONCLUSION : ATTENTION. Différence de ", F.abs(removed), " ligne(s) pour ", table, ".")
+        warning = message(f"{table} : ", F.abs(removed), " ligne(s) d’écart.")
         parts.append(
             counts.select(
                 "*",
@@ -653,9 +652,9 @@ def repayment_ranges(staging: Tables) -> DataFrame:
         "retard_maximum": F.max("jours_retard"),
     }
     sentence = message(
-        "CONCLUSION : les échéances vont du ", french_date(F.col("premiere_echeance")), " au ",
-        french_date(F.col("derniere_echeance")), " et les retards sont compris entre ",
-        F.col("retard_minimum"), " et ", F.col("retard_maximum"), " jours.",
+        "Échéances du ", french_date(F.col("premiere_echeance")), " au ",
+        french_date(F.col("derniere_echeance")), ", retards de ",
+        F.col("retard_minimum"), " à ", F.col("retard_maximum"), " jours.",
     )
     return (
         staging["remboursements"]

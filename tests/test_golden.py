@@ -112,7 +112,7 @@ def test_all_controls_hold(golden):
     }
     branch = next(r for r in rows if r.controle == "Agences inconnues dans fact_remboursements")
     assert branch.valeur_observee == 308
-    assert "25 échéance(s) avec crédit introuvable et 283 échéance(s)" in branch.commentaire
+    assert "25 sans crédit, 283 dont le crédit" in branch.commentaire
     verdict = controls.verdict(controls.controls(golden.staging, golden.mart), golden.mart).first()
     assert (verdict.controles_ok, verdict.controles_attention) == (61, 0)
 

@@ -85,4 +85,4 @@ def test_entry_point_builds_from_extracts(spark, golden, tmp_path, capsys):
         write_raw_csv(golden.raw[table], str(tmp_path / "in" / name))
     run.main(["--extracts", str(tmp_path / "in"), "--root", str(tmp_path / "out")])
     printed = capsys.readouterr().out
-    assert "MODÈLE VALIDÉ. 61 contrôles" in printed and "18899 échéances" in printed
+    assert "Modèle validé : 61 contrôles" in printed and "18899 échéances" in printed

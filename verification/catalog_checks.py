@@ -202,12 +202,12 @@ for _t in RAW_COLUMNS:
     _dedup = _t in quality.DEDUPLICATED
     _ok = "lignes_retirees >= 0" if _dedup else "lignes_retirees = 0"
     _good = (
-        f"concat('CONCLUSION : OK. ', lignes_staging, ' lignes dans staging.{_t}, ', lignes_retirees, ' doublon(s) retiré(s).')"
-        if _dedup else f"concat('CONCLUSION : OK. Les ', lignes_raw, ' lignes ont été chargées dans staging.{_t} sans perte.')"
+        f"concat('{_t} : ', lignes_staging, ' lignes uniques, ', lignes_retirees, ' répétition(s) écartée(s).')"
+        if _dedup else f"concat('{_t} : ', lignes_raw, ' lignes, aucune perdue.')"
     )
     _Q1.append(f"""select '{_t}' as nom_table, lignes_raw, lignes_staging, lignes_retirees,
  case when {_ok} then 'OK' else 'ATTENTION' end as statut,
- case when {_ok} then {_good} else concat('CONCLUSION : ATTENTION. Différence de ', abs(lignes_retirees), ' ligne(s) pour {_t}.') end as conclusion
+ case when {_ok} then {_good} else concat('{_t} : ', abs(lignes_retirees), ' ligne(s) d’écart.') end as conclusion
  from (select a as lignes_raw, b as lignes_staging, a - b as lignes_retirees from (select (select count(*) from raw_{_t}) as a,
  (select count(*) from stg_{_t}) as b) u) t""")
 
@@ -390,8 +390,8 @@ def _(x: Context) -> DataFrame:
     return quality.target_ranges(x.staging)
 
 
-@register("q18_repayment_ranges", """select *, concat('CONCLUSION : les échéances vont du ', strftime(premiere_echeance, '%d/%m/%Y'), ' au ',
- strftime(derniere_echeance, '%d/%m/%Y'), ' et les retards sont compris entre ', retard_minimum, ' et ', retard_maximum, ' jours.') as conclusion
+@register("q18_repayment_ranges", """select *, concat('Échéances du ', strftime(premiere_echeance, '%d/%m/%Y'), ' au ',
+ strftime(derniere_echeance, '%d/%m/%Y'), ', retards de ', retard_minimum, ' à ', retard_maximum, ' jours.') as conclusion
  from (select min(date_echeance) as premiere_echeance, max(date_echeance) as derniere_echeance, min(date_paiement) as premier_paiement,
  max(date_paiement) as dernier_paiement, min(jours_retard) as retard_minimum, max(jours_retard) as retard_maximum from stg_remboursements) t""")
 def _(x: Context) -> DataFrame:
@@ -673,12 +673,11 @@ _VOLUMES = {
 }
 
 
-@register("m18_verdict", f"""select *, case when controles_attention = 0 then concat('CONCLUSION FINALE : MODÈLE VALIDÉ. ', controles_realises,
- ' contrôles ont été réalisés et tous sont conformes. Le modèle mart contient ', dates_reelles, ' dates réelles, ', agences_reelles,
- ' agences, ', clients_reels, ' clients, ', produits_reels, ' produits, ', transactions, ' transactions, ', credits, ' crédits, ',
- remboursements, ' échéances, ', objectifs_agences, ' objectifs agence-mois et ', entrees_clients, ' entrées clients.')
- else concat('CONCLUSION FINALE : MODÈLE À VÉRIFIER. ', controles_attention, ' contrôle(s) portent le statut ATTENTION sur ',
- controles_realises, ' contrôles réalisés.') end as conclusion_finale from (select count(*) as controles_realises,
+@register("m18_verdict", f"""select *, case when controles_attention = 0 then concat('Modèle validé : ', controles_realises,
+ ' contrôles conformes (', dates_reelles, ' jours, ', agences_reelles, ' agences, ', clients_reels, ' clients, ', produits_reels,
+ ' produits ; ', transactions, ' transactions, ', credits, ' crédits, ', remboursements, ' échéances, ', objectifs_agences,
+ ' objectifs, ', entrees_clients, ' entrées).')
+ else concat('Modèle à vérifier : ', controles_attention, ' contrôle(s) en écart sur ', controles_realises, '.') end as conclusion_finale from (select count(*) as controles_realises,
  count(*) filter (where statut = 'OK') as controles_ok, count(*) filter (where statut = 'ATTENTION') as controles_attention,
  {', '.join(f'{v} as {n}' for n, v in _VOLUMES.items())} from ({controls_sql()}) c) t""")
 def _(x: Context) -> DataFrame:
