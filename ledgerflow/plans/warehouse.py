@@ -8,7 +8,8 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerflow.plans import dimensions, facts, guards, staging
-from ledgerflow.sources.publish import publish, read_published
+from ledgerflow.sources.layers import create_layers
+from ledgerflow.sources.publish import expose, publish, read_published
 
 Tables = dict[str, DataFrame]
 
@@ -75,3 +76,17 @@ def load(spark: SparkSession, root: str) -> Warehouse:
     layers = ("raw", "staging", "dimensions", "facts")
     raw, stg, dims, facts_ = (read_published(spark, f"{root}/{layer}") for layer in layers)
     return Warehouse(raw, stg, dims | facts_)
+
+
+# Published folder of a root -> catalog layer its tables appear in.
+_CATALOG_LAYER = {"raw": "raw", "staging": "staging", "dimensions": "mart", "facts": "mart"}
+
+
+def register(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
+    """Make the current version queryable as ``raw.*``, ``staging.*`` and ``mart.*``."""
+    create_layers(spark, prefix)
+    return [
+        name
+        for folder, layer in _CATALOG_LAYER.items()
+        for name in expose(spark, f"{root}/{folder}", f"{prefix}{layer}")
+    ]

@@ -82,3 +82,15 @@ def read_published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         raise FileNotFoundError(f"nothing published under {root}")
     _, folder, names = current
     return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+
+
+def expose(spark: SparkSession, root: str, database: str) -> list[str]:
+    """Point one catalog view per table at the current version; returns their names."""
+    current = current_version(spark, root)
+    if current is None:
+        raise FileNotFoundError(f"nothing published under {root}")
+    _, folder, names = current
+    views = [f"{database}.{name}" for name in names]
+    for view, name in zip(views, names, strict=True):
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{folder}/{name}`")
+    return views

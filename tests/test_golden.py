@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.plans import calendar, controls, facts, guards, quality, staging, summaries, warehouse
+from ledgerflow.sources import publish
 
 AS_OF = "2026-06-30"
 
@@ -178,6 +179,23 @@ def test_published_warehouse_can_be_loaded(spark, golden, tmp_path):
     assert _content({"a": loaded.mart["dim_agence"]}) == _content({"a": golden.mart["dim_agence"]})
 
 
+def test_layers_are_queryable_by_name(spark, golden, tmp_path):
+    root = str(tmp_path / "w")
+    publish.publish(spark, f"{root}/raw", {"produits": golden.raw["produits"]})
+    publish.publish(spark, f"{root}/staging", {"produits": golden.staging["produits"]})
+    publish.publish(spark, f"{root}/dimensions", {"dim_agence": golden.mart["dim_agence"]})
+    publish.publish(spark, f"{root}/facts", {"fact_credits": golden.mart["fact_credits"]})
+    for _ in range(2):
+        assert set(warehouse.register(spark, root, "g_")) == {
+            "g_raw.produits", "g_staging.produits", "g_mart.dim_agence", "g_mart.fact_credits",
+        }
+    rows = spark.sql(
+        "select a.agence_id, sum(f.nombre_credits) as n from g_mart.fact_credits f"
+        " join g_mart.dim_agence a on a.agence_key = f.agence_key group by 1"
+    ).collect()
+    assert {r.agence_id: r.n for r in rows}["INCONNUE"] == 10
+
+
 def test_calendar_rows(spark):
     bounds = spark.sql("select date'2020-12-28' as date_min, date'2024-01-07' as date_max")
     days = {r.date_key: r for r in calendar.dim_date(bounds).collect()}
