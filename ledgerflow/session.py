@@ -26,6 +26,9 @@ def build_session(
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # The JVM never compiles a method above 8 000 bytes of code: the wide cleaning
+        # projections are faster as split projections than as one interpreted loop.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     for key, value in (defaults | (settings or {})).items():
         builder = builder.config(key, value)
