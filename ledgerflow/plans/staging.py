@@ -20,31 +20,41 @@ from ledgerflow.functions.parsing import (
     safe_timestamp,
 )
 from ledgerflow.functions.rules import null_if_negative, repayment_status
-from ledgerflow.functions.text import blank_to_null, canonical, clean_code, clean_text
+from ledgerflow.functions.text import blank_to_null, canonical, repair_accents
 from ledgerflow.operators.dedup import first_by, occurrence_key
 from ledgerflow.operators.lookup import hot_keys, null_orphans
 
 Raw = dict[str, DataFrame]
 
 
+def _trimmed(df: DataFrame) -> DataFrame:
+    """All columns without outer spaces, blanks as NULL.
+
+    A projection of its own: the cleaning above it reads every value several
+    times and would otherwise trim it as often.
+    """
+    return df.select(*[blank_to_null(F.col(c)).alias(c) for c in df.columns])
+
+
+# The helpers below expect trimmed columns.
 def _text(*columns: str) -> list[Column]:
-    return [clean_text(F.col(c)).alias(c) for c in columns]
+    return [repair_accents(F.col(c)).alias(c) for c in columns]
 
 
 def _code(*columns: str) -> list[Column]:
-    return [clean_code(F.col(c)).alias(c) for c in columns]
+    return [F.upper(repair_accents(F.col(c))).alias(c) for c in columns]
 
 
 def _date(*columns: str) -> list[Column]:
-    return [safe_date(F.col(c)).alias(c) for c in columns]
+    return [safe_date(F.col(c), trimmed=True).alias(c) for c in columns]
 
 
 def _int(*columns: str) -> list[Column]:
-    return [safe_int(F.col(c)).alias(c) for c in columns]
+    return [safe_int(F.col(c), trimmed=True).alias(c) for c in columns]
 
 
 def _decimal(precision: int, scale: int, *columns: str) -> list[Column]:
-    return [safe_decimal(F.col(c), precision, scale).alias(c) for c in columns]
+    return [safe_decimal(F.col(c), precision, scale, trimmed=True).alias(c) for c in columns]
 
 
 def _relabel(df: DataFrame, spellings: dict[str, dict[str, str]]) -> DataFrame:
@@ -59,7 +69,7 @@ def _first_occurrence(df: DataFrame, id_col: str) -> DataFrame:
 
 
 def stage_agences(raw: Raw) -> DataFrame:
-    typed = raw["agences"].select(
+    typed = _trimmed(raw["agences"]).select(
         *_text("agence_id", "nom_agence", "ville", "code_postal", "departement", "region"),
         *_date("date_ouverture"),
         *_int("effectif"),
@@ -69,7 +79,7 @@ def stage_agences(raw: Raw) -> DataFrame:
 
 
 def typed_clients(raw: Raw) -> DataFrame:
-    return raw["clients"].select(
+    return _trimmed(raw["clients"]).select(
         *_int("ligne_source"),
         *_text("client_id", "prenom", "nom"),
         *_date("date_naissance", "date_entree"),
@@ -99,7 +109,7 @@ def stage_clients(raw: Raw) -> DataFrame:
 
 
 def typed_credits(raw: Raw) -> DataFrame:
-    return raw["credits"].select(
+    return _trimmed(raw["credits"]).select(
         *_int("ligne_source"),
         *_text("credit_id", "client_id", "agence_id", "type_credit"),
         *_date("date_octroi"),
@@ -136,9 +146,9 @@ def stage_credits(raw: Raw) -> DataFrame:
 
 
 def stage_objectifs(raw: Raw) -> DataFrame:
-    return raw["objectifs_agences"].select(
-        blank_to_null(F.col("agence_id")).alias("agence_id"),
-        month_start(F.col("mois")).alias("mois"),
+    return _trimmed(raw["objectifs_agences"]).select(
+        "agence_id",
+        month_start(F.col("mois"), trimmed=True).alias("mois"),
         *_decimal(15, 2, "objectif_revenu"),
         *_int("objectif_nouveaux_clients"),
         *_decimal(15, 2, "objectif_production_credit"),
@@ -147,7 +157,7 @@ def stage_objectifs(raw: Raw) -> DataFrame:
 
 
 def stage_produits(raw: Raw) -> DataFrame:
-    typed = raw["produits"].select(
+    typed = _trimmed(raw["produits"]).select(
         *_code("produit_id"),
         *_text("nom_produit", "famille_produit", "univers"),
         *_int("niveau_complexite"),
@@ -163,7 +173,7 @@ def stage_produits(raw: Raw) -> DataFrame:
 
 def stage_remboursements(raw: Raw) -> DataFrame:
     """Every instalment line is kept; the status is derived before negative payments are dropped."""
-    typed = raw["remboursements"].select(
+    typed = _trimmed(raw["remboursements"]).select(
         *_code("remboursement_id", "credit_id"),
         *_date("date_echeance", "date_paiement"),
         *_decimal(15, 2, "montant_attendu", "montant_paye"),
@@ -188,10 +198,10 @@ def stage_remboursements(raw: Raw) -> DataFrame:
 
 
 def typed_transactions(raw: Raw) -> DataFrame:
-    return raw["transactions"].select(
+    return _trimmed(raw["transactions"]).select(
         *_int("ligne_source"),
         *_code("transaction_id", "client_id"),
-        safe_timestamp(F.col("date_transaction")).alias("date_transaction"),
+        safe_timestamp(F.col("date_transaction"), trimmed=True).alias("date_transaction"),
         *_text("type_transaction"),
         *_decimal(15, 2, "montant"),
         *_text("sens"),
