@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ledgerflow.session import shared_folder
 
 # Text that one pass of a vectorised function takes at once; a longer document is one shard.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 # Rows of one Arrow batch: small, because a row can be very long. Batches are joined to shards.
 BATCH_ROWS = 256
 
@@ -42,6 +42,20 @@ def map_arrow(df: DataFrame, fn: Callable, schema: T.StructType) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def apart(df: DataFrame, text: str, *more: F.Column) -> DataFrame:
+    """The rows as ``row`` (all other columns) and ``body`` (the text), so that no added name clashes."""
+    return df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text], F.lit(0).alias("_")).alias("row"),
+        F.col(text).alias("body"),
+        *more,
+    )
+
+
+def together(df: DataFrame, columns: list[str], text: str) -> list[F.Column]:
+    """The columns that ``apart`` took apart, in their order."""
+    return [F.col("body").alias(c) if c == text else F.col(f"row.`{c}`") for c in columns]
+
+
 def schema(*fields: T.StructField | tuple[str, str]) -> T.StructType:
     return T.StructType(
         [f if isinstance(f, T.StructField) else T.StructField(f[0], T._parse_datatype_string(f[1])) for f in fields]

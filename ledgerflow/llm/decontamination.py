@@ -9,12 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import map_arrow, record, schema, shards, text_bytes
+from ledgerflow.llm.common import apart, map_arrow, record, schema, shards, text_bytes, together
 
 WINDOW_WORDS = 10
 # Benchmark text that is broadcast at once; a larger benchmark takes one pass for each so many bytes.
 BLOCK_BYTES = 8 << 20
 
+# Text whose suffixes are sorted together.
+SHARD_BYTES = 2 << 20
+
 # Bytes of words after lower-casing A-Z: digits, a-z and everything beyond ASCII.
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -250,6 +253,7 @@ def contamination(
     item_text: str = "text",
     window: int = WINDOW_WORDS,
     block_bytes: int = BLOCK_BYTES,
+    keep_text: bool = False,
 ) -> DataFrame:
     """For every row: its key, ``n_words``, the hit word ranges and the items found.
 
@@ -263,7 +267,8 @@ def contamination(
     The benchmark is broadcast in blocks of ``block_bytes``, each a further
     pass that adds to the ranges and items: no shuffle at any size. Null texts
     have no words; null and repeated keys are rows like others; an item without
-    id counts under the empty name; an empty benchmark hits nothing.
+    id counts under the empty name; an empty benchmark hits nothing. ``keep_text``
+    adds the text as ``body``.
     """
     spark = docs.sparkSession
     out = schema(
@@ -274,16 +279,16 @@ def contamination(
         ("items", "array<string>"),
     )
     empty = F.array().cast("array<long>")
-    frame = docs.select(F.col(key), F.lit(0).cast("long").alias("n_words"), empty.alias("span_starts"), empty.alias("span_ends"), F.array().cast("array<string>").alias("items"), F.col(text).alias("_body"))
-    carried = schema(*out.fields, ("_body", "string"))
+    frame = docs.select(F.col(key), F.lit(0).cast("long").alias("n_words"), empty.alias("span_starts"), empty.alias("span_ends"), F.array().cast("array<string>").alias("items"), F.col(text).alias("body"))
+    carried = schema(*out.fields, ("body", "string"))
 
     def step(frame: DataFrame, block: list) -> DataFrame:
         shared = spark.sparkContext.broadcast((block, window))
 
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tests = TestSet(*shared.value)
-            for batch in shards(batches, "_body"):
-                shard = Shard(batch.column("_body"), tests)
+            for batch in shards(batches, "body", SHARD_BYTES):
+                shard = Shard(batch.column("body"), tests)
                 windows, places = shard.occurrences()
                 old = [batch.column(c) for c in ("span_starts", "span_ends")]
                 before = [shard.begins.repeat(np.diff(c.offsets.to_numpy())) + c.flatten().to_numpy() for c in old]
@@ -312,7 +317,7 @@ def contamination(
                         "span_starts": _lists(starts - shard.begins[row], spans, pa.int64()),
                         "span_ends": _lists(ends - shard.begins[row], spans, pa.int64()),
                         "items": items,
-                        "_body": batch.column("_body"),
+                        "body": batch.column("body"),
                     },
                 )
 
@@ -320,7 +325,7 @@ def contamination(
 
     for block in _blocks(benchmark, item, item_text, block_bytes):
         frame = step(frame, block)
-    return frame.drop("_body")
+    return frame if keep_text else frame.drop("body")
 
 
 def longest_matches(
@@ -347,7 +352,7 @@ def longest_matches(
         def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tests = TestSet(*shared.value)
             start = np.arange(len(tests.length))
-            for batch in shards(batches, text):
+            for batch in shards(batches, text, SHARD_BYTES):
                 shard = Shard(batch.column(text), tests)
                 shard.occurrences()  # words that only share a hash are unknown from here on
                 words, place = shard.array.longest(tests.text, start, tests.length)
@@ -380,6 +385,6 @@ def longest_matches(
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """The documents without those that a benchmark window occurs in, whole rows; each is judged by its own text."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("body"))
-    judged = contamination(rows, benchmark, key="row", text="body", **options)
-    return judged.where(F.size("items") == 0).select("row.*")
+    rows = apart(docs, text)
+    judged = contamination(rows, benchmark, key="row", text="body", keep_text=True, **options)
+    return judged.where(F.size("items") == 0).select(*together(judged, docs.columns, text))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import map_arrow, record, schema, shards
+from ledgerflow.llm.common import apart, map_arrow, record, schema, shards, together
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
@@ -137,13 +137,16 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
-    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text).alias("body"))
-    out = schema(kept.schema["row"], ("lang_pred", "string"), ("score", "double"))
+    rows = apart(docs.select(*[f"`{c}`" for c in dict.fromkeys([*names, text])]), text)
+    fields = [rows.schema["row"], *([rows.schema["body"]] if text in names else [])]
+    out = schema(*fields, ("lang_pred", "string"), ("score", "double"))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for shard in shards(batches, "body"):
             labels, scores = model.score([t or "" for t in shard.column("body").to_pylist()])
-            yield record(out, {"row": shard.column("row"), "lang_pred": labels, "score": scores})
+            same = {f.name: shard.column(f.name) for f in fields}
+            yield record(out, same | {"lang_pred": labels, "score": scores})
 
-    return map_arrow(kept, predict, out).select("row.*", "lang_pred", "score")
+    judged = map_arrow(rows, predict, out)
+    return judged.select(*together(judged, names, text), "lang_pred", "score")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm.common import apart, together, written
+
 # Share of a host's pages from which a line counts as boilerplate.
 MAX_RATIO = 0.02
 # Pages that must hold the line: on a small site a share alone says little.
@@ -64,9 +66,9 @@ def without_boilerplate(
     The pages meet their host's list only; a page is never cut into rows, so
     texts are not shuffled by line.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row")
-    sites = pages.select(row, F.coalesce(host, F.lit("")).alias("host"), F.col(text).alias("body"))
-    found = boilerplate(sites, F.col("host"), "body", max_ratio, min_pages)
+    sites = apart(pages, text, F.coalesce(host, F.lit("")).alias("host"))
+    # Written first: Spark then knows the size of the lists when it picks the join.
+    found = written(boilerplate(sites, F.col("host"), "body", max_ratio, min_pages), "boilerplate")
     joined = sites.join(found.withColumnRenamed("lines", "bad"), "host", "left").withColumn("all", _lines(F.col("body")))
     kept = F.when(F.col("bad").isNull(), F.col("all")).otherwise(
         F.filter("all", lambda x: ~F.array_contains(F.col("bad"), _identity(x)))
@@ -74,6 +76,5 @@ def without_boilerplate(
     joined = joined.withColumn("kept", kept).withColumn(
         "body", F.when(F.col("body").isNotNull(), F.array_join("kept", "\n"))
     )
-    columns = [F.col("body").alias(c) if c == text else F.col(f"row.`{c}`") for c in pages.columns]
     sizes = [F.size("all").cast("long").alias("n_lines"), (F.size("all") - F.size("kept")).cast("long").alias("n_dropped")]
-    return joined.select(*columns, *(sizes if counts else []))
+    return joined.select(*together(joined, pages.columns, text), *(sizes if counts else []))

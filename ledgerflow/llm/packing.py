@@ -16,7 +16,7 @@ from ledgerflow.llm.common import map_arrow, record, schema, shards
 WINDOW = 4096
 END_ID = 2
 # Encoded words that a worker remembers: two generations of this many.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 250_000
 # Words that one call of the tokenizer gets.
 WORDS_A_CALL = 200
 # Windows that a task keeps open at most before it empties them into full ones.
