@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import decontamination, langid, lines, packing, simhash
+from ledgerflow.llm import decontamination, langid, licenses, lines, neighbours, packing, secrets, simhash
 from ledgerflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,37 @@ from joined join docs using (r)
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's owner is its source, its repository the source's part in one language."""
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.secrets(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.spelled(base), 256).alias("base_sha256"),
+        secrets.spelled(F.col("spans")).alias("spans"),
+        "n_live",
+        "n_copied",
+    )
+
+
+@query
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.licenses(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.array_join("licenses", ",").alias("licenses"), "n_candidates", "containment"
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -16,7 +17,7 @@ from ledgerflow.llm.common import map_arrow, record, schema, shards
 WINDOW = 4096
 END_ID = 2
 # Encoded words that a worker remembers: two generations of this many.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 400_000
 # Words that one call of the tokenizer gets.
 WORDS_A_CALL = 200
 # Windows that a task keeps open at most before it empties them into full ones.
@@ -24,6 +25,11 @@ OPEN_WINDOWS = 2048
 # Sequence ids: the task's number above these bits, the window's number below.
 SEQUENCE_BITS = 33
 
+# A word of Latin letters, which the vocabulary takes as one piece whatever its case, and a mark behind it.
+_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+_END_OF_WORD = "</w>"
+
+
 class Encoder:
     """Token ids of a text as little-endian 32-bit bytes, word by word.
 
@@ -36,6 +42,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(_END_OF_WORD)]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -45,29 +54,64 @@ class Encoder:
         return [b"".join([known[w] for w in words]) for words in split]
 
     def _known(self, distinct: set[str]) -> dict[str, bytes]:
-        """The worker's words, with all of these among them."""
-        missing = distinct.difference(self.young)
-        if len(self.young) + len(missing) > CACHED_WORDS:
-            self.old, self.young, missing = self.young, {}, distinct
-        again = missing.intersection(self.old)
-        self.young.update((w, self.old[w]) for w in again)
-        if unknown := list(missing - again):
-            self.young.update(zip(unknown, self._encoded(unknown)))
-        return self.young
-
-    def _encoded(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, from a call for many: a token belongs to the word it starts in."""
+        """The ids of these words."""
+        known, missing = {}, []
+        for word in distinct:
+            ids = self.young.get(word)
+            if ids is None:
+                missing.append(word)
+            else:
+                known[word] = ids
+        if missing:
+            known.update(self._learned(missing))
+        return known
+
+    def _learned(self, words: list[str]) -> dict[str, bytes]:
+        if len(self.young) + len(words) > CACHED_WORDS:
+            self.old, self.young = self.young, {}
+        found = {w: ids for w in words if (ids := self.old.get(w)) is not None}
+        simple, other = {}, []
+        for word in words:
+            if word not in found:
+                if match := _SIMPLE.fullmatch(word):
+                    simple[word] = match[1].lower(), match[2]
+                else:
+                    other.append(word)
+        cores = {core: ids for core, _ in simple.values() if (ids := self.young.get(core) or self.old.get(core))}
+        self._encode_pieces([c for c in dict.fromkeys(core for core, _ in simple.values()) if c not in cores], cores)
+        marks = {m: self._ids(m) for m in ("", ".", ",")}
+        found.update((word, cores[core] + marks[mark]) for word, (core, mark) in simple.items())
+        self._encode_others(other, found)
+        self.young.update(cores)
+        self.young.update(found)
+        return found
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _joined(self, words: list[str]):
         groups = [words[at : at + WORDS_A_CALL] for at in range(0, len(words), WORDS_A_CALL)]
-        encoded = []
-        for group, found in zip(
-            groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)
-        ):
+        texts = [" ".join(g) for g in groups]
+        return zip(groups, self.tokenizer.encode_batch(texts, add_special_tokens=False))
+
+    def _encode_pieces(self, words: list[str], into: dict[str, bytes]) -> None:
+        """Words that are one piece each: each ends with its only token that ends a word."""
+        for group, found in self._joined(words):
+            ids = np.array(found.ids, "<u4")
+            cuts = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
+            if len(cuts) != len(group):
+                raise ValueError("a word of letters is not one piece of this vocabulary")
+            ids = ids.tobytes()
+            into.update(zip(group, [ids[a:b] for a, b in zip([0, *cuts], cuts)]))
+
+    def _encode_others(self, words: list[str], into: dict[str, bytes]) -> None:
+        """Any words: a token belongs to the word it starts in."""
+        for group, found in self._joined(words):
             starts = np.cumsum([0] + [len(w) + 1 for w in group])
             ids = np.array(found.ids, "<u4").tobytes()
             begins = np.fromiter((b for b, _ in found.offsets), np.int64, len(found))
             cuts = (np.searchsorted(begins, starts) * 4).tolist()
-            encoded += [ids[a:b] for a, b in zip(cuts, cuts[1:])]
-        return encoded
+            into.update(zip(group, [ids[a:b] for a, b in zip(cuts, cuts[1:])]))
 
 
 def _lowered(text: str) -> str:
