@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import decontamination, langid, licenses, lines, neighbours, packing, secrets, simhash
+from ledgerflow.llm import decontamination, html_text, langid, licenses, lines, neighbours, packing, secrets, simhash
 from ledgerflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,9 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(table(spark, sf_dir, "documents")).select(
         "doc_id", F.array_join("licenses", ",").alias("licenses"), "n_candidates", "containment"
     )
+
+
+@query
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.train(spark)).withColumn("n_chars", F.length("text").cast("long"))
