@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import decontamination, html_text, langid, licenses, lines, neighbours, packing, secrets, simhash
+from ledgerflow.llm import (
+    decontamination,
+    html_text,
+    langid,
+    licenses,
+    lines,
+    neighbours,
+    packing,
+    repeats,
+    secrets,
+    simhash,
+)
 from ledgerflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +141,15 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_text.extract(pages, html_text.train(spark)).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("span_starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
