@@ -36,11 +36,11 @@ class Strings:
 def next_smaller(strings: Strings) -> np.ndarray:
     """For each place the next one where a smaller suffix begins; a string's end is smaller than all."""
     rows, width = len(strings.lengths), strings.width
-    following = np.zeros((rows, width + 1), np.int64)
+    following = np.zeros((rows, width + 1), np.int32)
     following[:] = strings.lengths[:, None]
     for place in range(width - 1, -1, -1):
         active = np.flatnonzero(strings.lengths > place)
-        at = np.full(len(active), place + 1)
+        at = np.full(len(active), place + 1, np.int32)
         while len(active):
             inner = at < strings.lengths[active]
             smaller = np.zeros(len(active), bool)  # whether the suffix at ``place`` precedes the one at ``at``
@@ -87,8 +87,13 @@ def groups(strings: Strings, row: np.ndarray, place: np.ndarray, size: np.ndarra
 
 
 def suffix_places(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, Strings]:
-    """String, place and suffix-array position of every suffix of all strings."""
+    """String, place and suffix-array position of every suffix of all strings.
+
+    At most 2**25 bytes in all, and 2**12 in a string.
+    """
     data = Strings(strings)
+    if data.width >= 1 << 12 or data.lengths.sum() >= 1 << 25:
+        raise ValueError("too much to sort at once")
     following = next_smaller(data)
     total = int(data.lengths.sum())
     begin = np.cumsum(data.lengths) - data.lengths
@@ -111,16 +116,17 @@ def suffix_places(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     # A rank is the group's first place, so its members stand there in the order of ranks.
     position = np.append(rank, -1)
     members = np.bincount(rank, minlength=total + 1)
-    by_rank = np.argsort(rank, kind="stable")
-    by_target = np.argsort(target, kind="stable")
-    begins = np.searchsorted(target[by_target], np.arange(total + 1))
-    ends = np.append(begins[1:], total)
+    by_rank = np.argsort(rank)
+    by_target = np.argsort(target)
+    pointing = np.bincount(target, minlength=total + 1)
+    ends = np.cumsum(pointing)
+    begins = ends - pointing
     crowded = members[np.append(rank, total)] > 1
     waits = np.bincount(rank[crowded[target] & crowded[:-1]], minlength=total + 1)
     ready = np.flatnonzero((members > 1) & (waits == 0))
     while len(ready):
         own = by_rank[_ranges(ready, ready + members[ready])]
-        own = own[np.lexsort((position[target[own]], repeats[own], rank[own]))]
+        own = own[np.argsort(((rank[own] << 12 | repeats[own]) << 25) + position[target[own]])]
         ranks = rank[own]
         first = np.flatnonzero(np.append(True, ranks[1:] != ranks[:-1]))
         position[own] = ranks + np.arange(len(own)) - np.repeat(first, np.diff(np.append(first, len(own))))

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,27 +17,31 @@ from ledgerflow.llm.lyndon import suffix_places
 
 LENGTH = 50
 # Bytes of a gram. Every string of ``LENGTH`` bytes is named by the least hash of its grams.
-GRAM = 16
+GRAM = 20
 # Text of one batch of documents, and bytes of the contexts whose suffixes are sorted together.
 BATCH_BYTES = 8 << 20
 SORT_BYTES = 3 << 19
 # Strings that one context joins at most.
 CONTEXT = 64
+# Contexts, of whole names, whose suffixes are sorted at once.
+SORTED_CONTEXTS = 5_000
 # Contexts of one name beyond which its strings are dealt out by their own hash.
 HOT_CONTEXTS = 20_000
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the 16 bytes from each place on."""
+    """A 64-bit hash of the ``GRAM`` (16 to 24) bytes from each place on."""
     n = len(data) - 7
     eight = np.empty(n, np.uint64)
     for r in range(8):
         part = data[r : r + (n - r + 7) // 8 * 8]
         eight[r::8] = np.frombuffer(part.tobytes(), np.uint64)
-    mixed = eight[: n - 8] * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(29)
-    mixed += eight[8:]
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    last = GRAM - 8
+    mixed = eight[: n - last] * np.uint64(0x9E3779B97F4A7C15)
+    for at in dict.fromkeys((8, last)):
+        mixed ^= mixed >> np.uint64(29)
+        mixed += eight[at : n - last + at]
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(32)
     mixed *= np.uint64(0x94D049BB133111EB)
     return mixed
@@ -130,12 +135,37 @@ def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def _names(table: pa.Table, column: str) -> np.ndarray:
-    lists = [np.asarray(x, np.int64) for x in table[column].to_pylist() if x]
-    return np.unique(np.concatenate(lists).view(np.uint64)) if lists else np.zeros(0, np.uint64)
+    values = pc.list_flatten(table[column].combine_chunks()).to_numpy(zero_copy_only=False)
+    return np.unique(values.astype(np.int64).view(np.uint64))
 
 
-def least_holders(contexts: list[bytes], least: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each context the least key that holds each of its strings, given each context's own least key.
+def holders_of(contexts: list[bytes], least: np.ndarray, length: int) -> list[int | np.ndarray]:
+    """For each context the least key that holds its strings: one for all, or one for each.
+
+    Strings of one name are in contexts of that name only. A context alone
+    under its name is like no other; where a name has several, their suffixes
+    are sorted.
+    """
+    data, offsets = text_bytes(pa.array(contexts, pa.binary()))
+    name, _, _, text = named_runs(data, offsets, length)
+    name = name[np.searchsorted(text, np.arange(len(contexts)))]
+    _, number, times = np.unique(name, return_inverse=True, return_counts=True)
+    found: list[int | np.ndarray] = least.tolist()
+    several = np.flatnonzero(times[number] > 1)
+    several = several[np.argsort(number[several], kind="stable")]
+    cuts = np.flatnonzero(np.append(True, np.diff(number[several]) > 0)) if len(several) else several
+    begin = 0
+    while begin < len(several):
+        end = np.append(cuts[cuts >= begin + SORTED_CONTEXTS], len(several))[0]
+        own = several[begin:end]
+        for i, holders in zip(own.tolist(), least_holders([contexts[i] for i in own.tolist()], least[own], length)):
+            found[i] = holders
+        begin = end
+    return found
+
+
+def least_holders(contexts: list[bytes], least: np.ndarray, length: int) -> list[int | np.ndarray]:
+    """For each string of each context the least key that holds it, given each context's own least key.
 
     The suffixes of all contexts are sorted; neighbours that agree in
     ``length`` bytes are one string.
@@ -155,8 +185,14 @@ def least_holders(contexts: list[bytes], least: np.ndarray, length: int) -> list
     best = np.repeat(np.minimum.reduceat(least[r], starts), np.diff(np.append(starts, len(order))))
     by_place = np.empty(len(row), np.int64)
     by_place[order] = best
-    ends = np.cumsum(data.lengths)
-    return [by_place[e - n : e - length + 1] for e, n in zip(ends.tolist(), data.lengths.tolist())]
+    by_row = by_place[whole]
+    counts = data.lengths - length + 1
+    first = np.cumsum(counts) - counts
+    low, high = np.minimum.reduceat(by_row, first), np.maximum.reduceat(by_row, first)
+    return [
+        a if a == b else by_row[i : i + n].copy()
+        for a, b, i, n in zip(low.tolist(), high.tolist(), first.tolist(), counts.tolist())
+    ]
 
 
 def without_repeats(
@@ -183,7 +219,8 @@ def without_repeats(
     2. Each batch gets back its shared names and sends the contexts (the bytes
        of a run) under them, each once with its least key.
     3. Contexts of like names are sorted by suffix (``lyndon``), and every
-       string gets the least key that holds it. A name of more than
+       string gets the least key that holds it; a context alone under its name
+       needs no sorting. A name of more than
        ``hot_contexts`` contexts is sent string by string, dealt out by the
        strings' own hashes, so no group is bound to one task.
     4. Each batch cuts its texts.
@@ -273,8 +310,11 @@ def without_repeats(
         which = np.array([number.setdefault(c, len(number)) for c in given], np.int64)
         least = np.full(len(number), np.iinfo(np.int64).max)
         np.minimum.at(least, which, own)
-        holders = least_holders(list(number), least, length)
-        told = [i for i, w in enumerate(which.tolist()) if (holders[w] < own[i]).any()]
+        holders = holders_of(list(number), least, length)
+        # A batch knows its own least key: what is no smaller need not be told.
+        packed = [h.tobytes() if isinstance(h, np.ndarray) else h.to_bytes(8, "little", signed=True) for h in holders]
+        smallest = np.array([h.min() if isinstance(h, np.ndarray) else h for h in holders], np.int64)
+        told = np.flatnonzero(smallest[which] < own)
         return pa.Table.from_batches(
             [
                 record(
@@ -282,7 +322,7 @@ def without_repeats(
                     {
                         "batch": part["batch"].to_numpy()[told],
                         "number": part["number"].to_numpy()[told],
-                        "holders": [holders[which[i]].tobytes() for i in told],
+                        "holders": [packed[w] for w in which[told].tolist()],
                     },
                 )
             ]
@@ -310,7 +350,7 @@ def without_repeats(
         if batch is not None:
             own = Contexts(batch, _names(info, "names"), _names(info, "hot"), length)
             holders = {
-                n: np.frombuffer(h, np.int64)
+                n: np.frombuffer(h, np.int64) if len(h) > 8 else int.from_bytes(h, "little", signed=True)
                 for n, h in zip(info["number"].to_pylist(), info["holders"].to_pylist())
                 if n is not None
             }
@@ -331,7 +371,7 @@ def without_repeats(
 
 
 def _spans(
-    id_: int | None, runs: list[tuple[int, int, int]], least: list[int], holders: dict[int, np.ndarray], length: int
+    id_: int | None, runs: list[tuple[int, int, int]], least: list[int], holders: dict[int, int | np.ndarray], length: int
 ) -> list[tuple[int, int]]:
     """The maximal removed ranges of one document."""
     spans: list[tuple[int, int]] = []
@@ -343,8 +383,9 @@ def _spans(
             spans.append((start, end))
 
     for at, count, number in runs:
-        if (own := holders.get(number)) is None:
-            if least[number] < id_:
+        own = holders.get(number, least[number])
+        if not isinstance(own, np.ndarray):
+            if own < id_:
                 add(at, at + count + length - 1)
             continue
         smaller = np.flatnonzero(np.diff(np.concatenate(([0], (own < id_).view(np.int8), [0]))))
