@@ -17,7 +17,7 @@ from ledgerflow.llm.common import map_arrow, record, schema, shards
 WINDOW = 4096
 END_ID = 2
 # Encoded words that a worker remembers: two generations of this many.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 # Words that one call of the tokenizer gets.
 WORDS_A_CALL = 200
 # Windows that a task keeps open at most before it empties them into full ones.
@@ -39,9 +39,17 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same merges for words of lower-case letters, which need no preparation.
+        self.pieces = Tokenizer.from_file(path)
+        self.pieces.normalizer = normalizers.Sequence([])
+        self.pieces.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        for tokenizer in (self.tokenizer, self.pieces):
+            tokenizer.model._resize_cache(0)  # words are remembered here, and each is asked for once
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith(_END_OF_WORD)]] = True
@@ -89,14 +97,15 @@ class Encoder:
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _joined(self, words: list[str]):
+    @staticmethod
+    def _groups(words: list[str]) -> tuple[list[list[str]], list[str]]:
         groups = [words[at : at + WORDS_A_CALL] for at in range(0, len(words), WORDS_A_CALL)]
-        texts = [" ".join(g) for g in groups]
-        return zip(groups, self.tokenizer.encode_batch(texts, add_special_tokens=False))
+        return groups, [" ".join(g) for g in groups]
 
     def _encode_pieces(self, words: list[str], into: dict[str, bytes]) -> None:
         """Words that are one piece each: each ends with its only token that ends a word."""
-        for group, found in self._joined(words):
+        groups, texts = self._groups(words)
+        for group, found in zip(groups, self.pieces.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
             cuts = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
             if len(cuts) != len(group):
@@ -106,7 +115,8 @@ class Encoder:
 
     def _encode_others(self, words: list[str], into: dict[str, bytes]) -> None:
         """Any words: a token belongs to the word it starts in."""
-        for group, found in self._joined(words):
+        groups, texts = self._groups(words)
+        for group, found in zip(groups, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
             starts = np.cumsum([0] + [len(w) + 1 for w in group])
             ids = np.array(found.ids, "<u4").tobytes()
             begins = np.fromiter((b for b, _ in found.offsets), np.int64, len(found))
