@@ -52,7 +52,10 @@ def words(text: Column) -> Column:
 
 
 def shingles(tokens: Column) -> Column:
-    """The distinct shingles of a word array, as strings; fewer words than a shingle have none."""
+    """The distinct shingles of a word array, as strings; fewer words than a shingle have none.
+
+    ``tokens`` must be a plain column: an expression would be worked out for every shingle.
+    """
     count = F.size(tokens) - SHINGLE_WORDS + 1
     starts = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
     return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, SHINGLE_WORDS), " ")))
@@ -134,23 +137,27 @@ def licenses(
         "licenses",
     )
     names = F.array(*[F.lit(name) for name, _ in templates])
-    parts = F.array(*[shingles(words(F.lit(t))) for _, t in templates])
-    own = shingles(words(F.col("body")))
-    judged = rows.join(candidates, "mark", "left").withColumn(
-        "own", F.when(F.col("candidates").isNotNull(), own)
-    )
-    share = F.transform(
-        "candidates",
-        lambda t: F.struct(
-            (F.size(F.array_intersect(F.get(parts, t), F.col("own"))) / F.size(F.get(parts, t))).alias("share"),
-            F.get(names, t).alias("name"),
-        ),
+    parts = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(templates)], "template int, notice string")
+    parts = parts.select("template", F.explode(F.array(words(F.col("notice")))).alias("words"))
+    parts = parts.select("template", shingles(F.col("words")).alias("wanted"))
+    # Generators keep words and shingles as plain columns, which are made once for a text.
+    held = (
+        rows.join(candidates, "mark")
+        .select("mark", "candidates", F.explode(F.array(words(F.col("body")))).alias("words"))
+        .select("mark", "candidates", F.explode(F.array(shingles(F.col("words")))).alias("own"))
+        .select("mark", "own", F.explode("candidates").alias("template"))
+        .join(F.broadcast(parts), "template")
+        .select("mark", "template", (F.size(F.array_intersect("wanted", "own")) / F.size("wanted")).alias("share"))
+        .groupBy("mark")
+        .agg(
+            F.count_distinct("template").alias("n"),
+            F.max("share").alias("share"),
+            F.collect_set(F.when(F.col("share") >= min_containment, F.get(names, F.col("template")))).alias("names"),
+        )
     )
-    judged = judged.withColumn("shares", share)
-    held = F.filter("shares", lambda s: s["share"] >= min_containment)
-    return judged.select(
+    return rows.select("key", "mark").join(held, "mark", "left").select(
         F.col("key").alias(key),
-        F.coalesce(F.size("candidates"), F.lit(0)).cast("long").alias("n_candidates"),
-        F.coalesce(F.array_sort(F.array_distinct(F.transform(held, lambda s: s["name"]))), F.array().cast("array<string>")).alias("licenses"),
-        F.coalesce(F.array_max(F.transform("shares", lambda s: s["share"])), F.lit(0.0)).alias("containment"),
+        F.coalesce("n", F.lit(0)).alias("n_candidates"),
+        F.coalesce(F.array_sort("names"), F.array().cast("array<string>")).alias("licenses"),
+        F.coalesce("share", F.lit(0.0)).alias("containment"),
     )
