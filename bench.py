@@ -66,8 +66,7 @@ def main() -> None:
 
     timed("build_raw", lambda: x.raw)
     timed("build_staging", lambda: x.staging)
-    timed("build_dimensions", lambda: x.dims)
-    timed("build_facts", lambda: x.facts)
+    timed("build_mart", lambda: x.mart)
     for name in HEADLINE:
         timed(name, lambda name=name: drain(catalog.QUERIES[name](x)))
     timed("quality_full_report", lambda: drain(quality.full_report(x.raw, x.staging, AS_OF)))

@@ -59,6 +59,9 @@ def _status(column: str, limit: int | None) -> str:
     return f"case when `{column}` = {limit} then '{OK}' else '{ATTENTION}' end"
 
 
-def offenders(df: DataFrame, condition: Column, columns: list, order: list, n: int = 20) -> DataFrame:
-    """Rows behind a check, first ``n`` in a total order."""
-    return df.where(condition).select(*columns).orderBy(*order).limit(n)
+def offenders(
+    df: DataFrame, condition: Column, columns: list, order: list, n: int | None = None
+) -> DataFrame:
+    """Rows behind a check: all, or the first ``n`` in a total order."""
+    rows = df.where(condition).select(*columns)
+    return rows if n is None else rows.orderBy(*order).limit(n)

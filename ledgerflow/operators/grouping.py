@@ -55,3 +55,8 @@ def coverage_gaps(df: DataFrame, member: str, axis: str, seen: str, wanted: str)
 def top(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     """First ``n`` rows of a report, in a total order so that it repeats."""
     return df.orderBy(*order).limit(n)
+
+
+def listed(df: DataFrame, n: int | None, *order: Column | str) -> DataFrame:
+    """All rows of a list, or its first ``n`` in a total order."""
+    return df if n is None else top(df, n, *order)

@@ -5,23 +5,20 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.rules import key_or_unknown
 from ledgerflow.functions.text import reference_key
 
-# At most this many keys are treated as hot. A key outside the list holds less
-# than 1/HOT_LIMIT of the rows, which a plain hash join handles.
-HOT_LIMIT = 1000
-# Below this size a key is not worth splitting.
-HOT_MIN_ROWS = 200_000
+# Rows up to which a key is a task like others. There are at most rows / HOT_MIN_ROWS
+# keys beyond it, all of them split: half a million (20 MB) for 10**12 rows, so the
+# list is broadcast and the large side keeps its one shuffle.
+HOT_MIN_ROWS = 2_000_000
 # Rows of a hot key that one join group should receive.
 ROWS_PER_SPLIT = 1_000_000
 # Join groups for rows without a key: they need no partner, hence no copies.
 NULL_SPLITS = 1 << 16
-# A counted list of at most this many key values is sent to every executor.
-BROADCAST_VALUES = 500_000
 
 # Column, dimension, key of the dimension.
 ForeignKey = tuple[str, DataFrame, str]
@@ -40,22 +37,21 @@ def hot_keys(
     key: Column,
     min_rows: int = HOT_MIN_ROWS,
     rows_per_split: int = ROWS_PER_SPLIT,
-    limit: int = HOT_LIMIT,
 ) -> DataFrame:
-    """The most frequent keys (``_hot``) and the groups to spread them over (``_splits``).
+    """All frequent keys (``_hot``) and the groups to spread them over (``_splits``).
 
-    At most ``limit`` rows, so safe to broadcast. The count is combined
-    map-side: finding the hot keys is not itself skewed.
+    At most rows / ``min_rows`` keys, hence safe to broadcast. The count is
+    combined map-side: finding them is not itself skewed.
     """
-    return (
-        df.select(key.alias("_hot"))
-        .where("_hot is not null")
-        .groupBy("_hot")
-        .agg(F.expr("count(1) as _rows"))
-        .where(f"_rows >= {min_rows}")
-        .orderBy(F.desc("_rows"), "_hot")
-        .limit(limit)
-        .selectExpr("_hot", f"cast(1 + _rows div {rows_per_split} as int) as _splits")
+    per_value = (
+        df.select(key.alias("_hot")).where("_hot is not null").groupBy("_hot").agg(F.expr("count(1) as _rows"))
+    )
+    return _split_by_size(per_value, min_rows, rows_per_split)
+
+
+def _split_by_size(per_value: DataFrame, min_rows: int, rows_per_split: int) -> DataFrame:
+    return per_value.where(f"_rows >= {min_rows}").selectExpr(
+        "_hot", f"cast(1 + _rows div {rows_per_split} as int) as _splits"
     )
 
 
@@ -146,11 +142,19 @@ def resolve_key(
     The unknown member is left out of the lookup so that its business key
     never matches by accident. ``broadcast`` is for dimensions whose size is
     bounded by construction (the calendar); ``spread_by`` selects the split
-    join for dimensions that grow with the data.
+    join for dimensions that grow with the data. Text identifiers meet in
+    their comparable form on both sides; of members that only differ in it,
+    the one with the least key answers.
     """
     lookup = dim.where(F.col(key_col) != 0).select(
         F.col(id_col).alias("_id"), F.col(key_col).alias("_found")
     )
+    if dim.schema[id_col].dataType.simpleString() == "string":
+        fk = reference_key(fk)
+        lookup = lookup.groupBy(reference_key(F.col("_id")).alias("_id")).agg(F.min("_found").alias("_found"))
+        hot = None if hot is None else hot.groupBy(reference_key(F.col("_hot")).alias("_hot")).agg(
+            F.max("_splits").alias("_splits")
+        )
     if spread_by:
         joined = split_left_join(df, lookup, fk, "_id", spread_by, hot)
     else:
@@ -218,36 +222,24 @@ def unmatched_counts(
     )
 
 
-def any_orphan(
-    df: DataFrame, fks: list[ForeignKey], name: str, counts: dict[str, Row] | None = None
-) -> DataFrame:
+def any_orphan(df: DataFrame, fks: list[ForeignKey], name: str) -> DataFrame:
     """One row: rows of ``df`` with at least one key absent from its dimension.
 
-    ``counts`` holds the :func:`unmatched_counts` row of each key (a handful
-    of numbers, read here when not given). With no broken key the answer is
-    0, with one it is that key's count, and the rows are not read again. Only
-    when several keys are broken are rows compared with the lists of broken
-    values, broadcast when their counted size allows. A row broken in several
-    ways counts once.
+    One lazy plan whatever the data: the values without partner are counted per
+    key, and each list flags the rows it meets. A broken value that many rows
+    share is spread by its own count. A missing key is broken; a row broken in
+    several ways counts once.
     """
-    if counts is None:
-        lookups = [Lookup(column, column, column) for column, _, _ in fks]
-        members = {column: dim.select(key) for column, dim, key in fks}
-        counts = {r["cle"]: r for r in unmatched_counts([(df, lookups)], members).collect()}
-    broken = [fk for fk in fks if counts[fk[0]]["valeurs"]]
-    if len(broken) <= 1:
-        rows = counts[broken[0][0]]["lignes"] if broken else 0
-        return df.sparkSession.range(1).select(F.lit(rows).cast("bigint").alias(name))
-    rows = df.select(*[column for column, _, _ in broken])
-    for i, (column, dim, key) in enumerate(broken):
-        values = unmatched_values(df, F.col(column), dim, key).withColumnsRenamed(
-            {"_fk": f"_fk{i}", "_rows": f"_rows{i}"}
-        )
-        if counts[column]["valeurs"] <= BROADCAST_VALUES:
-            values = F.broadcast(values)
-        rows = rows.join(values, F.expr(f"{column} <=> _fk{i}"), "left")
-    flags = " or ".join(f"_rows{i} is not null" for i in range(len(broken)))
-    return rows.agg(F.expr(f"count_if({flags}) as `{name}`"))
+    columns = [column for column, _, _ in fks]
+    rows = df.select(*columns, F.monotonically_increasing_id().alias("_row"))
+    broken = []
+    for i, (column, dim, key) in enumerate(fks):
+        values = unmatched_values(df, F.col(column), dim, key).where("_fk is not null")
+        hot = _split_by_size(values.withColumnRenamed("_fk", "_hot"), HOT_MIN_ROWS, ROWS_PER_SPLIT)
+        listed = values.select("_fk", F.lit(True).alias(f"_broken{i}"))
+        rows = split_left_join(rows, listed, F.col(column), "_fk", ["_row"], hot)
+        broken.append(f"{column} is null or _broken{i} is not null")
+    return rows.agg(F.expr(f"count_if({' or '.join(broken)}) as `{name}`"))
 
 
 def orphan_rows(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:

@@ -19,6 +19,7 @@ from ledgerflow.functions.predicates import any_of
 from ledgerflow.functions.rules import EN_RETARD, IMPAYE, is_status, unpaid_amount
 from ledgerflow.functions.text import message
 from ledgerflow.operators.checks import ATTENTION, OK, unpivot
+from ledgerflow.functions.text import reference_key
 from ledgerflow.operators.lookup import Lookup, any_orphan, unmatched_counts
 from ledgerflow.plans.calendar import date_bounds
 from ledgerflow.plans.guards import DIMENSION_KEYS
@@ -359,11 +360,14 @@ def unknown_key_figures(staging: Tables, dims: Tables) -> DataFrame:
         lookups = []
         for fact, fk, column in looked_up:
             dim = home[fact, fk]
-            identifier = f"cast({column} as date)" if dim == "dim_date" else column
+            identifier = f"cast({column} as date)" if dim == "dim_date" else f"upper(nullif(trim({column}), ''))"
             lookups.append(Lookup(f"attendu:{fact}.{fk}", dim, identifier))
         sources.append((staging[table], lookups))
     members = {
-        d: dims[d].where(F.col(k) != 0).select(business[d]) for d, k in DIMENSION_KEYS.items()
+        d: dims[d].where(F.col(k) != 0).select(
+            F.col(business[d]) if d == "dim_date" else reference_key(F.col(business[d])).alias(business[d])
+        ).distinct()
+        for d, k in DIMENSION_KEYS.items()
     }
     direct = unmatched_counts(sources, members).selectExpr(
         "cle as mesure", f"cast(lignes as {VALUE}) as valeur"
@@ -442,23 +446,17 @@ def relationship_report(dims: Tables, facts: Tables) -> DataFrame:
 
 
 def integrity_figures(dims: Tables, facts: Tables) -> list[DataFrame]:
-    """Rows with any broken key per fact, and how many relationships hold.
-
-    The 17 counts are read first: they decide whether rows have to be looked at.
-    """
-    counts = {r["cle"]: r for r in relationship_counts(dims, facts).collect()}
+    """Rows with any broken key per fact, and how many relationships hold; one lazy plan."""
     frames = [
         any_orphan(
             facts[fact],
             [(fk, dims[d], DIMENSION_KEYS[d]) for f, fk, d in RELATIONSHIPS if f == fact],
             f"orphelins:{fact}",
-            {fk: counts[f"{f}.{fk}"] for f, fk, _ in RELATIONSHIPS if f == fact},
         )
         for fact in FACTS
     ]
-    held = sum(r["lignes"] == 0 for r in counts.values())
-    spark = next(iter(facts.values())).sparkSession
-    return [*frames, spark.range(1).select(F.lit(held).alias("relations_verifiees"))]
+    held = relationship_counts(dims, facts).agg(F.count_if(F.col("lignes") == 0).alias("relations_verifiees"))
+    return [*frames, held]
 
 
 def present_tables(staging: Tables, mart: Tables) -> DataFrame:

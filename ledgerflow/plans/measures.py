@@ -287,7 +287,7 @@ def client_profile(
     for condition in _conditions(filters or {}, ATTRIBUTES["dim_client"]):
         members = members.where(condition)
     sums = members.groupBy(*by).agg(
-        F.countDistinct("client_key").alias("nb_clients_distincts"),
+        F.count("client_key").alias("nb_clients_distincts"),  # a member has one row
         F.sum("revenu_mensuel").alias("_income"),
         F.count("revenu_mensuel").alias("_n_income"),
         F.sum("score_risque_initial").alias("_score"),

@@ -297,17 +297,23 @@ def counted(
 
 
 def offenders(
-    staging: Tables, table: str, check: str, as_of: str, order: list[str], n: int = 20
+    staging: Tables, table: str, check: str, as_of: str, order: list[str], n: int | None = None
 ) -> DataFrame:
-    """Rows of a staging table that fail a counted check, first ``n`` in order."""
+    """Rows of a staging table that fail a counted check: all, or the first ``n`` in order."""
     conditions = {name: condition for _, name, condition, _ in staging_conditions(table, as_of)}
-    return staging[table].where(conditions[check]()).orderBy(*order).limit(n)
+    return grouping.listed(staging[table].where(conditions[check]()), n, *order)
 
 
-def conversion_offenders(raw: Tables, table: str, order: list[str], n: int = 20) -> DataFrame:
+def raw_offenders(raw: Tables, table: str, check: str, order: list[str], n: int | None = None) -> DataFrame:
+    """Rows of a raw table that fail a counted check: all, or the first ``n`` in order."""
+    conditions = {name: condition for _, name, condition, _ in raw_conditions(table)}
+    return grouping.listed(raw[table].where(conditions[check]()), n, *order)
+
+
+def conversion_offenders(raw: Tables, table: str, order: list[str], n: int | None = None) -> DataFrame:
     typed = [c for c in RAW_COLUMNS[table] if staging_type(table, c) != "string"]
     keys = [c for c in order if c not in typed]
-    return raw[table].where(any_failed(table)).select(*keys, *typed).orderBy(*order).limit(n)
+    return grouping.listed(raw[table].where(any_failed(table)).select(*keys, *typed), n, *order)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -375,11 +381,10 @@ def duplicate_report(raw: Tables, staging: Tables) -> DataFrame:
     )
 
 
-def duplicate_list(raw: Tables, staging: Tables, layer: str, table: str, n: int = 20) -> DataFrame:
+def duplicate_list(raw: Tables, staging: Tables, layer: str, table: str, n: int | None = None) -> DataFrame:
     keys = duplicate_keys()[(layer, table)]
     frame = {"raw": raw, "staging": staging}[layer][table]
-    listed = grouping.duplicates(frame, keys)
-    return grouping.top(listed, n, F.desc(grouping.COUNT), *keys)
+    return grouping.listed(grouping.duplicates(frame, keys), n, F.desc(grouping.COUNT), *keys)
 
 
 # ------------------------------------------------------- Q10 orphan references
@@ -423,14 +428,14 @@ def orphan_report(raw: Tables, staging: Tables) -> DataFrame:
 
 
 def orphan_list(
-    raw: Tables, staging: Tables, layer: str, table: str, column: str, key: str, n: int = 20
+    raw: Tables, staging: Tables, layer: str, table: str, column: str, key: str, n: int | None = None
 ) -> DataFrame:
     _, _, _, ref, ref_column = next(
         r for r in REFERENCES if (r[0], r[1], r[2]) == (layer, table, column)
     )
     frame = {"raw": raw, "staging": staging}[layer][table]
     found = orphan_rows(frame, column, raw[ref], ref_column)
-    return grouping.top(found.select(key, column), n, key, column)
+    return grouping.listed(found.select(key, column), n, key, column)
 
 
 # --------------------------------------------------- Q11 negatives become NULL

@@ -13,6 +13,9 @@ from ledgerflow.sources.publish import expose, publish, read_published
 
 Tables = dict[str, DataFrame]
 
+# Published folders of a root, which are the catalog layers too.
+LAYERS = ("raw", "staging", "mart")
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -42,24 +45,27 @@ def build_staging(spark: SparkSession, raw: Tables, root: str) -> Tables:
     )
 
 
-def build_dimensions(spark: SparkSession, stg: Tables, root: str) -> Tables:
-    """The previous dimensions stay current when a post-check fails."""
-    return publish(
-        spark,
-        f"{root}/dimensions",
-        {name: partial(job, stg) for name, job in dimensions.JOBS.items()},
-        verify=lambda written: guards.enforce(guards.dimension_guards(stg, written)),
-    )
+def build_mart(spark: SparkSession, stg: Tables, root: str) -> Tables:
+    """Dimensions, then the facts on their keys, as one version.
 
+    Surrogate keys only mean something together with the dimensions they were
+    given in, so neither becomes current without the other: a failed guard of
+    either leaves the previous mart as it was.
+    """
+
+    def facts_on(dims: Tables) -> dict:
+        guards.enforce(guards.fact_preconditions(stg, dims))
+        return {name: partial(job, stg, dims) for name, job in facts.JOBS.items()}
 
-def build_facts(spark: SparkSession, stg: Tables, dims: Tables, root: str) -> Tables:
-    """Preconditions first; all five facts become current together or not at all."""
-    guards.enforce(guards.fact_preconditions(stg, dims))
     return publish(
         spark,
-        f"{root}/facts",
-        {name: partial(job, stg, dims) for name, job in facts.JOBS.items()},
-        verify=lambda written: guards.enforce(guards.fact_guards(stg, written)),
+        f"{root}/mart",
+        {name: partial(job, stg) for name, job in dimensions.JOBS.items()},
+        verify=lambda dims: guards.enforce(guards.dimension_guards(stg, dims)),
+        then=facts_on,
+        verify_all=lambda mart: guards.enforce(
+            guards.fact_guards(stg, {name: df for name, df in mart.items() if name in facts.JOBS})
+        ),
     )
 
 
@@ -67,19 +73,12 @@ def build(spark: SparkSession, sources: Tables, root: str) -> Warehouse:
     """Every layer reads the published files of the one before, not its lineage."""
     raw = load_raw(spark, sources, root)
     stg = build_staging(spark, raw, root)
-    dims = build_dimensions(spark, stg, root)
-    return Warehouse(raw, stg, dims | build_facts(spark, stg, dims, root))
+    return Warehouse(raw, stg, build_mart(spark, stg, root))
 
 
 def load(spark: SparkSession, root: str) -> Warehouse:
     """Current version of a warehouse built earlier."""
-    layers = ("raw", "staging", "dimensions", "facts")
-    raw, stg, dims, facts_ = (read_published(spark, f"{root}/{layer}") for layer in layers)
-    return Warehouse(raw, stg, dims | facts_)
-
-
-# Published folder of a root -> catalog layer its tables appear in.
-_CATALOG_LAYER = {"raw": "raw", "staging": "staging", "dimensions": "mart", "facts": "mart"}
+    return Warehouse(*(read_published(spark, f"{root}/{layer}") for layer in LAYERS))
 
 
 def register(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
@@ -87,6 +86,6 @@ def register(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
     create_layers(spark, prefix)
     return [
         name
-        for folder, layer in _CATALOG_LAYER.items()
-        for name in expose(spark, f"{root}/{folder}", f"{prefix}{layer}")
+        for layer in LAYERS
+        for name in expose(spark, f"{root}/{layer}", f"{prefix}{layer}")
     ]

@@ -43,9 +43,15 @@ def publish(
     verify: Callable[[dict[str, DataFrame]], None] | None = None,
     partition_by: dict[str, list[str]] | None = None,
     parallel: int = 4,
+    then: Callable[[dict[str, DataFrame]], dict[str, DataFrame | Callable[[], DataFrame]]] | None = None,
+    verify_all: Callable[[dict[str, DataFrame]], None] | None = None,
 ) -> dict[str, DataFrame]:
     """Write, verify, then switch. Returns the published tables.
 
+    ``then`` gives further tables that are built from the written ones; they
+    belong to the same version, which ``verify_all`` sees as a whole. Nothing
+    becomes current unless everything passed.
+
     The tables of a layer do not depend on each other: ``parallel`` of them
     are submitted at a time, so the tail of one job overlaps the next. A table
     may be given as a function, called when its turn comes.
@@ -55,7 +61,7 @@ def publish(
     folder = f"{root}/v{sequence}-{uuid.uuid4().hex[:12]}"
 
     def write(name: str) -> None:
-        table = tables[name]
+        table = wanted[name]
         df = table() if callable(table) else table
         writer = df.write.mode("errorifexists")
         columns = (partition_by or {}).get(name)
@@ -63,12 +69,22 @@ def publish(
             writer = writer.partitionBy(*columns)
         writer.parquet(f"{folder}/{name}")
 
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        list(pool.map(inheritable_thread_target(spark)(write), tables))
-    written = {name: spark.read.parquet(f"{folder}/{name}") for name in tables}
+    def write_all(names: list[str]) -> dict[str, DataFrame]:
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            list(pool.map(inheritable_thread_target(spark)(write), names))
+        return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
+
+    wanted = dict(tables)
+    written = write_all(list(tables))
     if verify:
         verify(written)
-    entry = [(sequence, folder, ",".join(tables))]
+    if then:
+        more = then(written)
+        wanted |= more
+        written |= write_all(list(more))
+    if verify_all:
+        verify_all(written)
+    entry = [(sequence, folder, ",".join(written))]
     spark.createDataFrame(entry, _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(
         f"{root}/{_LOG}"
     )

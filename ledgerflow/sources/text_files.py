@@ -16,7 +16,9 @@ CSV_OPTIONS = {
     "escape": '"',
     "lineSep": "\n",
     "encoding": "UTF-8",
-    "mode": "PERMISSIVE",
+    # A record with too many or too few cells stops the load: nothing is shifted, cut or filled.
+    "mode": "FAILFAST",
+    "columnPruning": "false",
     "enforceSchema": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
@@ -36,16 +38,24 @@ EXTRACT_FILES = {
 
 
 def read_extracts(
-    spark: SparkSession, folder: str, files: dict[str, str] | None = None
+    spark: SparkSession, folder: str, files: dict[str, str] | None = None, multi_line: bool = False
 ) -> dict[str, DataFrame]:
     """All raw tables of a delivery; ``files`` overrides single names."""
     names = EXTRACT_FILES | (files or {})
-    return {table: read_raw_csv(spark, table, f"{folder}/{name}") for table, name in names.items()}
+    return {
+        table: read_raw_csv(spark, table, f"{folder}/{name}", multi_line) for table, name in names.items()
+    }
 
 
-def read_raw_csv(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """A raw table from a file or a folder of files, every column text."""
-    return spark.read.schema(raw_schema(table)).options(**CSV_OPTIONS).csv(path)
+def read_raw_csv(spark: SparkSession, table: str, path: str, multi_line: bool = False) -> DataFrame:
+    """A raw table from a file or a folder of files, every column text.
+
+    A record without the expected number of cells fails the load. Line breaks
+    inside quoted values need ``multi_line``, which reads a file as a whole in
+    one task; without it such a record fails the load too.
+    """
+    reader = spark.read.schema(raw_schema(table)).options(**CSV_OPTIONS)
+    return reader.option("multiLine", str(multi_line).lower()).csv(path)
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:

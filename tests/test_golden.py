@@ -183,8 +183,8 @@ def test_layers_are_queryable_by_name(spark, golden, tmp_path):
     root = str(tmp_path / "w")
     publish.publish(spark, f"{root}/raw", {"produits": golden.raw["produits"]})
     publish.publish(spark, f"{root}/staging", {"produits": golden.staging["produits"]})
-    publish.publish(spark, f"{root}/dimensions", {"dim_agence": golden.mart["dim_agence"]})
-    publish.publish(spark, f"{root}/facts", {"fact_credits": golden.mart["fact_credits"]})
+    mart = {name: golden.mart[name] for name in ("dim_agence", "fact_credits")}
+    publish.publish(spark, f"{root}/mart", mart)
     for _ in range(2):
         assert set(warehouse.register(spark, root, "g_")) == {
             "g_raw.produits", "g_staging.produits", "g_mart.dim_agence", "g_mart.fact_credits",
@@ -212,3 +212,27 @@ def test_calendar_without_any_date(spark):
     bounds = spark.sql("select cast(null as date) as date_min, cast(null as date) as date_max")
     r = calendar.days(bounds).agg(F.min("date_complete"), F.max("date_complete"), F.count("*")).first()
     assert tuple(r) == (dt.date(2021, 1, 1), dt.date(2026, 12, 31), 2191)
+
+
+def test_failed_fact_guard_keeps_the_whole_mart(spark, golden, tmp_path):
+    """A delivery with a new first branch and a repeated instalment: old facts stay on old keys."""
+    root = str(tmp_path / "w")
+    warehouse.build(spark, golden.raw, root)
+    per_branch = lambda mart: {
+        r.agence_id: r.n
+        for r in mart["fact_credits"].join(mart["dim_agence"], "agence_key").groupBy("agence_id").agg(F.sum("nombre_credits").alias("n")).collect()
+    }
+    before = per_branch(warehouse.load(spark, root).mart)
+    stg = dict(golden.staging)
+    stg["agences"] = stg["agences"].unionByName(stg["agences"].limit(1).withColumn("agence_id", F.lit("A000")))
+    stg["remboursements"] = stg["remboursements"].unionByName(stg["remboursements"].limit(1))
+    with pytest.raises(guards.GuardFailed):
+        warehouse.build_mart(spark, stg, root)
+    assert per_branch(warehouse.load(spark, root).mart) == before
+
+
+def test_lower_case_identifiers_find_their_members(spark, golden):
+    stg = dict(golden.staging)
+    stg["credits"] = stg["credits"].withColumn("client_id", F.lower("client_id")).withColumn("agence_id", F.lower("agence_id"))
+    known = lambda df: df.where("client_key <> 0 and agence_key <> 0").count()
+    assert known(facts.fact_credits(stg, golden.dims)) == known(golden.mart["fact_credits"]) > 0

@@ -119,9 +119,9 @@ def test_resolve_key_never_matches_the_unknown_member(spark):
     assert sorted((r.fk or "", r.key) for r in out) == [("", 0), ("A1", 1), ("A999", 0), ("INCONNU", 0)]
 
 
-@pytest.mark.parametrize("limit", [0, 500_000])
-def test_any_orphan_counts_a_row_once(spark, monkeypatch, limit):
-    monkeypatch.setattr(lookup, "BROADCAST_VALUES", limit)
+@pytest.mark.parametrize("least", [1, 500_000])
+def test_any_orphan_counts_a_row_once(spark, monkeypatch, least):
+    monkeypatch.setattr(lookup, "HOT_MIN_ROWS", least)
     rows = spark.createDataFrame([(1, 1), (1, 9), (9, 1), (9, 9), (None, 1)], "a int, b int")
     dim = spark.createDataFrame([(1,)], "k int")
     count = lambda fks: lookup.any_orphan(rows, fks, "n").first().n

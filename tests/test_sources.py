@@ -86,3 +86,17 @@ def test_entry_point_builds_from_extracts(spark, golden, tmp_path, capsys):
     run.main(["--extracts", str(tmp_path / "in"), "--root", str(tmp_path / "out")])
     printed = capsys.readouterr().out
     assert "Modèle validé : 61 contrôles" in printed and "18899 échéances" in printed
+
+
+@pytest.mark.parametrize("record", ["P1,a,b,c,d,e", "P1,a,b", 'P1,"a\nb",c,d,e'])
+def test_malformed_records_stop_the_load(spark, tmp_path, record):
+    path = tmp_path / "produits.csv"
+    path.write_text("produit_id,nom_produit,famille_produit,univers,niveau_complexite\n" + record + "\n", encoding="utf-8")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_raw_csv(spark, "produits", str(path)).collect()
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    path = tmp_path / "produits.csv"
+    path.write_text('produit_id,nom_produit,famille_produit,univers,niveau_complexite\nP1,"a\nb",c,d,e\n', encoding="utf-8")
+    assert [tuple(r) for r in read_raw_csv(spark, "produits", str(path), multi_line=True).collect()] == [("P1", "a\nb", "c", "d", "e")]

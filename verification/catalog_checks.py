@@ -240,7 +240,7 @@ def _(x: Context) -> DataFrame:
 
 
 @register("q03_duplicate_list", f"""select {b2n('transaction_id')} as transaction_id, cast(count(*) as bigint) as nombre_occurrences
- from raw_transactions where {b2n('transaction_id')} is not null group by 1 having count(*) > 1 order by 2 desc, 1 limit 20""")
+ from raw_transactions where {b2n('transaction_id')} is not null group by 1 having count(*) > 1""")
 def _(x: Context) -> DataFrame:
     return quality.duplicate_list(x.raw, x.staging, "raw", "transactions")
 
@@ -262,8 +262,7 @@ def _(x: Context) -> DataFrame:
     )
 
 
-@register("q10_orphan_list", f"""select credit_id, client_id from {_orphans('raw', 'credits', 'client_id', 'clients', 'client_id')}
- order by credit_id, client_id limit 20""")
+@register("q10_orphan_list", f"""select credit_id, client_id from {_orphans('raw', 'credits', 'client_id', 'clients', 'client_id')}""")
 def _(x: Context) -> DataFrame:
     return quality.orphan_list(x.raw, x.staging, "raw", "credits", "client_id", "credit_id")
 
@@ -447,21 +446,19 @@ def _(x: Context) -> DataFrame:
 
 
 @register("q02_failed_conversion_rows", f"""select transaction_id, ligne_source, date_transaction, montant, frais from raw_transactions
- where {' or '.join(_failed('transactions', c) for c in ('ligne_source', 'date_transaction', 'montant', 'frais'))}
- order by transaction_id, ligne_source limit 40""")
+ where {' or '.join(_failed('transactions', c) for c in ('ligne_source', 'date_transaction', 'montant', 'frais'))}""")
 def _(x: Context) -> DataFrame:
-    return quality.conversion_offenders(x.raw, "transactions", ["transaction_id", "ligne_source"], 40)
+    return quality.conversion_offenders(x.raw, "transactions", ["transaction_id", "ligne_source"])
 
 
-@register("q15_offending_rows", """select * from stg_transactions where (sens = 'Débit' and montant >= 0) or (sens = 'Crédit' and montant <= 0)
- order by transaction_id limit 20""")
+@register("q15_offending_rows", """select * from stg_transactions where (sens = 'Débit' and montant >= 0) or (sens = 'Crédit' and montant <= 0)""")
 def _(x: Context) -> DataFrame:
     return quality.offenders(x.staging, "transactions", "montants_sens_incoherents", AS_OF, ["transaction_id"])
 
 
 @register("q07_offending_credits", """select credit_id, date_octroi, duree_mois, date_fin_prevue from stg_credits
  where date_octroi is null or date_fin_prevue is null or date_fin_prevue <= date_octroi
- or cast(date_octroi + to_months(duree_mois) as date) <> date_fin_prevue order by credit_id limit 20""")
+ or cast(date_octroi + to_months(duree_mois) as date) <> date_fin_prevue""")
 def _(x: Context) -> DataFrame:
     return quality.offenders(x.staging, "credits", "dates_incoherentes", AS_OF, ["credit_id"]).select(
         "credit_id", "date_octroi", "duree_mois", "date_fin_prevue"

@@ -42,18 +42,17 @@ class Context:
             return warehouse.build_staging(self.spark, self.raw, self.root)
 
     @cached_property
-    def dims(self) -> Tables:
+    def mart(self) -> Tables:
         with _lock:
-            return warehouse.build_dimensions(self.spark, self.staging, self.root)
+            return warehouse.build_mart(self.spark, self.staging, self.root)
 
-    @cached_property
-    def facts(self) -> Tables:
-        with _lock:
-            return warehouse.build_facts(self.spark, self.staging, self.dims, self.root)
+    @property
+    def dims(self) -> Tables:
+        return {name: df for name, df in self.mart.items() if name.startswith("dim_")}
 
     @property
-    def mart(self) -> Tables:
-        return self.dims | self.facts
+    def facts(self) -> Tables:
+        return {name: df for name, df in self.mart.items() if name.startswith("fact_")}
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:

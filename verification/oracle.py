@@ -14,7 +14,18 @@ RAW_TABLES = (
     "agences", "clients", "credits", "objectifs_agences", "produits", "remboursements",
     "transactions",
 )
-MOJIBAKE = "├⌐é ├¿è ├ºç ├çÇ ├ëÉ ├èÊ ├áà ├¬ê ├┤ô".split()
+# --- fixed values: damaged pair -> letter
+MOJIBAKE = (
+    ("├⌐", "é"),
+    ("├¿", "è"),
+    ("├º", "ç"),
+    ("├ç", "Ç"),
+    ("├ë", "É"),
+    ("├è", "Ê"),
+    ("├á", "à"),
+    ("├¬", "ê"),
+    ("├┤", "ô"),
+)
 
 
 def b2n(x: str) -> str:
@@ -23,8 +34,8 @@ def b2n(x: str) -> str:
 
 def clean(x: str) -> str:
     out = b2n(x)
-    for pair in MOJIBAKE:
-        out = f"replace({out}, '{pair[:2]}', '{pair[2]}')"
+    for damaged, letter in MOJIBAKE:
+        out = f"replace({out}, '{damaged}', '{letter}')"
     return out
 
 
