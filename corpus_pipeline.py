@@ -22,8 +22,11 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that too many documents of their source share; ``n_chars`` follows."""
-    clean = lines.without_boilerplate(docs, F.col("source"))
+    """Documents without the lines that too many documents of their source share; ``n_chars`` follows.
+
+    Copies count once: they are the next stage's, which keeps one of them with its text.
+    """
+    clean = lines.without_boilerplate(docs, F.col("source"), copies=False)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

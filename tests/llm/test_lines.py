@@ -33,3 +33,19 @@ def test_odd_rows(odd, make):
     texts = {(r["doc_id"], r["text"]) for r in clean.collect()}
     assert (6, "") in texts and (7, "") in texts and (1, None) in texts and (2, "") in texts and (3, "   \n\n ") in texts
     assert without_boilerplate(make([]), F.col("source")).collect() == []
+
+
+def test_copies_count_once(make):
+    copied = "first line of a copied page\nits second line"
+    rows = [(i, copied, None, "a.org") for i in range(40)]
+    rows += [(100 + i, f"menu\nown line {i}", None, "a.org") for i in range(200)]
+    rows += [(400 + i, "menu\nown line 0", None, "a.org") for i in range(300)]
+    clean = without_boilerplate(make(rows), F.col("source"), copies=False)
+    got = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert all(got[i] == copied for i in range(40))
+    assert all(got[100 + i] == f"own line {i}" for i in range(200)) and got[400] == "own line 0"
+    # The total counts copies once as well: 10 of 201 pages, though 10 of 540 rows.
+    rows = [(i, f"ten pages\nown {i}" if i < 10 else f"own {i}", None, "b.org") for i in range(200)]
+    rows += [(200 + i, copied, None, "b.org") for i in range(340)]
+    got = {r["doc_id"]: r["text"] for r in without_boilerplate(make(rows), F.col("source"), copies=False).collect()}
+    assert got[0] == "own 0" and got[200] == copied

@@ -26,3 +26,13 @@ def test_odd_rows(spark, odd):
         rows = stage(spark, odd, SF)
         assert rows.count() <= odd.count() + 100
         assert stage(spark, odd.limit(0), SF).count() == 0
+
+
+def test_one_document_of_a_large_copy_group_stays(spark, make):
+    """A group of copies above the line ratio: its text reaches the near-dedup whole, and one is kept."""
+    copied = "The harbour was closed on Monday because of the storm.\nShips waited two days outside the bay."
+    rows = [(i, copied, "en", "a.org", len(copied)) for i in range(30)]
+    rows += [(100 + i, " ".join(f"word{i * 31 + k * k}" for k in range(30)), "en", "a.org", 1) for i in range(100)]
+    clean = pipeline.without_boilerplate(spark, make(rows), SF)
+    assert clean.where(F.col("text") == copied).count() == 30
+    assert pipeline.one_of_each(spark, clean, SF).where(F.col("text") == copied).count() == 1
