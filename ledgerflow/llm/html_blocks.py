@@ -43,11 +43,16 @@ _ASIDE_WORDS = frozenset(
 _MAIN_WORDS = frozenset(("article", "body", "content", "entry", "main", "maincontent", "post", "story", "text"))
 _TITLE_WORDS = frozenset(("header", "byline", "notice"))  # inside an article these may be part of it: only headings stay
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(" + "|".join(_UNSEEN) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
-    re.DOTALL | re.IGNORECASE,
+# Unseen elements whose content is no markup: without an end tag they run to the end of the page.
+_RAW = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in ("script", "style", "textarea", "title")}
+# Elements, and what stands in them, that a slash before the bracket ends.
+_FOREIGN = ("svg", "math")
+
+_NO_TAG = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
+_ATTRIBUTES = r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+_TOKEN = re.compile(_NO_TAG + r"|<(/?)([a-zA-Z][^\s/>]*)" + _ATTRIBUTES, re.DOTALL)
+_UNSEEN_TAG = re.compile(
+    _NO_TAG + r"|<(/?)(" + "|".join(_UNSEEN) + r")(?=[\s/>])" + _ATTRIBUTES, re.DOTALL | re.IGNORECASE
 )
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(
@@ -104,6 +109,30 @@ def _entered(tag: str, attributes: str, outer: _Open) -> _Open:
     return _Open(tag, aside, main, hidden)
 
 
+def _unseen(page: str) -> dict[int, int]:
+    """Where each unseen element begins and ends. Without an end tag it is not there: only its tag is skipped."""
+    ends: dict[int, int] = {}
+    begun: dict[str, list[int]] = {name: [] for name in _UNSEEN}
+    at = 0
+    while token := _UNSEEN_TAG.search(page, at):
+        at = token.end()
+        if not token[2]:
+            continue
+        tag = token[2].lower()
+        foreign = tag in _FOREIGN or any(begun[name] for name in _FOREIGN)
+        if token[1]:
+            if begun[tag]:
+                ends[begun[tag].pop()] = at
+        elif foreign and token[3].endswith("/"):
+            ends[token.start()] = at
+        elif tag in _RAW and not foreign:
+            end = _RAW[tag].search(page, at)
+            at = ends[token.start()] = end.end() if end else len(page)
+        else:
+            begun[tag].append(token.start())
+    return ends
+
+
 def blocks(page: str) -> list[Block]:
     """The text between block elements, references decoded, white space single; empty ones left out."""
     found: list[Block] = []
@@ -129,15 +158,19 @@ def blocks(page: str) -> list[Block]:
             if link_depth:
                 links.append(text)
 
+    unseen = _unseen(page)
     at = 0
-    for token in _TOKEN.finditer(page):
+    while token := _TOKEN.search(page, at):
         take(page[at : token.start()])
         at = token.end()
-        if not token[3]:
-            if token[1] and token[1].lower() in ("title", "button", "select", "textarea"):
+        if not token[2]:
+            continue
+        tag, closing = token[2].lower(), token[1]
+        if tag in _UNSEEN and not closing:
+            at = unseen.get(token.start(), at)
+            if tag in ("title", "button", "select", "textarea"):
                 end_block()
             continue
-        tag, closing = token[3].lower(), token[2]
         if tag == "a":
             link_depth = 0 if closing else 1
         elif tag == "br" or tag == "wbr":
@@ -156,10 +189,10 @@ def blocks(page: str) -> list[Block]:
             else:
                 while stack[-1].tag in _LINES and (tag == stack[-1].tag or stack[-1].tag in ("p", *_HEADINGS)):
                     stack.pop()
-                stack.append(_entered(tag, token[4], stack[-1]))
-        elif not closing and tag not in _VOID and ("=" in token[4] or "hidden" in token[4].lower()):
+                stack.append(_entered(tag, token[3], stack[-1]))
+        elif not closing and tag not in _VOID and ("=" in token[3] or "hidden" in token[3].lower()):
             # An inline element only matters if it is named or hidden; it is a block then.
-            inner = _entered(tag, token[4], stack[-1])
+            inner = _entered(tag, token[3], stack[-1])
             if inner[1:] != stack[-1][1:]:
                 end_block()
                 stack.append(inner)

@@ -73,3 +73,25 @@ def test_odd_rows(spark, tree):
 def test_neighbours_of_a_block():
     found = blocks("<ul><li><a>one two</a><li>three</ul>tail")
     assert [(b.text, b.words, b.link_density) for b in found] == [("one two", 2, 1.0), ("three", 1, 0.0), ("tail", 1, 0.0)]
+
+
+@pytest.mark.parametrize(
+    "html,wanted",
+    [
+        ("<p>a</p><video-player src=x></video-player><p>b</p>", "a b"),
+        ("<p>a</p><map-view><button-group><select-menu><p>b</p>", "a b"),
+        ("<p>a</p><title-bar>t</title-bar><p>b</p>", "a t b"),
+        ("<p>a</p><svg class=i /><p>b</p><svg/><math/><p>c</p>", "a b c"),
+        ("<p>a</p><svg><title/><style/><svg/>no</svg><p>b</p>", "a b"),
+        ("<p>a</p><svg><g><svg>no</svg></g>no</svg><p>b</p>", "a b"),
+        ("<p>a</p><object data=x><p>b</p><map name=m><p>c</p><button><p>d</p>", "a b c d"),
+        ("<p>a</p><button>x<p>b</p><button>no</button><p>c</p></button-x><p>d</p>", "a x b c d"),
+        ("<p>a</p><SELECT size='>'><option>no</SELECT ><p>b</p>", "a b"),
+        ("<p>a</p><script>'<svg>' + '<video>'</script><p>b</p><!-- <video> --><p>c</p>", "a b c"),
+        ("<p>a</p><script/>no</script><p>b</p><style>no <p>no</p>", "a b"),
+        ("<p>a</p><textarea><p>no</p>", "a"),
+        ("<p>a</p>" + "<button><p>b</p>" * 20_000, "a" + " b" * 20_000),
+    ],
+)
+def test_unseen_elements_take_no_more_than_they_hold(html, wanted):
+    assert " ".join(b.text for b in blocks(html)) == wanted
