@@ -90,13 +90,20 @@ def ownership(scanned: DataFrame) -> DataFrame:
     """(digest, n, owners, repositories): how many rows, distinct owners and distinct repositories hold a value.
 
     Counted in steps, each combined before its shuffle: a value that a third of
-    the corpus holds is a few rows. A null owner or repository is no one's.
+    the corpus holds is a few rows. Repositories of a null owner are an owner
+    each, and so are rows that have neither.
     """
     held = scanned.select("owner", "repository", F.explode(F.array_distinct("spans.digest")).alias("digest"))
     by_repository = held.groupBy("digest", "owner", "repository").agg(F.count("*").alias("n"))
-    by_owner = by_repository.groupBy("digest", "owner").agg(F.sum("n").alias("n"), F.count("repository").alias("repositories"))
+    by_owner = by_repository.groupBy("digest", "owner").agg(
+        F.sum("n").alias("n"),
+        F.count("repository").alias("repositories"),
+        F.sum(F.when(F.col("repository").isNull(), F.col("n")).otherwise(1)).alias("apart"),
+    )
     return by_owner.groupBy("digest").agg(
-        F.sum("n").alias("n"), F.count("owner").alias("owners"), F.sum("repositories").alias("repositories")
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("owner").isNull(), F.col("apart")).otherwise(1)).alias("owners"),
+        F.sum("repositories").alias("repositories"),
     )
 
 

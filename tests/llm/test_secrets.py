@@ -54,3 +54,21 @@ def test_odd_rows(odd, make):
     rows = secrets(odd, F.col("source"), F.col("source"))
     assert rows.count() == odd.count() and rows.columns == ["doc_id", "spans", "n_live", "n_copied"]
     assert secrets(make([]), F.col("source"), F.col("source")).collect() == []
+
+
+def test_value_copied_all_over_one_source_is_no_live_one(spark, tmp_path):
+    own, copied, lost = "9f86d081884c7d659a2feaa0c55ad015", "5e884898da28047151d0e56f8dc62927", "0b14d501a594442a01c6859541bcb3e8"
+    rows = [(i, f"page {i} token: {copied}", "en", "hot", 1) for i in range(40)]
+    rows += [(100 + i, f"copied page token: {own}", "en", "hot", 1) for i in range(40)]
+    rows += [(200 + i, f"page {i} token: {lost}", "en", None, 1) for i in range(3)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_live"], r["n_copied"]) for r in QUERIES["op2_secrets"](spark, str(tmp_path)).collect()}
+    assert all(got[i] == (0, 2) for i in range(40)) and all(got[200 + i] == (0, 2) for i in range(3))
+    assert all(got[100 + i] == (1, 0) for i in range(40))
+
+
+def test_rows_without_owner_are_owners_apart(make):
+    value = "9f86d081884c7d659a2feaa0c55ad015"
+    for n, live in ((2, 1), (3, 0)):
+        docs = make([(i, f"token: {value}") for i in range(n)])
+        assert {r["n_live"] for r in secrets(docs, F.col("source"), F.col("source")).collect()} == {live}
