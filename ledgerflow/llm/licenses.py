@@ -12,7 +12,9 @@ SHINGLE_WORDS = 5
 # between, so each shingle of a text lies in exactly one window.
 WINDOW_SHINGLES = 4
 # Bands of one row: a window that shares one shingle of four with a template's
-# window collides with probability 1 - (3/4)**24 = 0.999, one that shares two with 1 - 6e-8.
+# window collides with probability 1 - (3/4)**24 = 0.999 over all shingles, but 0.66 for the
+# worst of 300 000; one that shares two with 1 - 6e-8.
+# Each shingle is a value of its own besides, so that a template of one shingle is never missed.
 BANDS = 24
 MIN_CONTAINMENT = 0.8
 # Templates are broadcast; this bounds their words.
@@ -66,7 +68,7 @@ def _hashes(text: Column) -> Column:
 
 
 def bands(windows: DataFrame, keep: list[str], size: int) -> DataFrame:
-    """The kept columns and ``value``: for each band the least hash of the window's shingles.
+    """The kept columns and ``value``: for each band the least hash of the window's shingles, and each shingle's hash.
 
     ``windows`` has the word hashes ``h`` of a text and a window's start ``i``.
     A band's number seeds its hash function, so values of different bands do
@@ -79,9 +81,13 @@ def bands(windows: DataFrame, keep: list[str], size: int) -> DataFrame:
         for k in range(size)
     ]
     cut = windows.select(*keep, F.inline(F.array(F.struct(*parts))))
-    seeded = cut.select("*", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+    seeded = cut.select("*", F.explode(F.sequence(F.lit(0), F.lit(BANDS + size - 1))).alias("band"))
     own = [F.when(F.col(f"s{k}").isNotNull(), F.xxhash64(f"s{k}", "band")) for k in range(size)]
-    return seeded.select(*keep, (F.least(*own) if size > 1 else own[0]).alias("value"))
+    value = F.least(*own) if size > 1 else own[0]
+    for k in range(size):
+        single = F.when(F.col(f"s{k}").isNotNull(), F.xxhash64(f"s{k}", F.lit(BANDS)))
+        value = F.when(F.col("band") == BANDS + k, single).otherwise(value)
+    return seeded.select(*keep, value.alias("value"))
 
 
 def template_bands(spark: SparkSession, templates: tuple[tuple[str, str], ...]) -> DataFrame:
