@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm import (
     decontamination,
+    exact,
+    filter_audit,
     html_text,
     langid,
     licenses,
@@ -18,6 +20,7 @@ from ledgerflow.llm import (
     repeats,
     secrets,
     simhash,
+    spelling,
 )
 from ledgerflow.llm.common import table
 
@@ -153,3 +156,41 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("span_starts").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact.groups(table(spark, sf_dir, "documents"))
+    return found.toDF("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLE["op11_exact_dedup"] = f"""
+with docs as (select doc_id, translate(coalesce(text, ''), '{exact.UPPER}', '{exact.LOWER}') t from documents)
+select doc_id, max(doc_id) over same keep_id, count(*) over same group_size,
+       doc_id = max(doc_id) over same kept, sha256(t) text_sha256
+from docs window same as (partition by t)
+"""
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op12_filter_audit"] = filter_audit.oracle_sql()
+
+
+def misspelt(key: Column, word: Column) -> Column:
+    """The word without one letter for one row and word in 31, as crc32 of both decides."""
+    lower = F.translate(word, exact.UPPER, exact.LOWER)
+    h = F.crc32(F.encode(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), lower), "UTF-8"))
+    at = F.pmod(h, F.length(lower)).cast("int")
+    cut = F.concat(F.substring(lower, F.lit(1), at), F.substring(lower, at + 2, F.length(lower)))
+    return F.when(h % 31 == 0, cut).otherwise(lower)
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    words = spelling.vocabulary(docs, "text", lambda run: misspelt(F.col("doc_id"), run))
+    return spelling.variants(words)

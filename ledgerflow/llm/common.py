@@ -63,14 +63,17 @@ def schema(*fields: T.StructField | tuple[str, str]) -> T.StructType:
 
 
 def shards(
-    batches: Iterator[pa.RecordBatch], text: str, limit: int = SHARD_BYTES
+    batches: Iterator[pa.RecordBatch], text: str, limit: int = SHARD_BYTES, row_bytes: int = 0
 ) -> Iterator[pa.RecordBatch]:
-    """The rows of the batches, joined until their text reaches ``limit`` bytes."""
+    """The rows of the batches, joined until their text reaches ``limit`` bytes.
+
+    ``row_bytes`` is what a row counts besides its text, so that empty rows fill a shard too.
+    """
     held, size = [], 0
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         start = 0
-        for row, length in enumerate(lengths.tolist()):
+        for row, length in enumerate((lengths + row_bytes).tolist()):
             if size and size + length > limit:
                 held.append(batch.slice(start, row - start))
                 yield _joined(held)
