@@ -8,7 +8,7 @@ with the data and use the split join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.rules import (
@@ -24,6 +24,31 @@ from ledgerflow.operators.lookup import hot_keys, resolve_key, split_left_join
 
 Tables = dict[str, DataFrame]
 
+# --- fixed values: the main date of each fact, by whose month its files are laid out --
+MAIN_DATES = {
+    "fact_transactions": "date_key",
+    "fact_credits": "date_octroi_key",
+    "fact_remboursements": "date_echeance_key",
+    "fact_objectifs_agences": "date_key",
+    "fact_entrees_clients": "date_key",
+}
+# Partition column of the published facts: year and month of the main date, 0 when unknown.
+MONTH = "mois_key"
+
+
+def month_key(date_key: str) -> Column:
+    """Year and month (yyyyMM) of a day key (yyyyMMdd)."""
+    return F.expr(f"cast({date_key} div 100 as int)")
+
+
+def by_month(fact: DataFrame, main_date: str) -> DataFrame:
+    """The fact with its month, dealt out for files of one month each.
+
+    The rebalance splits a month that holds more than a file should and joins
+    nothing across months, so neither a hot month nor many tasks make bad files.
+    """
+    return fact.withColumn(MONTH, month_key(main_date)).hint("rebalance", F.col(MONTH))
+
 
 def _day(df: DataFrame, dims: Tables, column: str, alias: str) -> DataFrame:
     return resolve_key(

@@ -1,10 +1,12 @@
 """Business measures over the star, cut by any dimension attribute.
 
-A measure is a formula over additive parts. Cut by one dimension, the parts are
-summed per foreign key inside the fact and only that small result meets the
-dimension. Cut by several, the short dimensions (days, branches, products) are
-joined first and the client dimension, which grows with the data, last: per
-client there is one row by then, however hot the client.
+A measure is a formula over additive parts. A slicer on the calendar first
+becomes a condition on the months the fact's files are laid out by, so whole
+files are left unread; the days, branches and products that the slicers leave
+then meet the fact before anything is summed or shuffled. Cut by one dimension
+without slicer, the parts are summed per foreign key inside the fact and only
+that small result meets the dimension. The client dimension, which grows with
+the data, comes last: per client there is one row by then, however hot the client.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.rules import income_band, risk_level
 from ledgerflow.functions.text import display_label
+from ledgerflow.plans.facts import MAIN_DATES, MONTH, month_key
 
 Tables = dict[str, DataFrame]
 
@@ -217,13 +220,38 @@ TARGETS = Model(
 
 
 # ------------------------------------------------------------------- evaluation
+def _chosen(value: object) -> list:
+    return list(value) if isinstance(value, list | tuple | set) else [value]
+
+
 def _conditions(filters: dict[str, object], columns: tuple[str, ...]) -> list[Column]:
-    chosen = []
-    for column, value in filters.items():
-        if column in columns:
-            values = value if isinstance(value, list | tuple | set) else [value]
-            chosen.append(F.col(column).isin(*values))
-    return chosen
+    return [F.col(column).isin(*_chosen(value)) for column, value in filters.items() if column in columns]
+
+
+def month_attributes() -> dict[str, Column]:
+    """Calendar attributes that a month alone decides, from the month key."""
+    key = F.col(MONTH)
+    year, month = F.expr(f"{MONTH} div 100"), key % 100
+    return {
+        "annee": year,
+        "annee_mois": key,
+        "mois_numero": month,
+        "trimestre_numero": F.expr(f"({MONTH} % 100 + 2) div 3"),
+        "semestre_numero": F.when(month <= 6, 1).otherwise(2),
+        "annee_mois_libelle": F.concat_ws(
+            "-", F.lpad(year.cast("string"), 4, "0"), F.lpad(month.cast("string"), 2, "0")
+        ),
+    }
+
+
+def month_conditions(filters: dict[str, object]) -> list[Column]:
+    """What the slicers say about the month key: known before the scan, hence partition filters.
+
+    They hold for every row the calendar lets through. Slicers that no month
+    decides give none; the join on day and month prunes for those at run time.
+    """
+    attributes = month_attributes()
+    return [attributes[c].isin(*_chosen(v)) for c, v in filters.items() if c in attributes]
 
 
 def measure(
@@ -250,26 +278,41 @@ def measure(
     fact = mart[model.fact]
     for condition in _conditions(filters, model.own):
         fact = fact.where(condition)
-    members = {}
+    # Laid out by the month of the date that counts: the calendar prunes files.
+    by_month = MONTH in fact.columns and keys["dim_date"] == MAIN_DATES[model.fact]
+    if by_month:
+        for condition in month_conditions(filters):
+            fact = fact.where(condition)
+
+    members, sliced = {}, set()
     for dim in keys:
         columns = tuple(c for c in used if c not in model.own and homes[c] == dim)
         if columns:
             chosen = dimension(mart, dim)
             for condition in _conditions(filters, columns):
                 chosen = chosen.where(condition)
+                sliced.add(dim)
             shown = [c for c in columns if c in by]
-            members[dim] = chosen.select(F.col(KEYS[dim]).alias(keys[dim]), *shown), shown
+            members[dim] = chosen.select(F.col(KEYS[dim]).alias(keys[dim]), *[F.col(c).alias(c) for c in shown]), shown
 
     parts = model.parts()
-    # The dimension the sums wait for: the only one, or else the large one.
-    last = next(iter(members)) if len(members) == 1 else "dim_client"
+    # The dimension the sums wait for: clients, or the only one if no slicer narrows it.
+    alone = set(members) - sliced if len(members) == 1 else set()
+    last = "dim_client" if "dim_client" in members else next(iter(alone), None)
     seen = [c for c in by if c in model.own]
     for dim, (frame, shown) in members.items():
-        if dim != last:
-            fact = fact.join(frame, keys[dim])
-            seen += shown
+        if dim == last:
+            continue
+        on = [keys[dim]]
+        if dim == "dim_date":
+            # Fewer than 3.7 million days, by the written form of a date.
+            if by_month and dim in sliced:
+                frame, on = frame.withColumn(MONTH, month_key(keys[dim])), [*on, MONTH]
+            frame = F.broadcast(frame)
+        fact = fact.join(frame, on, "inner" if shown else "left_semi")
+        seen += shown
     sums = {n: F.sum(p) for n, p in parts.items()}
-    if last in members:
+    if last:
         frame, _ = members[last]
         reduced = fact.groupBy(keys[last], *seen).agg(*[s.alias(n) for n, s in sums.items()])
         rolled = reduced.join(frame, keys[last]).groupBy(*by).agg(*[F.sum(n).alias(n) for n in parts])

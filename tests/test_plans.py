@@ -4,11 +4,19 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from ledgerflow.plans import controls, facts, quality, reports, staging
+from ledgerflow.plans import measures as M
 
 
 def executed(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        return df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def test_report_reads_only_its_columns(golden):
@@ -60,3 +68,64 @@ def test_counted_checks_scan_each_table_once(golden):
 def test_controls_have_no_product(golden):
     plan = executed(controls.controls(golden.staging, golden.mart))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def above(plan, marker):
+    """Operators above the scan that holds ``marker``, from the scan upwards."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and marker in line)
+    depth, found = len(lines[at]) - len(lines[at].lstrip(" :+-*()0123456789")), []
+    for line in reversed(lines[:at]):
+        column = next((i for i, c in enumerate(line) if c.isalpha()), 0)
+        if column < depth:
+            depth = column
+            found.append(line.strip(" :+-*()0123456789").split(" ")[0] + (" " + line.split("Exchange ")[1].split("(")[0] if "Exchange " in line else ""))
+    return found
+
+
+SLICED = [
+    (M.TRANSACTIONS, ["nb_transactions"], ["canal"], {"annee": [2023, 2024]}, "2023"),
+    (M.REPAYMENTS, ["nb_impayes"], ["region"], {"annee": 2023, "mois_numero": 5, "categorie_agence": "Urbaine"}, "2023"),
+    (M.CREDITS, ["production_credit"], [], {"annee_mois": 202206}, "202206"),
+]
+
+
+@pytest.mark.parametrize("model, names, by, filters, value", SLICED)
+def test_calendar_slicer_prunes_files_before_the_sums(golden, model, names, by, filters, value):
+    """The months are partition filters, and no row of the fact is exchanged before it is summed."""
+    sliced = M.measure(golden.mart, model, names, by, filters)
+    plan = executed(sliced)
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and facts.MONTH in line)
+    partition_filters = scan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert value in partition_filters and facts.MONTH in partition_filters
+    chain = above(plan, facts.MONTH)
+    first_sum = next(i for i, op in enumerate(chain) if "Aggregate" in op)
+    assert not [op for op in chain[:first_sum] if op.startswith("Exchange")]
+    files = golden.mart[model.fact].inputFiles()
+    months = facts.month_key(model.date_fk(None))
+    wanted = golden.mart[model.fact].where(months.isNotNull())
+    for condition in M.month_conditions(filters):
+        wanted = wanted.where(condition)
+    assert 0 < wanted.select(F.input_file_name()).distinct().count() < len(files)
+
+
+def test_day_slicer_prunes_at_run_time(golden):
+    """A calendar attribute that no month decides reaches the files by the join on the month."""
+    sliced = M.measure(golden.mart, M.TRANSACTIONS, ["nb_transactions"], ["canal"], {"date_complete": ["2023-05-04"]})
+    assert "dynamicpruning" in executed(sliced)
+    days = M.measure(golden.mart, M.TRANSACTIONS, ["nb_transactions"], ["date_complete"])
+    want = days.where("date_complete = '2023-05-04'").agg(F.sum("nb_transactions")).first()[0]
+    assert sliced.agg(F.sum("nb_transactions")).first()[0] == want
+
+
+def test_other_date_roles_are_not_pruned_by_the_main_month(golden):
+    by_end = M.measure(golden.mart, M.CREDITS, ["nb_credits"], [], {"annee": 2025}, date_role="fin_prevue")
+    per_year = M.measure(golden.mart, M.CREDITS, ["nb_credits"], ["annee"], date_role="fin_prevue")
+    assert by_end.first().nb_credits == per_year.where("annee = 2025").first().nb_credits > 0
+
+
+def test_facts_are_laid_out_by_month(golden):
+    for name, column in facts.MAIN_DATES.items():
+        fact = golden.mart[name]
+        assert fact.where(F.col(facts.MONTH) != facts.month_key(column)).isEmpty()
+        assert all(f"/{facts.MONTH}=" in path for path in fact.inputFiles())
