@@ -43,7 +43,8 @@ def broken_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def coverage_gaps(df: DataFrame, member: str, axis: str, seen: str, wanted: str) -> DataFrame:
     """Members that do not meet every distinct value of ``axis``."""
     pairs = df.select(member, axis).dropna()
-    total = df.agg(F.countDistinct(axis).alias(wanted))
+    # Counted as rows: distinct counts of two such totals would be merged into a copy of every row for each.
+    total = df.select(axis).dropna().distinct().agg(F.count(F.lit(1)).alias(wanted))
     return (
         pairs.groupBy(member)
         .agg(F.countDistinct(axis).alias(seen))

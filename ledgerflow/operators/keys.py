@@ -2,56 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
+from ledgerflow.sources.steps import written
 
+# Rows that one range of the order column should hold.
+ROWS_PER_RANGE = 1 << 20
+# A place is the number of the range above this bit and the row within it below.
+_RANGE_BIT = 33
 
-def dense_key(
-    df: DataFrame,
-    order_col: str,
-    name: str,
-    start: int = 1,
-    buckets: int = DEFAULT_BUCKETS,
-) -> DataFrame:
-    """Number the rows ``start, start+1, ...`` in the order of a unique column.
 
-    1. The values with the smallest hashes form a uniform sample of fixed
-       size; sorted, they cut the column into ordered buckets.
-    2. Rows are numbered inside their bucket, all buckets in parallel.
-    3. The sizes of the buckets before it (at most ``buckets`` numbers, hence
-       the list and the broadcast) give the offset of each bucket.
+def ranged(df: DataFrame, order_col: str, ranges: int | None = None) -> DataFrame:
+    """The rows cut into ranges of ``order_col`` and written in order, each with its ``_place``.
 
-    The cuts only balance the work: the numbering is the same whatever the
-    sample, the partitioning or the number of retries.
+    Spark samples the column once for the cuts and moves every row once to its
+    range, which it finds by halving. Rows without a value come first, told
+    apart by a hash of the row, so that many of them fill ranges of their own
+    instead of one. The rows are written: a place once given stays.
     """
-    cuts = (
-        df.select(order_col)
-        .where(F.col(order_col).isNotNull())
-        .orderBy(F.xxhash64(order_col), order_col)
-        .limit(buckets - 1)
-        .agg(F.array_sort(F.collect_list(order_col)).alias("cuts"))
-    )
-    below = F.filter(F.col("_cuts"), lambda cut: cut <= F.col(order_col))
-    bucketed = (
-        df.select("*", cuts.scalar().alias("_cuts"))
-        .withColumn("_bucket", F.coalesce(F.size(below), F.lit(-1)))
-        .drop("_cuts")
-    )
+    ranges = ranges or 1 + df.count() // ROWS_PER_RANGE
+    apart = F.when(F.col(order_col).isNull(), F.xxhash64(*df.columns))
+    order = [F.col(order_col).asc_nulls_first(), apart.asc_nulls_first()]
+    cut = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return written(cut.withColumn("_place", F.monotonically_increasing_id()), "ranged")
 
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
-    listed = sizes.agg(F.collect_list(F.struct("_bucket", "_rows")).alias("_sizes"))
-    offsets = listed.select(F.inline(F.transform("_sizes", _with_offset)))
-    inside = Window.partitionBy("_bucket").orderBy(order_col)
-    numbered = bucketed.withColumn("_position", F.row_number().over(inside))
-    key = F.lit(start - 1) + F.col("_offset") + F.col("_position")
-    return numbered.join(F.broadcast(offsets), "_bucket").select(
-        key.cast("bigint").alias(name), *df.columns
-    )
 
+def dense_key(df: DataFrame, order_col: str, name: str, start: int = 1, ranges: int | None = None) -> DataFrame:
+    """Number the rows ``start, start+1, ...`` in the order of a unique column.
 
-def _with_offset(bucket: Column) -> Column:
-    before = F.filter("_sizes", lambda other: other["_bucket"] < bucket["_bucket"])
-    offset = F.aggregate(before, F.lit(0).cast("bigint"), lambda total, x: total + x["_rows"])
-    return F.struct(bucket["_bucket"].alias("_bucket"), offset.alias("_offset"))
+    A row's number is its position in its range plus the sizes of the ranges
+    before it: one short list, a row for each ``ROWS_PER_RANGE``, hence the
+    broadcast and the window over all of it. The cuts only balance the work;
+    the numbering is the same whatever the ranges, the partitioning or the
+    number of retries.
+    """
+    placed = ranged(df, order_col, ranges)
+    number = F.shiftrightunsigned("_place", _RANGE_BIT)
+    sizes = placed.groupBy(number.alias("_range")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    position = F.col("_place").bitwiseAND((1 << _RANGE_BIT) - 1)
+    return placed.withColumn("_range", number).join(F.broadcast(offsets), "_range").select(
+        (F.lit(start) + F.col("_offset") + position).cast("bigint").alias(name), *df.columns
+    )

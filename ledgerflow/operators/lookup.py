@@ -8,8 +8,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.functions.predicates import any_of
 from ledgerflow.functions.rules import key_or_unknown
 from ledgerflow.functions.text import reference_key
+from ledgerflow.operators.bitmaps import KeySet, key_set, with_membership
+from ledgerflow.sources.steps import written
 
 # Rows up to which a key is a task like others. There are at most rows / HOT_MIN_ROWS
 # keys beyond it, all of them split: half a million (20 MB) for 10**12 rows, so the
@@ -222,24 +225,39 @@ def unmatched_counts(
     )
 
 
-def any_orphan(df: DataFrame, fks: list[ForeignKey], name: str) -> DataFrame:
-    """One row: rows of ``df`` with at least one key absent from its dimension.
+def broken_keys(df: DataFrame, fks: list[ForeignKey], name: str, sets: dict[str, KeySet] | None = None) -> DataFrame:
+    """One row: rows of ``df`` whose key is absent from its dimension, per key and (``name``) any of them.
 
-    One lazy plan whatever the data: the values without partner are counted per
-    key, and each list flags the rows it meets. A broken value that many rows
-    share is spread by its own count. A missing key is broken; a row broken in
-    several ways counts once.
+    One scan, in which no row moves: the keys of a dimension are a bitmap of a
+    checked size. Only the keys of a dimension beyond that size are looked up
+    by ``_flag_by_value``. A missing key is broken; a row broken in several
+    ways counts once in ``name``. ``sets`` holds bitmaps made before, by key column.
     """
-    columns = [column for column, _, _ in fks]
-    rows = df.select(*columns, F.monotonically_increasing_id().alias("_row"))
-    broken = []
+    rows = df.select(*dict.fromkeys(column for column, _, _ in fks))
+    flags = {}
     for i, (column, dim, key) in enumerate(fks):
-        values = unmatched_values(df, F.col(column), dim, key).where("_fk is not null")
-        hot = _split_by_size(values.withColumnRenamed("_fk", "_hot"), HOT_MIN_ROWS, ROWS_PER_SPLIT)
-        listed = values.select("_fk", F.lit(True).alias(f"_broken{i}"))
-        rows = split_left_join(rows, listed, F.col(column), "_fk", ["_row"], hot)
-        broken.append(f"{column} is null or _broken{i} is not null")
-    return rows.agg(F.expr(f"count_if({' or '.join(broken)}) as `{name}`"))
+        flag = flags[column] = f"_known{i}"
+        keys = sets[key] if sets else key_set(dim, key)
+        rows = with_membership(rows, column, keys, flag) if keys.small else _flag_by_value(rows, column, dim, key, flag)
+    broken = {column: ~F.col(flag) for column, flag in flags.items()}
+    return rows.agg(
+        F.count_if(any_of(*broken.values())).alias(name), *[F.count_if(b).alias(column) for column, b in broken.items()]
+    )
+
+
+def _flag_by_value(rows: DataFrame, column: str, dim: DataFrame, key: str, flag: str) -> DataFrame:
+    """``flag``: whether the dimension holds the key, by one shuffle; values without partner are split by their count."""
+    values = written(unmatched_values(rows, F.col(column), dim, key).where("_fk is not null"), "unmatched")
+    hot = _split_by_size(values.withColumnRenamed("_fk", "_hot"), HOT_MIN_ROWS, ROWS_PER_SPLIT)
+    listed = values.select("_fk", F.lit(True).alias("_missing"))
+    spread = rows.withColumn("_row", F.monotonically_increasing_id())
+    joined = split_left_join(spread, listed, F.col(column), "_fk", ["_row"], hot)
+    return joined.withColumn(flag, F.col(column).isNotNull() & F.col("_missing").isNull()).drop("_missing", "_row")
+
+
+def any_orphan(df: DataFrame, fks: list[ForeignKey], name: str) -> DataFrame:
+    """One row: rows of ``df`` with at least one key absent from its dimension."""
+    return broken_keys(df, fks, name).select(name)
 
 
 def orphan_rows(df: DataFrame, column: str, ref: DataFrame, ref_column: str) -> DataFrame:

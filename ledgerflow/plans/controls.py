@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.dates import french_date
 from ledgerflow.functions.predicates import any_of
 from ledgerflow.functions.rules import EN_RETARD, IMPAYE, is_status, unpaid_amount
-from ledgerflow.functions.text import message
+from ledgerflow.functions.text import message, reference_key
+from ledgerflow.operators.bitmaps import key_set
 from ledgerflow.operators.checks import ATTENTION, OK, unpivot
-from ledgerflow.functions.text import reference_key
-from ledgerflow.operators.lookup import Lookup, any_orphan, unmatched_counts
+from ledgerflow.operators.lookup import Lookup, broken_keys, unmatched_counts
 from ledgerflow.plans.calendar import date_bounds
 from ledgerflow.plans.guards import DIMENSION_KEYS
 
@@ -418,14 +418,18 @@ def instalments_per_credit(staging: Tables, dims: Tables) -> DataFrame:
     )
 
 
-def relationship_counts(dims: Tables, facts: Tables) -> DataFrame:
-    """(cle, valeurs, lignes) of the 17 relationships; ``cle`` is ``fact.foreign_key``."""
-    sources = [
-        (facts[fact], [Lookup(f"{f}.{fk}", dim, fk) for f, fk, dim in RELATIONSHIPS if f == fact])
-        for fact in FACTS
-    ]
-    members = {d: dims[d].select(k) for d, k in DIMENSION_KEYS.items()}
-    return unmatched_counts(sources, members)
+def broken_relationships(dims: Tables, facts: Tables) -> DataFrame:
+    """(mesure, valeur): rows breaking each relationship (``fact.foreign_key``) and any of a fact (``orphelins:fact``).
+
+    One scan of each fact, tested against one bitmap of each dimension's keys.
+    """
+    sets = {k: key_set(dims[d], k) for d, k in DIMENSION_KEYS.items()}
+    frames = []
+    for fact in FACTS:
+        fks = [(fk, dims[d], DIMENSION_KEYS[d]) for f, fk, d in RELATIONSHIPS if f == fact]
+        counts = broken_keys(facts[fact], fks, f"orphelins:{fact}", sets)
+        frames.append(counts.withColumnsRenamed({fk: f"{fact}.{fk}" for fk, _, _ in fks}))
+    return reduce(DataFrame.union, [unpivot(f, "bigint") for f in frames])
 
 
 def relationship_report(dims: Tables, facts: Tables) -> DataFrame:
@@ -435,7 +439,7 @@ def relationship_report(dims: Tables, facts: Tables) -> DataFrame:
     targets = spark.createDataFrame(
         named, "_id string, table_faits string, cle string, dimension string"
     )
-    counts = relationship_counts(dims, facts).selectExpr("cle as _id", "lignes as orphelins")
+    counts = broken_relationships(dims, facts).selectExpr("mesure as _id", "valeur as orphelins")
     return targets.join(counts, "_id").selectExpr(
         "table_faits",
         "cle",
@@ -446,17 +450,12 @@ def relationship_report(dims: Tables, facts: Tables) -> DataFrame:
 
 
 def integrity_figures(dims: Tables, facts: Tables) -> list[DataFrame]:
-    """Rows with any broken key per fact, and how many relationships hold; one lazy plan."""
-    frames = [
-        any_orphan(
-            facts[fact],
-            [(fk, dims[d], DIMENSION_KEYS[d]) for f, fk, d in RELATIONSHIPS if f == fact],
-            f"orphelins:{fact}",
-        )
-        for fact in FACTS
-    ]
-    held = relationship_counts(dims, facts).agg(F.count_if(F.col("lignes") == 0).alias("relations_verifiees"))
-    return [*frames, held]
+    """Rows with any broken key per fact, and how many relationships hold, from one scan per fact."""
+    counts = broken_relationships(dims, facts)
+    own = F.col("mesure")
+    wide = [F.max(F.when(own == f"orphelins:{f}", F.col("valeur"))).alias(f"orphelins:{f}") for f in FACTS]
+    held = F.count_if(~own.startswith("orphelins:") & (F.col("valeur") == 0)).alias("relations_verifiees")
+    return [counts.agg(*wide, held)]
 
 
 def present_tables(staging: Tables, mart: Tables) -> DataFrame:

@@ -27,6 +27,7 @@ from ledgerflow.functions.parsing import (
 from ledgerflow.functions.rules import EN_RETARD, IMPAYE
 from ledgerflow.functions.text import blank_to_null, clean_text, message, reference_key
 from ledgerflow.operators import grouping
+from ledgerflow.operators.bitmaps import totals_and_distincts
 from ledgerflow.operators.checks import (
     ATTENTION,
     OK,
@@ -587,11 +588,9 @@ def month_continuity(staging: Tables) -> DataFrame:
 def grid(staging: Tables) -> DataFrame:
     """Is every branch followed in every month?"""
     targets = staging["objectifs_agences"]
-    totals = targets.agg(
-        F.countDistinct("agence_id").alias("agences_distinctes"),
-        F.countDistinct("mois").alias("mois_distincts"),
-        F.count(F.lit(1)).alias("lignes_reelles"),
-    )
+    totals = totals_and_distincts(
+        targets, {"lignes_reelles": F.lit(1)}, {"agences_distinctes": "agence_id", "mois_distincts": "mois"}
+    ).select("agences_distinctes", "mois_distincts", _counted("lignes_reelles"))
     branches = branch_gaps(staging).agg(F.count(F.lit(1)))
     months = month_gaps(staging).agg(F.count(F.lit(1)))
     wanted = F.col("agences_distinctes") * F.col("mois_distincts")
@@ -608,6 +607,11 @@ def grid(staging: Tables) -> DataFrame:
     ).withColumn("statut", F.when(good, OK).otherwise(ATTENTION))
 
 
+def _counted(figure: str) -> Column:
+    """A sum of ones: 0 over no rows."""
+    return F.coalesce(F.col(figure), F.lit(0)).cast("bigint").alias(figure)
+
+
 def branch_gaps(staging: Tables) -> DataFrame:
     return grouping.coverage_gaps(
         staging["objectifs_agences"], "agence_id", "mois", "nombre_mois_disponibles", "nombre_mois_attendus"
@@ -737,16 +741,6 @@ def final_summaries(staging: Tables) -> DataFrame:
     """Closing figures of every table as (table, figure, value) rows."""
     wanted = {
         "credits": {"total_credits": F.count(F.lit(1))},
-        "objectifs_agences": {
-            "total_objectifs": F.count(F.lit(1)),
-            "total_agences": F.countDistinct("agence_id"),
-            "total_mois": F.countDistinct("mois"),
-        },
-        "produits": {
-            "total_produits": F.count(F.lit(1)),
-            "total_familles": F.countDistinct("famille_produit"),
-            "total_univers": F.countDistinct("univers"),
-        },
         "remboursements": {
             "total_echeances": F.count(F.lit(1)),
             "total_impayes": F.count_if(F.col("statut_remboursement") == IMPAYE),
@@ -760,15 +754,16 @@ def final_summaries(staging: Tables) -> DataFrame:
             "agences_orphelines_null": F.count_if(F.col("agence_id").isNull()),
         },
     }
-    return _union(
-        [
-            single(
-                staging[t].agg(*[c.alias(name) for name, c in figures.items()]),
-                "Q20", f"staging.{t}", None,
-            )
-            for t, figures in wanted.items()
-        ]
-    )
+    # Several distinct counts of one table, without a copy of its rows for each.
+    several = {
+        "objectifs_agences": ("total_objectifs", {"total_agences": "agence_id", "total_mois": "mois"}),
+        "produits": ("total_produits", {"total_familles": "famille_produit", "total_univers": "univers"}),
+    }
+    rows = {t: staging[t].agg(*[c.alias(name) for name, c in figures.items()]) for t, figures in wanted.items()}
+    for t, (total, distincts) in several.items():
+        counted = totals_and_distincts(staging[t], {total: F.lit(1)}, distincts)
+        rows[t] = counted.select(_counted(total), *distincts)
+    return _union([single(row, "Q20", f"staging.{t}", None) for t, row in rows.items()])
 
 
 # --- fixed values: order of the closing previews -------------------------------

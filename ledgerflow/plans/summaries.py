@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.operators.bitmaps import totals_and_distincts
 from ledgerflow.plans.controls import instalments_per_credit
 
 Tables = dict[str, DataFrame]
@@ -44,25 +45,33 @@ def repayments(mart: Tables) -> DataFrame:
 
 
 def targets(mart: Tables) -> DataFrame:
-    return mart["fact_objectifs_agences"].agg(
-        F.sum("nombre_lignes_objectif").alias("nombre_lignes_objectif"),
-        F.countDistinct("agence_key").alias("agences_concernees"),
-        F.countDistinct("date_key").alias("mois_distincts"),
-        _amount("objectif_revenu").alias("objectif_revenu_total"),
-        F.coalesce(F.sum("objectif_nouveaux_clients"), F.lit(0)).alias(
-            "objectif_nouveaux_clients_total"
-        ),
-        _amount("objectif_production_credit").alias("objectif_production_credit_total"),
+    sums = ("objectif_revenu", "objectif_nouveaux_clients", "objectif_production_credit", "nombre_lignes_objectif")
+    row = totals_and_distincts(
+        mart["fact_objectifs_agences"],
+        {c: F.col(c) for c in sums},
+        {"agences_concernees": "agence_key", "mois_distincts": "date_key"},
     )
+    return row.select(
+        "nombre_lignes_objectif",
+        "agences_concernees",
+        "mois_distincts",
+        _kept("objectif_revenu", "decimal(38,2)"),
+        _kept("objectif_nouveaux_clients", "bigint"),
+        _kept("objectif_production_credit", "decimal(38,2)"),
+    )
+
+
+def _kept(figure: str, kind: str) -> Column:
+    return F.coalesce(F.col(figure), F.lit(0)).cast(kind).alias(f"{figure}_total")
 
 
 def client_entries(mart: Tables) -> DataFrame:
-    return mart["fact_entrees_clients"].agg(
-        F.sum("nombre_nouveaux_clients").alias("nombre_total_entrees_clients"),
-        F.countDistinct("client_key").alias("clients_distincts"),
-        F.countDistinct("agence_key").alias("agences_concernees"),
-        F.countDistinct("date_key").alias("dates_entree_distinctes"),
+    row = totals_and_distincts(
+        mart["fact_entrees_clients"],
+        {"nombre_total_entrees_clients": F.col("nombre_nouveaux_clients")},
+        {"clients_distincts": "client_key", "agences_concernees": "agence_key", "dates_entree_distinctes": "date_key"},
     )
+    return row.select("nombre_total_entrees_clients", "clients_distincts", "agences_concernees", "dates_entree_distinctes")
 
 
 def unknown_branch_causes(staging: Tables, dims: Tables) -> DataFrame:

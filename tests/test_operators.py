@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.operators import grouping, lookup
+from ledgerflow.operators import bitmaps, grouping, lookup
 from ledgerflow.operators.dedup import first_by, occurrence_key
-from ledgerflow.operators.keys import dense_key
+from ledgerflow.operators.keys import dense_key, ranged
 
 
 def dedup(df):
@@ -40,7 +40,7 @@ def test_dense_key_is_the_sorted_position(spark, buckets, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
         df = spark.range(500).selectExpr("concat('C', lpad(string(id * 7919 % 100000), 6, '0')) as code", "id")
-        rows = dense_key(df.repartition(6), "code", "k", buckets=buckets).collect()
+        rows = dense_key(df.repartition(6), "code", "k", ranges=buckets).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert [r.code for r in sorted(rows, key=lambda r: r.k)] == sorted(r.code for r in rows)
@@ -51,6 +51,27 @@ def test_dense_key_of_an_empty_table(spark):
     assert dense_key(spark.range(0).selectExpr("string(id) as code"), "code", "k").count() == 0
 
 
+def test_dense_key_spreads_rows_without_value(spark):
+    """Half the rows without value: they come first, in ranges of about the size of the others."""
+    df = spark.range(4000).selectExpr("if(id % 2 = 0, null, lpad(string(id), 5, '0')) as code", "id")
+    sizes = ranged(df, "code", 8).groupBy(F.expr("_place >> 33")).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 1000
+    rows = dense_key(df, "code", "k", start=10, ranges=8).collect()
+    assert sorted(r.k for r in rows) == list(range(10, 4010))
+    assert {r.k for r in rows if r.code is None} == set(range(10, 2010))
+    given = sorted((r for r in rows if r.code), key=lambda r: r.k)
+    assert [r.code for r in given] == sorted(r.code for r in given)
+
+
+def test_dense_key_reads_the_input_once_for_cuts_and_once_for_numbers(spark, tmp_path):
+    """The rows move once, found their range without a list of cuts, and the offsets are the only broadcast."""
+    spark.range(1000).selectExpr("string(id) as code", "id").write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    plan = dense_key(df, "code", "k", ranges=4)._jdf.queryExecution().executedPlan().toString()
+    assert str(tmp_path / "in") not in plan and "step-ranged" in plan
+    assert "cuts" not in plan and "SortMergeJoin" not in plan and plan.count("BroadcastExchange") == 1
+
+
 def test_split_join_equals_plain_join(spark):
     """A third of the rows on one key, a third without key, the rest spread; some keys unknown."""
     left = spark.range(9000).selectExpr(
@@ -119,8 +140,11 @@ def test_resolve_key_never_matches_the_unknown_member(spark):
     assert sorted((r.fk or "", r.key) for r in out) == [("", 0), ("A1", 1), ("A999", 0), ("INCONNU", 0)]
 
 
+@pytest.mark.parametrize("buckets", [1 << 14, 0])
 @pytest.mark.parametrize("least", [1, 500_000])
-def test_any_orphan_counts_a_row_once(spark, monkeypatch, least):
+def test_any_orphan_counts_a_row_once(spark, monkeypatch, least, buckets):
+    """By bitmap, and by value for a dimension beyond the bound of a bitmap."""
+    monkeypatch.setattr(bitmaps, "MAX_BUCKETS", buckets)
     monkeypatch.setattr(lookup, "HOT_MIN_ROWS", least)
     rows = spark.createDataFrame([(1, 1), (1, 9), (9, 1), (9, 9), (None, 1)], "a int, b int")
     dim = spark.createDataFrame([(1,)], "k int")
@@ -131,6 +155,33 @@ def test_any_orphan_counts_a_row_once(spark, monkeypatch, least):
     assert count([("b", whole, "k")]) == 0
 
 
+def test_membership_in_a_key_set(spark):
+    """Gaps, full buckets, negative keys, both ends of words and buckets, NULL, and no members at all."""
+    held = [*range(0, 32768), 32768, 40000, 65535, -1, -32769, 2**40, 2**40 + 63]
+    members = spark.createDataFrame([(k,) for k in [*held, None, 5]], "k bigint")
+    probes = [None, -2, -1, 0, 63, 64, 32767, 32768, 32769, 40000, 65535, 65536, -32768, -32769, -32770, 2**40, 2**40 + 62, 2**40 + 63]
+    rows = spark.createDataFrame([(p,) for p in probes], "fk bigint")
+    keys = bitmaps.key_set(members, "k")
+    assert keys.small and keys.frame.where("full").count() == 1
+    found = bitmaps.with_membership(rows, "fk", keys, "known").collect()
+    assert {r.fk: r.known for r in found} == {p: p in held for p in probes} and len(found) == len(probes)
+    none = bitmaps.key_set(members.where("k = 7 and k = 8"), "k")
+    assert not any(r.known for r in bitmaps.with_membership(rows, "fk", none, "known").collect())
+
+
+def test_totals_and_distincts(spark):
+    rows = spark.range(5000).selectExpr(
+        "id % 7 as a", "cast(id % 1000 - 500 as int) as b", "if(id % 3 = 0, null, string(id % 11)) as c",
+        "date_add(date '1969-12-20', cast(id % 40 as int)) as d", "cast(id as decimal(10,2)) as amount",
+    )
+    distincts = {"da": "a", "db": "b", "dc": "c", "dd": "d"}
+    made = bitmaps.totals_and_distincts(rows, {"total": F.col("amount"), "n": F.lit(1)}, distincts).first()
+    plain = rows.agg(F.sum("amount"), F.count("*"), *[F.countDistinct(c) for c in distincts.values()]).first()
+    assert tuple(made) == tuple(plain)
+    none = bitmaps.totals_and_distincts(rows.where("a > 9"), {"total": F.col("amount")}, distincts).first()
+    assert tuple(none) == (None, 0, 0, 0, 0)
+
+
 def test_unmatched_counts_reports_zero(spark):
     rows = spark.createDataFrame([("x", "p"), ("x", None), ("y", "q")], "a string, b string")
     members = {"A": spark.createDataFrame([("x",), ("y",)], "c string"), "B": spark.createDataFrame([("p",)], "c string")}

@@ -6,7 +6,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from ledgerflow.plans import controls, facts, quality, reports, staging
+from ledgerflow.plans import controls, facts, quality, reports, staging, summaries
 from ledgerflow.plans import measures as M
 
 
@@ -129,3 +129,26 @@ def test_facts_are_laid_out_by_month(golden):
         fact = golden.mart[name]
         assert fact.where(F.col(facts.MONTH) != facts.month_key(column)).isEmpty()
         assert all(f"/{facts.MONTH}=" in path for path in fact.inputFiles())
+
+
+def test_relationships_scan_each_fact_once_and_move_no_row(golden, spark):
+    """Even when nothing may be broadcast by size: the key sets are bounded and say so themselves."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed(controls.integrity_figures(golden.dims, golden.facts)[0])
+        report = executed(controls.relationship_report(golden.dims, golden.facts))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for fact in controls.FACTS:
+        assert plan.count(f"/{fact}]") == 1 and report.count(f"/{fact}]") == 1
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan and "NestedLoop" not in plan
+
+
+def test_distinct_counts_copy_no_fact_row(golden):
+    for frame in (
+        summaries.targets(golden.mart), summaries.client_entries(golden.mart),
+        quality.grid(golden.staging), quality.final_summaries(golden.staging),
+    ):
+        assert "Expand" not in executed(frame)
+    plan = executed(summaries.client_entries(golden.mart))
+    assert plan.count("FileScan") == 1 and plan.count("HashAggregate") >= 2 and "SortAggregate" not in plan
