@@ -12,14 +12,11 @@ from ledgerflow.functions.predicates import any_of
 from ledgerflow.functions.rules import key_or_unknown
 from ledgerflow.functions.text import reference_key
 from ledgerflow.operators.bitmaps import KeySet, key_set, with_membership
+from ledgerflow.operators.skew import HOT_MIN_ROWS, ROWS_PER_SPLIT, Skew, find_skew
 from ledgerflow.sources.steps import written
 
-# Rows up to which a key is a task like others. There are at most rows / HOT_MIN_ROWS
-# keys beyond it, all of them split: half a million (20 MB) for 10**12 rows, so the
-# list is broadcast and the large side keeps its one shuffle.
-HOT_MIN_ROWS = 2_000_000
-# Rows of a hot key that one join group should receive.
-ROWS_PER_SPLIT = 1_000_000
+# There are at most rows / HOT_MIN_ROWS hot keys, all of them split: half a million (20 MB)
+# for 10**12 rows, so the list is broadcast and the large side keeps its one shuffle.
 # Join groups for rows without a key: they need no partner, hence no copies.
 NULL_SPLITS = 1 << 16
 
@@ -64,16 +61,24 @@ def split_left_join(
     left_key: Column,
     right_key: str,
     spread_by: list[str],
-    hot: DataFrame | None = None,
+    hot: DataFrame | Skew | None = None,
 ) -> DataFrame:
     """Left join against a reference unique on ``right_key``; ``right_key`` is dropped.
 
+    ``hot`` is what is known of the left keys; where neither a value nor the
+    missing key has many rows this is a plain join.
+
     Rows of a hot key are spread over as many join groups as its size asks
     for, by a hash of ``spread_by``, and only the reference row of that key is
     copied once per group; rows without a key are spread without copies.
     Every other row joins as usual, so nothing is capped. The spread is a
     function of the row, hence stable under retries.
     """
+    if isinstance(hot, Skew):
+        if hot.none:
+            return left.withColumn("_key", left_key).join(right, F.col("_key") == F.col(right_key), "left").drop("_key", right_key)
+        kind = right.schema[right_key].dataType.simpleString()
+        hot = left.sparkSession.createDataFrame([], f"_hot {kind}, _splits int") if hot.values is None else hot.values
     hot = F.broadcast(hot_keys(left, left_key) if hot is None else hot)
     spread = F.xxhash64(*spread_by)
     tagged = (
@@ -106,14 +111,13 @@ def reference_keys(ref: DataFrame, column: str, name: str = "_ref") -> DataFrame
 def null_orphans(
     df: DataFrame,
     references: dict[str, tuple[DataFrame, str]],
-    large: dict[str, DataFrame] | None = None,
+    large: dict[str, DataFrame | Skew] | None = None,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Blank identifiers that no reference row carries; rows are always kept.
 
     ``large`` maps a column to its hot keys and selects the split join; the
-    other references are small lists whose join strategy the engine picks from
-    their size.
+    engine picks the join strategy of the others from the reference's size.
     """
     large = large or {}
     for column, (ref, ref_column) in references.items():
@@ -137,7 +141,7 @@ def resolve_key(
     alias: str,
     *,
     broadcast: bool = False,
-    hot: DataFrame | None = None,
+    hot: DataFrame | Skew | None = None,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Add ``alias``: the dimension key of ``fk``, or 0 when nothing matches.
@@ -155,9 +159,7 @@ def resolve_key(
     if dim.schema[id_col].dataType.simpleString() == "string":
         fk = reference_key(fk)
         lookup = lookup.groupBy(reference_key(F.col("_id")).alias("_id")).agg(F.min("_found").alias("_found"))
-        hot = None if hot is None else hot.groupBy(reference_key(F.col("_hot")).alias("_hot")).agg(
-            F.max("_splits").alias("_splits")
-        )
+        hot = _comparable(hot)
     if spread_by:
         joined = split_left_join(df, lookup, fk, "_id", spread_by, hot)
     else:
@@ -166,6 +168,16 @@ def resolve_key(
     return joined.withColumn(alias, key_or_unknown(F.col("_found"))).drop("_found")
 
 
+def _comparable(hot: DataFrame | Skew | None) -> DataFrame | Skew | None:
+    """Hot keys in the form in which text identifiers meet."""
+    if isinstance(hot, Skew):
+        return hot._replace(values=_comparable(hot.values))
+    if hot is None:
+        return None
+    # Values of one form share its rows.
+    return hot.groupBy(reference_key(F.col("_hot")).alias("_hot")).agg(F.sum("_splits").cast("int").alias("_splits"))
+
+
 def unmatched_values(df: DataFrame, fk: Column, ref: DataFrame, ref_col: str) -> DataFrame:
     """Key values without a partner (``_fk``) and the rows that carry them (``_rows``).
 
@@ -183,38 +195,52 @@ def unmatched_counts(
 
     ``sources`` lists frames with their lookups (label, member list, SQL
     expression of the identifier); ``members`` maps a member list to a
-    one-column frame. All identifiers of a frame are taken in one read,
-    counted per value map-side, and meet all member lists in a single join.
-    Lookups without any unmatched row are reported with 0.
+    one-column frame. The identifiers of a frame are the grouping sets of one
+    pass, each in its own type, counted per value map-side; all of them meet
+    all member lists in a single join. Lookups without any unmatched row are
+    reported with 0.
     """
     labels = [lookup.label for _, lookups in sources for lookup in lookups]
     spark = sources[0][0].sparkSession
     numbered = spark.createDataFrame(list(enumerate(labels)), "_n int, cle string")
     lists = list(members)
+    # One value column per type of identifier; a row fills that of its own type.
+    kinds = sorted({f.dataType.simpleString() for frame in members.values() for f in frame.schema.fields[:1]})
+
+    def values(column: Column, kind: str) -> list[Column]:
+        return [(column if k == kind else F.lit(None)).cast(k).alias(f"_{k}") for k in kinds]
 
     position = 0
     taken = []
     for frame, lookups in sources:
-        cells = []
-        for lookup in lookups:
-            where = lists.index(lookup.members)
-            cells.append(f"{position}, {where}, cast({lookup.identifier} as string)")
-            position += 1
-        taken.append(
-            frame.selectExpr(f"stack({len(cells)}, {', '.join(cells)}) as (_n, _list, _fk)")
+        keys = [f"_k{i}" for i in range(len(lookups))]
+        named = frame.select(*[F.expr(x.identifier).alias(k) for k, x in zip(keys, lookups, strict=True)])
+        # A row of one grouping set holds that key; the sets before it are told by their grouping flag.
+        grouped = named.groupingSets([[F.col(k)] for k in keys], *[F.col(k) for k in keys]).agg(
+            F.count(F.lit(1)).alias("_rows"), *[F.grouping(k).alias(f"_other{k}") for k in keys]
         )
-    per_value = (
-        reduce(DataFrame.union, taken).groupBy("_n", "_list", "_fk").agg(F.expr("count(1) as _rows"))
-    )
+        cells = [
+            F.struct(
+                F.lit(position + i).alias("_n"),
+                F.lit(lists.index(x.members)).alias("_list"),
+                *values(F.col(k), members[x.members].schema[0].dataType.simpleString()),
+            )
+            for i, (k, x) in enumerate(zip(keys, lookups, strict=True))
+        ]
+        picked = F.coalesce(*[F.when(F.col(f"_other{k}") == 0, cell) for k, cell in zip(keys, cells, strict=True)])
+        taken.append(grouped.select(picked.alias("_cell"), "_rows").select("_cell.*", "_rows"))
+        position += len(lookups)
     known = reduce(
         DataFrame.union,
         [
-            frame.selectExpr(f"{i} as _list", f"cast(`{frame.columns[0]}` as string) as _fk")
+            frame.select(F.lit(i).alias("_list"), *values(F.col(f"`{frame.columns[0]}`"), frame.schema[0].dataType.simpleString()))
             for i, frame in enumerate(members.values())
         ],
     )
+    per_value = reduce(DataFrame.union, taken).alias("v")
+    same = [F.col("v._list") == F.col("k._list"), *[F.col(f"v._{k}").eqNullSafe(F.col(f"k._{k}")) for k in kinds]]
     missing = (
-        per_value.join(known, ["_list", "_fk"], "left_anti")
+        per_value.join(known.alias("k"), same, "left_anti")
         .groupBy("_n")
         .agg(F.expr("count(1) as _values"), F.expr("sum(_rows) as _rows"))
     )
@@ -265,5 +291,5 @@ def orphan_rows(df: DataFrame, column: str, ref: DataFrame, ref_column: str) ->
     keys = reference_keys(ref, ref_column).withColumn("_known", F.lit(True))
     own = reference_key(F.col(column))
     given = df.where(own.isNotNull())
-    joined = split_left_join(given, keys, own, "_ref", df.columns)
+    joined = split_left_join(given, keys, own, "_ref", df.columns, find_skew(given, {"_own": own})["_own"])
     return joined.where("_known is null").drop("_known")

@@ -1,9 +1,9 @@
 """Fact tables: foreign keys resolved to dimension keys, 0 when unknown.
 
 The calendar holds at most one row per representable day (dates are written
-yyyy-MM-dd, so fewer than 3.7 million), which bounds its broadcast. Branch and
-product lists go through the engine's own size check; clients and credits grow
-with the data and use the split join.
+yyyy-MM-dd, so fewer than 3.7 million), which bounds its broadcast. The other
+lists go through the engine's own size check; identifiers that many rows share,
+in any lookup of a table, are found in one pass and spread.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from ledgerflow.functions.rules import (
     side_amount,
     unpaid_amount,
 )
-from ledgerflow.operators.lookup import hot_keys, resolve_key, split_left_join
+from ledgerflow.operators.lookup import resolve_key, split_left_join
+from ledgerflow.operators.skew import Skew, find_skew
 
 Tables = dict[str, DataFrame]
 
@@ -57,34 +58,24 @@ def _day(df: DataFrame, dims: Tables, column: str, alias: str) -> DataFrame:
     )
 
 
-def _branch(df: DataFrame, dims: Tables, column: str = "agence_id") -> DataFrame:
+def _found(df: DataFrame, dims: Tables, skew: dict[str, Skew], column: str, dim: str, spread_by: list[str]) -> DataFrame:
+    """The key of a branch, client or product, hot identifiers spread."""
+    name = dim.removeprefix("dim_")
     return resolve_key(
-        df, F.col(column), dims["dim_agence"], "agence_id", "agence_key", "agence_key"
+        df, F.col(column), dims[dim], f"{name}_id", f"{name}_key", f"{name}_key", spread_by=spread_by, hot=skew[column]
     )
 
 
-def _product(df: DataFrame, dims: Tables) -> DataFrame:
-    return resolve_key(
-        df, F.col("produit_id"), dims["dim_produit"], "produit_id", "produit_key", "produit_key"
-    )
-
-
-def _client(df: DataFrame, dims: Tables, spread_by: list[str], hot: DataFrame) -> DataFrame:
-    return resolve_key(
-        df, F.col("client_id"), dims["dim_client"], "client_id", "client_key", "client_key",
-        spread_by=spread_by, hot=hot,
-    )
-
-
-def _hot_clients(df: DataFrame) -> DataFrame:
-    return hot_keys(df, F.col("client_id"))
+def _skew(df: DataFrame, *columns: str) -> dict[str, Skew]:
+    return find_skew(df, {c: F.col(c) for c in columns})
 
 
 def fact_transactions(staging: Tables, dims: Tables) -> DataFrame:
     t = staging["transactions"]
-    keyed = _client(t, dims, ["transaction_id"], _hot_clients(t))
-    keyed = _day(keyed, dims, "date_transaction", "date_key")
-    keyed = _branch(_product(keyed, dims), dims)
+    skew = _skew(t, "client_id", "produit_id", "agence_id")
+    keyed = _day(t, dims, "date_transaction", "date_key")
+    for column, dim in (("client_id", "dim_client"), ("produit_id", "dim_produit"), ("agence_id", "dim_agence")):
+        keyed = _found(keyed, dims, skew, column, dim, ["transaction_id"])
     sens, amount = F.col("sens"), F.col("montant")
     return keyed.select(
         "transaction_id",
@@ -107,10 +98,9 @@ def fact_transactions(staging: Tables, dims: Tables) -> DataFrame:
 
 def fact_credits(staging: Tables, dims: Tables) -> DataFrame:
     cr = staging["credits"]
-    keyed = _client(cr, dims, ["credit_id"], _hot_clients(cr))
-    keyed = _day(keyed, dims, "date_octroi", "date_octroi_key")
+    keyed = _day(_holders(cr, dims), dims, "date_octroi", "date_octroi_key")
     keyed = _day(keyed, dims, "date_fin_prevue", "date_fin_prevue_key")
-    return _branch(keyed, dims).select(
+    return keyed.select(
         "credit_id",
         "date_octroi_key",
         "date_fin_prevue_key",
@@ -127,27 +117,36 @@ def fact_credits(staging: Tables, dims: Tables) -> DataFrame:
     )
 
 
-def credit_bridge(staging: Tables, dims: Tables) -> DataFrame:
+def _holders(credits: DataFrame, dims: Tables) -> DataFrame:
+    """Credits with the keys of their client and branch."""
+    skew = _skew(credits, "client_id", "agence_id")
+    for column, dim in (("client_id", "dim_client"), ("agence_id", "dim_agence")):
+        credits = _found(credits, dims, skew, column, dim, ["credit_id"])
+    return credits
+
+
+def credit_bridge(staging: Tables, dims: Tables, credits: DataFrame | None = None) -> DataFrame:
     """What an instalment takes over from its credit, resolved once per credit.
 
     Looking clients and branches up at credit grain leaves the far larger
-    instalment table with a single shuffled join.
+    instalment table with a single shuffled join. ``credits`` is the credit
+    fact, if it is written already: its keys are these.
     """
     cr = staging["credits"].select(
         "credit_id", "client_id", "agence_id", "type_credit", "statut_credit"
     )
-    keyed = _branch(_client(cr, dims, ["credit_id"], _hot_clients(cr)), dims)
+    keyed = _holders(cr, dims) if credits is None else credits
     return keyed.where(F.col("credit_id").isNotNull()).select(
         F.col("credit_id").alias("_credit"), "client_key", "agence_key", "type_credit",
         "statut_credit",
     )
 
 
-def fact_remboursements(staging: Tables, dims: Tables) -> DataFrame:
+def fact_remboursements(staging: Tables, dims: Tables, credits: DataFrame | None = None) -> DataFrame:
     r = staging["remboursements"]
     joined = split_left_join(
-        r, credit_bridge(staging, dims), F.col("credit_id"), "_credit", ["remboursement_id"],
-        hot_keys(r, F.col("credit_id")),
+        r, credit_bridge(staging, dims, credits), F.col("credit_id"), "_credit", ["remboursement_id"],
+        _skew(r, "credit_id")["credit_id"],
     )
     joined = _day(joined, dims, "date_echeance", "date_echeance_key")
     joined = _day(joined, dims, "date_paiement", "date_paiement_key")
@@ -173,7 +172,9 @@ def fact_remboursements(staging: Tables, dims: Tables) -> DataFrame:
 
 
 def fact_objectifs_agences(staging: Tables, dims: Tables) -> DataFrame:
-    keyed = _branch(_day(staging["objectifs_agences"], dims, "mois", "date_key"), dims)
+    targets = staging["objectifs_agences"]
+    keyed = _day(targets, dims, "mois", "date_key")
+    keyed = _found(keyed, dims, _skew(targets, "agence_id"), "agence_id", "dim_agence", ["agence_id", "mois"])
     return keyed.select(
         "date_key",
         "agence_key",
@@ -191,7 +192,8 @@ def fact_entrees_clients(staging: Tables, dims: Tables) -> DataFrame:
     keyed = resolve_key(
         c, F.col("client_id"), dims["dim_client"], "client_id", "client_key", "client_key"
     )
-    keyed = _branch(_day(keyed, dims, "date_entree", "date_key"), dims)
+    keyed = _day(keyed, dims, "date_entree", "date_key")
+    keyed = _found(keyed, dims, _skew(c, "agence_id"), "agence_id", "dim_agence", ["client_id"])
     return keyed.select(
         "date_key", "client_key", "agence_key", counter().alias("nombre_nouveaux_clients")
     )

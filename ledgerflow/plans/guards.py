@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.grouping import broken_keys
 from ledgerflow.plans.calendar import DEFAULT_FIRST, DEFAULT_LAST, date_bounds
+from ledgerflow.sources.layers import counted
 
 Tables = dict[str, DataFrame]
 
@@ -58,13 +59,27 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _row_gap(left: DataFrame, right: DataFrame, surplus: int = 0) -> DataFrame:
-    """One row: absolute difference of the row counts, ``right`` allowed ``surplus`` more."""
-    counts = left.agg(F.count(F.lit(1)).alias("_gauche")).select(
-        "_gauche", right.agg(F.count(F.lit(1))).scalar().alias("_droite")
-    )
-    return counts.select(
-        F.abs(F.col("_droite") - F.col("_gauche") - surplus).alias("anomalies")
-    )
+    """One row: absolute difference of two row counts (``n``), ``right`` allowed ``surplus`` more."""
+    return left.select(F.abs(right.scalar() - F.col("n") - surplus).alias("anomalies"))
+
+
+# Figure of a published dimension: how many rows hold key 0.
+UNKNOWN_ROWS = "inconnus"
+
+
+def dimension_figures() -> dict[str, dict[str, Column]]:
+    """What is observed while the dimensions are written, for the guards and the verdict."""
+    return {d: {UNKNOWN_ROWS: _unknown_rows(k)} for d, k in DIMENSION_KEYS.items()}
+
+
+def _unknown_rows(key: str) -> Column:
+    return F.count_if(F.col(key) == 0)
+
+
+def known_members(dims: Tables, dim: str) -> DataFrame:
+    """One row (``n``): members of a dimension besides the unknown one."""
+    unknown = counted(dims, dim, UNKNOWN_ROWS, _unknown_rows(DIMENSION_KEYS[dim]))
+    return counted(dims, dim).select((F.col("n") - unknown.scalar()).alias("n"))
 
 
 def unknown_members(dims: Tables) -> DataFrame:
@@ -72,7 +87,9 @@ def unknown_members(dims: Tables) -> DataFrame:
     return _union(
         [
             _named(
-                dims[d].agg(F.when(F.count_if(F.col(k) == 0) > 0, 0).otherwise(1).alias("anomalies")),
+                counted(dims, d, UNKNOWN_ROWS, _unknown_rows(k)).select(
+                    F.when(F.col("n") > 0, 0).otherwise(1).alias("anomalies")
+                ),
                 f"{d}: membre inconnu présent",
             )
             for d, k in DIMENSION_KEYS.items()
@@ -83,14 +100,13 @@ def unknown_members(dims: Tables) -> DataFrame:
 def dimension_guards(staging: Tables, dims: Tables) -> DataFrame:
     """Members = staging rows + 1, calendar days = span of the sources, key 0 present."""
     volumes = [
-        _named(_row_gap(staging[s], dims[d], 1), f"{d}: lignes = staging + 1")
+        _named(_row_gap(counted(staging, s), counted(dims, d), 1), f"{d}: lignes = staging + 1")
         for d, s in DIMENSION_SOURCES.items()
     ]
     first = F.coalesce("date_min", F.lit(DEFAULT_FIRST).cast("date"))
     last = F.coalesce("date_max", F.lit(DEFAULT_LAST).cast("date"))
-    days = dims["dim_date"].where(F.col("date_key") != 0).agg(F.count(F.lit(1)))
     calendar = date_bounds(staging).select(
-        F.abs(F.datediff(last, first) + 1 - days.scalar()).alias("anomalies")
+        F.abs(F.datediff(last, first) + 1 - known_members(dims, "dim_date").scalar()).alias("anomalies")
     )
     return _union(
         [*volumes, _named(calendar, "dim_date: jours = étendue"), unknown_members(dims)]
@@ -118,7 +134,7 @@ def fact_guards(staging: Tables, facts: Tables) -> DataFrame:
     """Each staging row gives exactly one fact row."""
     return _union(
         [
-            _named(_row_gap(staging[s], facts[f]), f"{f}: lignes = staging")
+            _named(_row_gap(counted(staging, s), counted(facts, f)), f"{f}: lignes = staging")
             for f, s in FACT_SOURCES.items()
         ]
     )

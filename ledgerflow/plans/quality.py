@@ -439,6 +439,15 @@ def orphan_list(
     return grouping.listed(found.select(key, column), n, key, column)
 
 
+def orphan_changes(raw: Tables, staging: Tables, table: str, column: str, key: str) -> DataFrame:
+    """Orphan identifiers of a raw table next to what staging made of them (NULL)."""
+    before = orphan_list(raw, staging, "raw", table, column, key).select(
+        reference_key(F.col(key)).alias("_key"), F.col(column).alias(f"{column}_avant")
+    )
+    after = staging[table].select(F.col(key), F.col(column).alias(f"{column}_apres"))
+    return before.join(after, F.col("_key") == F.upper(key)).select(key, f"{column}_avant", f"{column}_apres")
+
+
 # --------------------------------------------------- Q11 negatives become NULL
 # --- fixed values: table -> (business key, amount that cannot be negative)
 NEGATIVES = {

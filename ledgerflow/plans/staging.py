@@ -22,7 +22,8 @@ from ledgerflow.functions.parsing import (
 from ledgerflow.functions.rules import null_if_negative, repayment_status
 from ledgerflow.functions.text import blank_to_null, canonical, repair_accents
 from ledgerflow.operators.dedup import first_by, occurrence_key
-from ledgerflow.operators.lookup import hot_keys, null_orphans
+from ledgerflow.operators.lookup import null_orphans
+from ledgerflow.operators.skew import find_skew
 
 Raw = dict[str, DataFrame]
 
@@ -132,7 +133,7 @@ def stage_credits(raw: Raw) -> DataFrame:
             "client_id": (raw["clients"], "client_id"),
             "agence_id": (raw["agences"], "agence_id"),
         },
-        large={"client_id": hot_keys(typed, F.upper("client_id"))},
+        large=find_skew(typed, {c: F.upper(c) for c in ("client_id", "agence_id")}),
         spread_by=["credit_id", "ligne_source"],
     )
     labelled = _relabel(
@@ -183,7 +184,7 @@ def stage_remboursements(raw: Raw) -> DataFrame:
     known = null_orphans(
         typed,
         {"credit_id": (raw["credits"], "credit_id")},
-        large={"credit_id": hot_keys(typed, F.col("credit_id"))},
+        large=find_skew(typed, {"credit_id": F.col("credit_id")}),
         spread_by=["remboursement_id"],
     )
     status = repayment_status(
@@ -222,7 +223,7 @@ def stage_transactions(raw: Raw) -> DataFrame:
             "produit_id": (raw["produits"], "produit_id"),
             "agence_id": (raw["agences"], "agence_id"),
         },
-        large={"client_id": hot_keys(typed, F.col("client_id"))},
+        large=find_skew(typed, {c: F.col(c) for c in ("client_id", "produit_id", "agence_id")}),
         spread_by=["transaction_id", "ligne_source"],
     )
     return _relabel(

@@ -7,9 +7,10 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.plans import dimensions, facts, guards, staging
-from ledgerflow.sources.layers import create_layers
-from ledgerflow.sources.publish import expose, publish, read_published
+from ledgerflow.plans import controls, dimensions, facts, guards, staging
+from ledgerflow.sources.layers import create_layers, require_columns, require_published
+from ledgerflow.sources.publish import Layer, expose, publish, read_published
+from ledgerflow.sources.schemas import RAW_COLUMNS
 
 Tables = dict[str, DataFrame]
 
@@ -19,17 +20,17 @@ LAYERS = ("raw", "staging", "mart")
 
 @dataclass(frozen=True)
 class Warehouse:
-    raw: Tables
-    staging: Tables
-    mart: Tables
+    raw: Layer
+    staging: Layer
+    mart: Layer
 
     @property
-    def dims(self) -> Tables:
-        return {name: df for name, df in self.mart.items() if name.startswith("dim_")}
+    def dims(self) -> Layer:
+        return self.mart.subset(list(dimensions.JOBS))
 
     @property
-    def facts(self) -> Tables:
-        return {name: df for name, df in self.mart.items() if name.startswith("fact_")}
+    def facts(self) -> Layer:
+        return self.mart.subset(list(facts.JOBS))
 
 
 def load_raw(spark: SparkSession, sources: Tables, root: str) -> Tables:
@@ -37,7 +38,18 @@ def load_raw(spark: SparkSession, sources: Tables, root: str) -> Tables:
     return publish(spark, f"{root}/raw", sources)
 
 
+def publish_rejects(spark: SparkSession, rejects: DataFrame, root: str) -> Layer:
+    """The broken records of a delivery, as a layer of one table."""
+    return publish(spark, f"{root}/rejects", {"rejets": rejects})
+
+
+# --- fixed values: raw tables, which the load creates ---------------------------
+RAW_REQUIRED = tuple((f"raw.{t}", "raw load") for t in RAW_COLUMNS)
+
+
 def build_staging(spark: SparkSession, raw: Tables, root: str) -> Tables:
+    require_published(raw, "raw", RAW_REQUIRED)
+    require_columns(raw, {t: list(c) for t, c in RAW_COLUMNS.items()})
     return publish(
         spark,
         f"{root}/staging",
@@ -54,22 +66,29 @@ def build_mart(spark: SparkSession, stg: Tables, root: str) -> Tables:
     of their main date, which report slicers on the calendar prune by.
     """
 
+    require_published(stg, "staging", controls.REQUIRED)
+
     def facts_on(dims: Tables) -> dict:
         guards.enforce(guards.fact_preconditions(stg, dims))
-        return {name: partial(laid_out, name, dims) for name in facts.JOBS}
+        return {name: partial(laid_out, name, dims) for name in facts.JOBS if name != "fact_remboursements"}
+
+    def repayments_on(mart: Tables) -> dict:
+        """Instalments take their client and branch from the credits as they were written."""
+        return {"fact_remboursements": partial(laid_out, "fact_remboursements", mart, mart["fact_credits"])}
 
-    def laid_out(name: str, dims: Tables) -> DataFrame:
-        return facts.by_month(facts.JOBS[name](stg, dims), facts.MAIN_DATES[name])
+    def laid_out(name: str, *given) -> DataFrame:
+        return facts.by_month(facts.JOBS[name](stg, *given), facts.MAIN_DATES[name])
 
     return publish(
         spark,
         f"{root}/mart",
         {name: partial(job, stg) for name, job in dimensions.JOBS.items()},
+        figures=guards.dimension_figures(),
         partition_by={name: [facts.MONTH] for name in facts.JOBS},
         verify=lambda dims: guards.enforce(guards.dimension_guards(stg, dims)),
-        then=facts_on,
+        then=(facts_on, repayments_on),
         verify_all=lambda mart: guards.enforce(
-            guards.fact_guards(stg, {name: df for name, df in mart.items() if name in facts.JOBS})
+            guards.fact_guards(stg, mart.subset(list(facts.JOBS)))
         ),
     )
 

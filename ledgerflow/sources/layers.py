@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.sources.publish import ROWS, Layer
+
 LAYERS = ("raw", "staging", "mart", "reporting")
 
 
@@ -38,6 +40,45 @@ def require_tables(spark: SparkSession, required: list[tuple[str, str]]) -> None
         raise MissingTables("Missing tables: " + " ; ".join(missing))
 
 
+def require_published(tables: dict[str, DataFrame], layer: str, required: list[tuple[str, str]]) -> None:
+    """Every table of ``layer`` that ``required`` names is there, with files if it was published.
+
+    Called before a job reads anything, so that a missing table is named at
+    once and not found out by a failed scan.
+    """
+    wanted = {name.partition(".")[2]: job for name, job in required if name.partition(".")[0] == layer}
+    there = present_tables(tables)
+    missing = [f"{layer}.{t} (created by {job})" for t, job in wanted.items() if t not in there]
+    if missing:
+        raise MissingTables("Missing tables: " + " ; ".join(missing))
+
+
+def present_tables(tables: dict[str, DataFrame]) -> list[str]:
+    return tables.present() if isinstance(tables, Layer) else list(tables)
+
+
+def require_columns(tables: dict[str, DataFrame], wanted: dict[str, list[str]]) -> None:
+    """Every table holds its columns; the schema, or a published table's manifest, says so."""
+    wrong = {
+        t: sorted(set(columns) - set(tables.info[t].column_names if isinstance(tables, Layer) else tables[t].columns))
+        for t, columns in wanted.items()
+    }
+    if any(wrong.values()):
+        raise MissingTables("Missing columns: " + " ; ".join(f"{t}: {', '.join(c)}" for t, c in wrong.items() if c))
+
+
+def counted(tables: dict[str, DataFrame], name: str, figure: str = ROWS, otherwise: Column | None = None) -> DataFrame:
+    """One row (``n``): a figure of a table, by its manifest if the files are still those it speaks for.
+
+    A table that was not published, or whose files were changed since, is read:
+    ``otherwise`` is the aggregate that gives the figure, its rows by default.
+    """
+    df = tables[name]
+    if isinstance(tables, Layer) and figure in tables.info[name].figures and not tables.changed(name):
+        return df.sparkSession.range(1).select(F.lit(tables.info[name].figures[figure]).cast("bigint").alias("n"))
+    return df.agg((F.count(F.lit(1)) if otherwise is None else otherwise).cast("bigint").alias("n"))
+
+
 def missing_tables_message(present: DataFrame, required: DataFrame) -> DataFrame:
     """The same guard as data: one row, NULL message when nothing is missing.
 
@@ -54,10 +95,7 @@ def missing_tables_message(present: DataFrame, required: DataFrame) -> DataFrame
 def volume_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count per table."""
     parts = [
-        df.agg(F.count(F.lit(1)).alias("nombre_lignes")).select(
-            F.lit(name).alias("nom_table"), "nombre_lignes"
-        )
-        for name, df in tables.items()
+        counted(tables, name).select(F.lit(name).alias("nom_table"), F.col("n").alias("nombre_lignes")) for name in tables
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.operators import bitmaps, grouping, lookup
+from ledgerflow.operators import bitmaps, grouping, lookup, skew
 from ledgerflow.operators.dedup import first_by, occurrence_key
 from ledgerflow.operators.keys import dense_key, ranged
+from ledgerflow.operators.skew import find_skew
 
 
 def dedup(df):
@@ -89,6 +90,44 @@ def test_split_join_equals_plain_join(spark):
     )
 
 
+def test_skew_of_all_lookups_from_one_pass(spark):
+    """Every key of at least the limit is found with its exact rows; tasks hold different shares of it."""
+    rows = spark.range(60_000).repartition(16).selectExpr(
+        "case when id < 20000 then null when id % 5 = 0 then 'hot' else string(id) end as a",
+        "cast(case when id % 60 = 1 then 7 when id % 64 = 2 then 8 else id + 1000000 end as bigint) as b",
+        "id as c",
+    )
+    found = find_skew(rows, {n: F.col(n) for n in "abc"}, min_rows=900, rows_per_split=400)
+    assert [tuple(r) for r in found["a"].values.collect()] == [("hot", 1 + 8000 // 400)] and found["a"].nulls
+    b = {r[0]: r.n for r in rows.where("b < 1000").groupBy("b").agg(F.count("*").alias("n")).collect()}
+    assert {tuple(r) for r in found["b"].values.collect()} == {(k, 1 + n // 400) for k, n in b.items() if n >= 900}
+    assert found["b"].values.schema["_hot"].dataType.simpleString() == "bigint" and not found["b"].nulls
+    assert found["c"].none and find_skew(rows, {"a": F.col("a")})["a"].none
+
+
+def test_summaries_miss_no_key_within_their_bound(spark):
+    """No key of more than 7 n / items rows is missing; estimates stay within half of that; one pass, no key list shuffled."""
+    items, n = 256, 40_000
+    rows = spark.range(n).repartition(8).selectExpr("if(id % 3 = 0, pmod(hash(id), 25), id) as k", "id % 11 as m")
+    exact = {r.k: r["count"] for r in rows.groupBy("k").count().collect()}
+    frame = skew.candidates(rows, {"k": F.col("k"), "m": F.col("m")}, items)
+    found = frame.first()
+    listed = {r["item"]: r["count"] for r in found.k}
+    bound = 7 * n / items
+    assert {k for k, c in exact.items() if c > bound} <= set(listed) and len(listed) <= items
+    assert all(abs(c - exact[k]) <= bound / 2 for k, c in listed.items())
+    assert len(found.m) == 11 and frame._jdf.queryExecution().executedPlan().toString().count("Range (") == 1
+
+
+def test_plain_join_without_skew(spark):
+    left = spark.range(100).selectExpr("id", "if(id % 4 = 0, null, string(id % 7)) as fk")
+    right = spark.createDataFrame([("1", 10), ("2", 20)], "code string, found int")
+    plain = lookup.split_left_join(left, right, F.col("fk"), "code", ["id"], skew.NO_SKEW)
+    nulls = lookup.split_left_join(left, right, F.col("fk"), "code", ["id"], skew.Skew(None, True))
+    assert "_split" not in plain._jdf.queryExecution().optimizedPlan().toString()
+    assert plain.columns == nulls.columns and sorted(map(str, plain.collect())) == sorted(map(str, nulls.collect()))
+
+
 def test_hot_key_is_spread_over_join_groups(spark):
     left = spark.range(8000).selectExpr("id", "'hot' as fk")
     right = spark.createDataFrame([("hot", 1)], "code string, found int")

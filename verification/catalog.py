@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 from ledgerflow.functions import dates, domains, parsing, rules, text
 from ledgerflow.functions import predicates as P
 from ledgerflow.operators import dedup, grouping, lookup
+from ledgerflow.operators.checks import unpivot
 from ledgerflow.plans import calendar, controls, dimensions, facts, guards, quality, staging
 from ledgerflow.plans import measures as M
 from ledgerflow.sources import layers, publish, text_files
+from ledgerflow.sources.delivery import read_extract
 from ledgerflow.sources.schemas import RAW_COLUMNS
 from verification import oracle as O
 from verification.context import Context
@@ -40,59 +43,103 @@ def _select(table: str) -> str:
 
 
 # ============================================================ sources and sinks
-@register("a1_csv_ingest", "select * from raw_transactions")
+def _cells(table: str) -> str:
+    """A row as one text: missing and empty cells are the same in a CSV file."""
+    return "concat_ws('|', " + ", ".join(f"coalesce({c}, '')" for c in RAW_COLUMNS[table]) + ")"
+
+
+_EVERY_ROW = " union all ".join(f"select '{t}' as nom_table, {_cells(t)} as ligne from raw_{t}" for t in RAW_COLUMNS)
+
+
+def _every_row(tables: dict[str, DataFrame]) -> DataFrame:
+    return reduce(
+        DataFrame.union, [df.select(F.lit(t).alias("nom_table"), F.expr(_cells(t)).alias("ligne")) for t, df in tables.items()]
+    )
+
+
+@register("a1_csv_ingest", _EVERY_ROW)
+def _(x: Context) -> DataFrame:
+    """All seven extracts written and read back."""
+    for table, df in x.raw.items():
+        text_files.write_raw_csv(df, f"{x.root}/extracts/{table}")
+    return _every_row({t: text_files.read_raw_csv(x.spark, t, f"{x.root}/extracts/{t}") for t in x.raw})
+
+
+# Records broken by the last character of their identifier: a cell too many, or one too few.
+_DAMAGE = {"surplus": "ascii(right(trim(remboursement_id), 1)) % 7 = 0", "short": "ascii(right(trim(remboursement_id), 1)) % 7 = 1"}
+_CELLS = ", ".join(f"coalesce({c}, '')" for c in RAW_COLUMNS["remboursements"])
+_SHORT = ", ".join(f"coalesce({c}, '')" for c in RAW_COLUMNS["remboursements"][:-1])
+
+
+@register("a1_rejected_records", f"""select cast({len(RAW_COLUMNS['remboursements'])} + 1 as bigint) as cellules, concat_ws(',', {_CELLS}, 'x') as enregistrement
+ from raw_remboursements where {_DAMAGE['surplus']}
+ union all select cast({len(RAW_COLUMNS['remboursements'])} - 1 as bigint), concat_ws(',', {_SHORT})
+ from raw_remboursements where not ({_DAMAGE['surplus']}) and {_DAMAGE['short']}
+ union all select cast(0 as bigint), {_cells('remboursements')} from raw_remboursements
+ where not coalesce({_DAMAGE['surplus']}, false) and not coalesce({_DAMAGE['short']}, false)""")
 def _(x: Context) -> DataFrame:
-    path = f"{x.root}/extracts/transactions"
-    text_files.write_raw_csv(x.raw["transactions"], path)
-    back = text_files.read_raw_csv(x.spark, "transactions", path)
-    # An empty cell and a missing one are the same in a CSV file.
-    return back.select(*[F.coalesce(c, F.lit("")).alias(c) for c in back.columns])
+    """All repayments as a delivery with broken records: what is rejected as received, and (0 cells) what loads."""
+    surplus, short = F.expr(_DAMAGE["surplus"]), F.expr(_DAMAGE["short"])
+    cells, fewer = F.expr(f"concat_ws(',', {_CELLS})"), F.expr(f"concat_ws(',', {_SHORT})")
+    record = F.when(surplus, F.concat(cells, F.lit(",x"))).when(short, fewer).otherwise(cells)
+    path = f"{x.root}/broken/remboursements"
+    lines = x.raw["remboursements"].select(record.alias("value"))
+    lines.write.mode("overwrite").text(path)
+    delivery = read_extract(x.spark, "remboursements", path, header=False)
+    loaded = _every_row(delivery.tables).select(F.lit(0).cast("bigint").alias("cellules"), F.col("ligne").alias("enregistrement"))
+    return delivery.rejects.select("cellules", "enregistrement").unionByName(loaded)
+
+
+def _columns_sql(table: str) -> str:
+    return f"raw_{table} unpivot include nulls (valeur for colonne in (columns(*)))"
 
 
-@register("a2_raw_schemas", "select nom_table, cast(count(*) as bigint) as nombre_colonnes from ("
-          + " union all ".join(f"select '{t}' as nom_table from (values {', '.join(['(1)'] * len(c))}) v"
-                               for t, c in RAW_COLUMNS.items()) + ") t group by nom_table")
+@register("a2_raw_schemas", " union all ".join(
+    f"select '{t}' as nom_table, colonne, count(valeur) as renseignes from {_columns_sql(t)} group by colonne" for t in RAW_COLUMNS))
 def _(x: Context) -> DataFrame:
-    return layers.column_report(x.spark, x.raw)
+    """Every column of every raw table, as the manifest has it, with its given values."""
+    parts = []
+    for table, df in x.raw.items():
+        counts = df.agg(*[F.count(c).alias(c) for c in x.raw.info[table].column_names])
+        parts.append(unpivot(counts).select(F.lit(table).alias("nom_table"), F.col("mesure").alias("colonne"), F.col("valeur").alias("renseignes")))
+    return reduce(DataFrame.union, parts)
 
 
-@register("a3_full_reload", "select 'produits' as nom_table, cast(count(*) as bigint) as nombre_lignes from raw_produits")
+@register("a3_full_reload", _EVERY_ROW)
 def _(x: Context) -> DataFrame:
+    """The whole delivery loaded twice: the second load replaces the first."""
     root = f"{x.root}/reload"
     for _run in range(2):
-        publish.publish(x.spark, root, {"produits": x.raw["produits"]})
-    return layers.volume_report(publish.read_published(x.spark, root))
+        publish.publish(x.spark, root, dict(x.raw))
+    return _every_row(publish.read_published(x.spark, root))
 
 
-@register("a4_atomic_publication", "select 'agences' as nom_table, cast(count(*) as bigint) as nombre_lignes from raw_agences")
+@register("a4_atomic_publication", _EVERY_ROW)
 def _(x: Context) -> DataFrame:
-    """A failed verification leaves the first version current."""
+    """A failed verification leaves the first version of every table current."""
     root = f"{x.root}/atomic"
-    publish.publish(x.spark, root, {"agences": x.raw["agences"]})
+    publish.publish(x.spark, root, dict(x.raw))
 
     def refuse(_written: dict[str, DataFrame]) -> None:
         raise guards.GuardFailed("refused")
 
-    doubled = x.raw["agences"].unionByName(x.raw["agences"])
     try:
-        publish.publish(x.spark, root, {"agences": doubled}, verify=refuse)
+        publish.publish(x.spark, root, {t: df.union(df) for t, df in x.raw.items()}, verify=refuse)
     except guards.GuardFailed:
         pass
-    return layers.volume_report(publish.read_published(x.spark, root))
+    return _every_row(publish.read_published(x.spark, root))
 
 
-@register("a5_a8_layers_and_columns", "select nom_table, cast(count(*) as bigint) as nombre_colonnes from ("
-          + " union all ".join(f"select '{t}' as nom_table from (values {', '.join(['(1)'] * len(RAW_COLUMNS[t]))}) v"
-                               for t in ("agences", "produits")) + ") t group by nom_table")
+@register("a5_a8_layers_and_columns", " union all ".join(
+    f"select '{t}' as nom_table, count(distinct colonne) as nombre_colonnes from {_columns_sql(t)}" for t in RAW_COLUMNS))
 def _(x: Context) -> DataFrame:
-    """Layer databases in the shared folder, two raw tables loaded twice, columns from the catalog."""
+    """Layer databases in the shared folder, all raw tables loaded twice, columns from the catalog."""
     prefix = f"bank_{uuid.uuid4().hex[:8]}_"
-    layers.create_layers(x.spark, prefix, f"{x.root}/catalog")
     for _run in range(2):
         layers.create_layers(x.spark, prefix, f"{x.root}/catalog")
-        for table in ("agences", "produits"):
+        for table in x.raw:
             layers.replace_table(x.raw[table], f"{prefix}raw.{table}")
-    layers.require_tables(x.spark, [(f"{prefix}raw.{t}", "raw load") for t in ("agences", "produits")])
+    layers.require_tables(x.spark, [(f"{prefix}raw.{t}", "raw load") for t in x.raw])
     return layers.catalog_column_report(x.spark, f"{prefix}raw")
 
 
@@ -107,14 +154,51 @@ def _(x: Context) -> DataFrame:
     return layers.volume_report(x.raw)
 
 
-@register("a9_required_tables", """select cast(1 as bigint) as tables_manquantes,
- 'mart.fact_virements — créée par facts' as message""")
+_LAYERED = {
+    **{f"raw.{t}": f"raw_{t}" for t in RAW_COLUMNS},
+    **{f"staging.{t}": f"stg_{t}" for t in RAW_COLUMNS},
+    **{f"mart.{t}": t for t in ("dim_date", "dim_agence", "dim_client", "dim_produit", "fact_transactions", "fact_credits",
+                                "fact_remboursements", "fact_objectifs_agences", "fact_entrees_clients")},
+}
+_WANTED = "select nom_table from (values " + ", ".join(f"('{t}')" for t in (*_LAYERED, "mart.fact_virements")) + ") v(nom_table)"
+_PRESENT = " union all ".join(f"select distinct '{name}' as nom_table from {table}" for name, table in _LAYERED.items())
+
+
+def _present(x: Context) -> DataFrame:
+    """The tables of all layers whose files are there and, by the manifest, hold rows."""
+    named = {"raw": x.raw, "staging": x.staging, "mart": x.mart}
+    rows = [(layer, f"{layer}.{t}") for layer, tables in named.items() for t in tables.present() if tables.info[t].rows]
+    return x.spark.createDataFrame(rows, "couche string, nom_table string")
+
+
+@register("a9_required_tables", f"""select count(*) as tables_manquantes,
+ string_agg(nom_table || ' — créée par ' || case when nom_table like 'mart.dim%' then 'dimensions' when nom_table like 'mart%' then 'facts'
+  else split_part(nom_table, '.', 1) end, ' ; ' order by nom_table) as message
+ from ({_WANTED}) w where nom_table not in ({_PRESENT})""")
 def _(x: Context) -> DataFrame:
-    names = [f"staging.{t}" for t in x.staging] + [f"mart.{t}" for t in x.mart]
-    present = x.spark.createDataFrame([(n,) for n in names], "nom_table string")
-    wanted = [*controls.REQUIRED, ("mart.fact_virements", "facts")]
+    """The tables of the three layers and one that no job creates."""
+    raw = [(f"raw.{t}", "raw") for t in RAW_COLUMNS]
+    wanted = [*raw, *controls.REQUIRED, ("mart.fact_virements", "facts")]
     required = x.spark.createDataFrame(wanted, "nom_table string, createur string")
-    return layers.missing_tables_message(present, required)
+    return layers.missing_tables_message(_present(x), required)
+
+
+@register("g14_listed_tables", f"""select split_part(nom_table, '.', 1) as couche, string_agg(nom_table, ' ; ' order by nom_table) as tables_presentes
+ from ({_PRESENT}) p group by 1""")
+def _(x: Context) -> DataFrame:
+    listed = F.concat_ws(" ; ", F.array_sort(F.collect_list("nom_table")))
+    return _present(x).groupBy("couche").agg(listed.alias("tables_presentes"))
+
+
+@register("a9_volumes_of_all_layers", " union all ".join(
+    f"select '{name}' as nom_table, count(*) as nombre_lignes from {table}" for name, table in _LAYERED.items()))
+def _(x: Context) -> DataFrame:
+    """What the manifests of the three layers say, against the rows themselves."""
+    named = {"raw": x.raw, "staging": x.staging, "mart": x.mart}
+    return reduce(DataFrame.union, [
+        layers.volume_report(tables).select(F.concat(F.lit(f"{layer}."), "nom_table").alias("nom_table"), "nombre_lignes")
+        for layer, tables in named.items()
+    ])
 
 
 @register("a10_sample_preview", "select * from raw_clients order by client_id, ligne_source limit 10")
@@ -516,36 +600,41 @@ def _(x: Context) -> DataFrame:
 
 
 # ======================================================== windows, order and sets
-@register("w1_first_occurrence", f"""select * from ({O._first('''select case when event_id % 3 = 0 then null else event_id // 4 end as id,
- case when event_id % 6 = 0 then null else event_id end as ligne_source, event_type from events''', "cast(id as varchar)")}) t
- where id is not null""")
-def _(x: Context) -> DataFrame:
-    """Identifiers shared by several lines; rows without one are covered by the unit tests."""
-    e = x.spark.read.parquet(f"{x.sf_dir}/events.parquet")
+_LINES = """(select case when event_id % 3 <> 0 then cast(event_id // 4 as varchar) end as id,
+ case when event_id % 6 <> 0 then event_id end as ligne_source, event_type from events)"""
+
+
+def _event_lines(x: Context) -> DataFrame:
+    """All events as source lines: a third without identifier, half of those without line number."""
     k = F.col("event_id")
-    lines = e.select(
-        F.when(k % 3 != 0, F.floor(k / 4)).alias("id"),
+    return x.spark.read.parquet(f"{x.sf_dir}/events.parquet").select(
+        F.when(k % 3 != 0, F.floor(k / 4).cast("string")).alias("id"),
         F.when(k % 6 != 0, k).alias("ligne_source"),
         "event_type",
     )
-    key = dedup.occurrence_key(F.col("id").cast("string"), F.col("ligne_source"))
-    kept = dedup.first_by(lines, key, [F.col("ligne_source"), F.col("event_type")])
-    return kept.where(F.col("id").isNotNull())
 
 
-@register("w1_lines_without_identifier", """select cast(count(*) as bigint) as lignes, cast(count(ligne_source) as bigint) as avec_ligne
- from (select distinct ligne_source from (select case when event_id % 6 = 0 then null else event_id end as ligne_source
- from events where event_id % 3 = 0) t) u""")
+@register("w1_first_occurrence", f"""select id, ligne_source, event_type from (select *, row_number() over (
+ partition by id, case when id is null then coalesce(ligne_source, -1) end
+ order by ligne_source nulls first, event_type nulls first) as rang from {_LINES} l) t where rang = 1""")
 def _(x: Context) -> DataFrame:
-    """Without identifier every line is its own group; lines without a number share one."""
-    e = x.spark.read.parquet(f"{x.sf_dir}/events.parquet")
-    k = F.col("event_id")
-    lines = e.where(k % 3 == 0).select(
-        F.lit(None).cast("string").alias("id"), F.when(k % 6 != 0, k).alias("ligne_source")
-    )
+    """Identifiers shared by several lines; without identifier every numbered line stays, and one of those without number."""
+    lines = _event_lines(x)
     key = dedup.occurrence_key(F.col("id"), F.col("ligne_source"))
-    kept = dedup.first_by(lines, key, [F.col("ligne_source")])
-    return kept.agg(F.count(F.lit(1)).alias("lignes"), F.count("ligne_source").alias("avec_ligne"))
+    return dedup.first_by(lines, key, [F.col("ligne_source"), F.col("event_type")])
+
+
+@register("w1_lines_without_identifier", f"""select id is null as sans_identifiant, count(*) as lignes, count(distinct ligne_source) as numeros,
+ count(distinct coalesce(id, 'SANS_ID_' || coalesce(cast(ligne_source as varchar), ''))) as groupes from {_LINES} l group by 1""")
+def _(x: Context) -> DataFrame:
+    """How many groups the lines fall into, with and without identifier."""
+    key = dedup.occurrence_key(F.col("id"), F.col("ligne_source")).alias("cle")
+    per_group = _event_lines(x).groupBy(F.col("id").isNull().alias("sans_identifiant"), key).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("ligne_source").alias("numeros")
+    )
+    return per_group.groupBy("sans_identifiant").agg(
+        F.sum("n").alias("lignes"), F.sum("numeros").alias("numeros"), F.count(F.lit(1)).alias("groupes")
+    )
 
 
 @register("w2_first_raw_line", f"""select k as client_id, ligne_source, email from (select upper({O.b2n('client_id')}) as k, ligne_source, email,

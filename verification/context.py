@@ -8,7 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.plans import warehouse
+from ledgerflow.plans import dimensions, facts, warehouse
 from ledgerflow.session import shared_folder
 from verification.testbed import raw_layer
 
@@ -48,11 +48,11 @@ class Context:
 
     @property
     def dims(self) -> Tables:
-        return {name: df for name, df in self.mart.items() if name.startswith("dim_")}
+        return self.mart.subset(list(dimensions.JOBS))
 
     @property
     def facts(self) -> Tables:
-        return {name: df for name, df in self.mart.items() if name.startswith("fact_")}
+        return self.mart.subset(list(facts.JOBS))
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:
