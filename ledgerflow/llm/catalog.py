@@ -75,7 +75,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sites are the sources of the documents."""
+    """Sites are the sources of the documents; documents of one text are one page of their site."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return lines.without_boilerplate(docs, F.col("source"), counts=True).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256")
@@ -84,11 +84,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op7_line_dedup"] = f"""
 with docs as (select row_number() over () r, doc_id, coalesce(source, '') host, text from documents),
+pages as (select distinct host, text from docs),
 lines as (
   select r, host, unnest(string_split(coalesce(text, ''), chr(10))) line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) p from docs),
-counts as (select host, trim(line, ' ') line, count(distinct r) n from lines where trim(line, ' ') <> '' group by all),
-totals as (select host, count(*) total from docs group by host),
+held as (select distinct host, text, trim(unnest(string_split(text, chr(10))), ' ') line from pages),
+counts as (select host, line, count(*) n from held where line <> '' group by all),
+totals as (select host, count(*) total from pages group by host),
 bad as (select host, line from counts join totals using (host)
         where n >= {lines.MIN_PAGES} and n / total > {lines.MAX_RATIO}),
 judged as (select l.r, l.p, l.line, b.line is null as good
