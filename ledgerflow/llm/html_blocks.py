@@ -43,14 +43,21 @@ _ASIDE_WORDS = frozenset(
 _MAIN_WORDS = frozenset(("article", "body", "content", "entry", "main", "maincontent", "post", "story", "text"))
 _TITLE_WORDS = frozenset(("header", "byline", "notice"))  # inside an article these may be part of it: only headings stay
 
+# A name that begins or ends so tells a state of the page, not what the element is: has-sidebar, menu-open.
+_STATE_FIRST = frozenset(("has", "is", "no", "with", "without"))
+_STATE_LAST = frozenset(("active", "closed", "collapsed", "disabled", "enabled", "open", "opened", "visible"))
+
 # Unseen elements whose content is no markup: without an end tag they run to the end of the page.
 _RAW = {name: re.compile(rf"</{name}\s*>", re.IGNORECASE) for name in ("script", "style", "textarea", "title")}
 # Elements, and what stands in them, that a slash before the bracket ends.
 _FOREIGN = ("svg", "math")
 
 _NO_TAG = r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-_ATTRIBUTES = r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
-_TOKEN = re.compile(_NO_TAG + r"|<(/?)([a-zA-Z][^\s/>]*)" + _ATTRIBUTES, re.DOTALL)
+# A name, and behind an equals sign a value: in quotes, or up to a space or the bracket, whatever quotes stand in it.
+# A quote that never ends, or stands where a name begins, is a character like others.
+_ATTRIBUTE = r"""[\s/]+|[^\s/>][^\s/>=]*(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?)?"""
+_ATTRIBUTES = rf"((?:{_ATTRIBUTE})*+)(?:>|\Z)"
+_TOKEN = re.compile(_NO_TAG + r"|<(/?)([a-zA-Z][^\s/>]*+)" + _ATTRIBUTES, re.DOTALL)
 _UNSEEN_TAG = re.compile(
     _NO_TAG + r"|<(/?)(" + "|".join(_UNSEEN) + r")(?=[\s/>])" + _ATTRIBUTES, re.DOTALL | re.IGNORECASE
 )
@@ -83,7 +90,9 @@ def _words_of(attributes: str) -> set[str]:
     found = set()
     for names in _NAMES.findall(attributes):
         for name in "".join(names).split():
-            found.update(_WORD_SPLIT.split(_CAMEL.sub(" ", name).lower()))
+            parts = _WORD_SPLIT.split(_CAMEL.sub(" ", name).lower())
+            if len(parts) == 1 or not (parts[0] in _STATE_FIRST or parts[-1] in _STATE_LAST):
+                found.update(parts)
     return found
 
 

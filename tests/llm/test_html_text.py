@@ -40,6 +40,10 @@ def test_held_out_blocks(spark):
         (f"<div class='cookie-notice'>{PARA}</div><header><h1>Site</h1></header><article><header><h1>Title</h1></header><p>a<i>b</i>c &lt;d&gt; &nbsp; e</p></article>", "Title\nabc <d> e"),
         (f"<article><p hidden>{PARA}</p><p>One</p><script>if (a < b) {{ x('</p>') }}</script><style>p{{}}</style><!-- no <p>not this</p> --><p>Two</p></article>", "One\nTwo"),
         (f"<p>{PARA}</p><p>{PARA}</p>", f"{PARA}\n{PARA}"),
+        (f"<article><p title=Don't>One it's here</p><p>{PARA}</p></article>", f"One it's here\n{PARA}"),
+        (f"<article><p class=\"a\"\">{PARA}</p><p data-x=a\"b title='x>y'>Two</p></article>", f"{PARA}\nTwo"),
+        (f"<article><p title=\"never closed>{PARA}</p><p>Two</p></article>", f"{PARA}\nTwo"),
+        (f"<body class='has-sidebar no-comments'><div class='main-menu-open content'><p>{PARA}</p></div></body>", PARA),
         ("", ""),
         ("   <nav>menu</nav>", ""),
         ("<article>" + "<p>x y z</p>" * 3000 + "</article>", "\n".join(["x y z"] * 3000)),
