@@ -15,7 +15,7 @@ from ledgerflow.llm.common import apart, map_arrow, record, schema, shards, toge
 
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
-# The classifier is fitted on about so many labelled rows, drawn by a hash of the row.
+# The classifier is fitted on about so many labelled texts, an equal share for each language, drawn by a hash of the text.
 TRAINING_ROWS = 30_000
 # A matrix of this many languages still fits every executor.
 MAX_LANGUAGES = 256
@@ -87,22 +87,31 @@ class Model:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRAINING_ROWS) -> Model:
-    """The model of the rows that have a text and a language.
-
-    Of more than ``rows`` such rows about that many are drawn, by a hash of
-    text and language. Gram counts are summed by Spark; the driver gets at most
-    ``BUCKETS`` counts for each of at most ``MAX_LANGUAGES`` languages.
+    """The model of the distinct texts that have a language.
+
+    A language with more than its share of ``rows`` (``rows`` / languages) is
+    fitted on about that many of its texts, a rarer one on all of them; copies
+    of a text are one, so that none is drawn many times over. Every language's
+    counts weigh the same: a gram that none has seen says nothing, however few
+    texts a language has. A language without any letter is left out. Gram counts
+    are summed by Spark; the driver gets at most ``BUCKETS`` counts for each of
+    at most ``MAX_LANGUAGES`` languages; more are an error, as one matrix is
+    broadcast.
     """
     labelled = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
-        F.col(text).alias("text"), F.col(lang).alias("lang")
+        F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(text), F.col(lang)).alias("drawn")
     )
-    sizes = labelled.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
+    # Narrow rows, and copies are combined before they move.
+    sizes = labelled.select("lang", "drawn").distinct().groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    languages = [r["lang"] for r in sizes]
-    total = sum(r["count"] for r in sizes)
-    if total > rows:
-        labelled = labelled.where(F.pmod(F.xxhash64("text", "lang"), F.lit(1_000_000)) < F.lit(int(1e6 * rows / total) + 1))
+    share = rows / max(len(sizes), 1)
+    steps = 1 << 40
+    limits = {r["lang"]: int(steps * share / r["count"]) for r in sizes if r["count"] > share}
+    if limits:
+        limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+        labelled = labelled.where(F.pmod("drawn", F.lit(steps)) < F.coalesce(F.try_element_at(limit, F.col("lang")), F.lit(steps)))
+    labelled = labelled.dropDuplicates(["lang", "drawn"]).select("text", "lang")
     out = schema(("lang", "string"), ("bucket", "int"), ("n", "long"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,12 +128,16 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = TRA
             yield record(out, {"lang": [name] * len(some), "bucket": some, "n": own[some]})
 
     summed = map_arrow(labelled, count, out).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    counted = summed["lang"].to_pylist()
+    languages = sorted(set(counted))
     counts = np.zeros((BUCKETS, len(languages)))
     number = {name: i for i, name in enumerate(languages)}
-    columns = [number[name] for name in summed["lang"].to_pylist()]
-    counts[summed["bucket"].to_numpy(), columns] = summed["n"].to_numpy()
-    matrix = np.log((counts + SMOOTHING) / (counts.sum(axis=0) + SMOOTHING * BUCKETS))
-    priors = np.log(np.array([r["count"] for r in sizes], float) / max(total, 1))
+    counts[summed["bucket"].to_numpy(), [number[name] for name in counted]] = summed["n"].to_numpy()
+    totals = counts.sum(axis=0)
+    mass = totals.max(initial=0)
+    matrix = np.log((counts * (mass / totals) + SMOOTHING) / (mass + SMOOTHING * BUCKETS))
+    texts = {r["lang"]: r["count"] for r in sizes}
+    priors = np.log(np.array([texts[name] for name in languages], float) / max(sum(texts.values()), 1))
     return Model(languages, matrix.astype(np.float32), priors)
 
 
