@@ -261,9 +261,22 @@ def _orphans(layer: str, table: str, column: str, ref: str, ref_column: str) ->
     )
 
 
+# Every reference: layer, table, column, reference, its key, and the table's own identifier.
+_ORPHANS = [
+    ("staging", "clients", "agence_id", "agences", "agence_id", "client_id"),
+    ("raw", "credits", "agence_id", "agences", "agence_id", "credit_id"),
+    ("staging", "objectifs_agences", "agence_id", "agences", "agence_id", "mois"),
+    ("raw", "remboursements", "credit_id", "credits", "credit_id", "remboursement_id"),
+    ("raw", "transactions", "client_id", "clients", "client_id", "transaction_id"),
+    ("raw", "transactions", "produit_id", "produits", "produit_id", "transaction_id"),
+    ("raw", "transactions", "agence_id", "agences", "agence_id", "transaction_id"),
+]
+_FIRST_ORPHANS = ("raw", "credits", "client_id", "clients", "client_id", "credit_id")
+
+
 @register("q10_orphan_references", " union all ".join(
     _line(f"{layer}.{t}", "Q10", f"{c}_orphelins", "count(*)", 0, _orphans(layer, t, c, ref, rc))
-    for layer, t, c, ref, rc in quality.REFERENCES) + " union all " + counted_sql(("Q10",)))
+    for layer, t, c, ref, rc, _ in [_FIRST_ORPHANS, *_ORPHANS]) + " union all " + counted_sql(("Q10",)))
 def _(x: Context) -> DataFrame:
     return quality.orphan_report(x.raw, x.staging).unionByName(
         quality.counted(x.raw, x.staging, AS_OF, ("Q10",))
@@ -275,21 +288,11 @@ def _(x: Context) -> DataFrame:
     return quality.orphan_list(x.raw, x.staging, "raw", "credits", "client_id", "credit_id")
 
 
-# Every reference: layer, table, column, reference, its key, and the table's own identifier.
-_ORPHANS = [
-    ("staging", "clients", "agence_id", "agences", "agence_id", "client_id"),
-    ("raw", "credits", "agence_id", "agences", "agence_id", "credit_id"),
-    ("staging", "objectifs_agences", "agence_id", "agences", "agence_id", "mois"),
-    ("raw", "remboursements", "credit_id", "credits", "credit_id", "remboursement_id"),
-    ("raw", "transactions", "client_id", "clients", "client_id", "transaction_id"),
-    ("raw", "transactions", "produit_id", "produits", "produit_id", "transaction_id"),
-    ("raw", "transactions", "agence_id", "agences", "agence_id", "transaction_id"),
-]
 for _l, _t, _c, _r, _rc, _k in _ORPHANS:
     register(f"q10_orphan_list_{_t}_{_c}", f"select {_k}, {_c} from {_orphans(_l, _t, _c, _r, _rc)}")(
         lambda x, layer=_l, t=_t, c=_c, k=_k: quality.orphan_list(x.raw, x.staging, layer, t, c, k)
     )
-for _l, _t, _c, _r, _rc, _k in [*_ORPHANS, ("raw", "credits", "client_id", "clients", "client_id", "credit_id")]:
+for _l, _t, _c, _r, _rc, _k in [*_ORPHANS, _FIRST_ORPHANS]:
     if _l == "raw":
         register(f"q10_orphan_changes_{_t}_{_c}", f"""select s.{_k}, o.{_c} as {_c}_avant, s.{_c} as {_c}_apres
  from {_orphans(_l, _t, _c, _r, _rc)} join stg_{_t} s on upper({b2n(f'o.{_k}')}) = upper(s.{_k})""")(
@@ -327,8 +330,19 @@ for _t in ("clients", "credits"):
     register(f"q11_negative_rows_{_t}", f"select * from {_neg(_t)}")(lambda x, t=_t: quality.negatives(x.raw, x.staging, t))
 
 
+# Compared texts: key, columns, first source line only, accents repaired first, missing values ignored.
+_CHANGED = {
+    "agences": ("agence_id", ["nom_agence", "ville", "departement", "region", "categorie_agence"], False, False, False),
+    "clients": ("client_id", ["prenom", "profession", "segment", "ville", "email"], True, False, False),
+    "credits": ("credit_id", ["type_credit", "statut_credit"], False, True, False),
+    "produits": ("produit_id", ["nom_produit", "famille_produit", "univers"], False, True, False),
+    "remboursements": ("remboursement_id", ["statut_remboursement"], False, True, True),
+    "transactions": ("transaction_id", ["type_transaction", "sens", "canal", "statut", "devise"], True, True, True),
+}
+
+
 def _pairs(table: str) -> str:
-    key, columns, first_line, _, _ = quality.CHANGES[table]
+    key, columns, first_line, _, _ = _CHANGED[table]
     rkey = f"upper({b2n(key)})"
     source = f"(select *, {rkey} as k from raw_{table})"
     if first_line:
@@ -339,7 +353,7 @@ def _pairs(table: str) -> str:
 
 
 def _change(table: str, column: str) -> str:
-    _, _, _, cleaned, exact = quality.CHANGES[table]
+    _, _, _, cleaned, exact = _CHANGED[table]
     before = O.clean(f"{column}_avant") if cleaned else b2n(f"{column}_avant")
     before = f"upper({before})" if column == "devise" else before
     if exact:
@@ -348,12 +362,12 @@ def _change(table: str, column: str) -> str:
 
 
 def _any_change(table: str) -> str:
-    return " or ".join(f"coalesce({_change(table, c)}, false)" for c in quality.CHANGES[table][1])
+    return " or ".join(f"coalesce({_change(table, c)}, false)" for c in _CHANGED[table][1])
 
 
 @register("q12_texts_changed", counted_sql(("Q12",)) + " union all " + " union all ".join(
     _line(f"raw-staging.{t}", "Q12", name, f"count(*) filter (where {cond})", None, _pairs(t))
-    for t, spec in quality.CHANGES.items()
+    for t, spec in _CHANGED.items()
     for name, cond in [("lignes_modifiees", _any_change(t)), *[(f"{c}_modifies", _change(t, c)) for c in spec[1]]]))
 def _(x: Context) -> DataFrame:
     return quality.counted(x.raw, x.staging, AS_OF, ("Q12",)).unionByName(
@@ -361,7 +375,7 @@ def _(x: Context) -> DataFrame:
     )
 
 
-for _t in quality.CHANGES:
+for _t in _CHANGED:
     register(f"q12_changed_rows_{_t}", f"select * from {_pairs(_t)} where {_any_change(_t)}")(
         lambda x, t=_t: quality.changes(x.raw, x.staging, t)
     )
