@@ -16,6 +16,8 @@ MIN_LENGTH = 7
 MIN_COUNT = 2
 # A form is so many times as frequent as its variant.
 FORM_FACTOR = 10
+# Words whose rotations one task makes.
+WORDS_PER_TASK = 20_000
 # Ends every word inside its rotations; no letter.
 END = "$"
 
@@ -128,7 +130,9 @@ def variants(words: DataFrame, factor: int = FORM_FACTOR) -> DataFrame:
     """
     words = written(words.where("word is not null").select("word", "n"), "vocabulary")
     formed = F.col("near_n") >= factor * F.col("n")
-    found = words.join(near_words(words), "word", "left").select(
+    # Dealt out anew: a task makes some twenty rotations of each of its words.
+    spread = words.repartition(1 + words.count() // WORDS_PER_TASK)
+    found = words.join(near_words(spread), "word", "left").select(
         "word",
         F.when(formed, F.col("near")).alias("form"),
         "n",
