@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +25,8 @@ _LOWER[65:91] += 32
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[48:58] = _IS_WORD[97:123] = _IS_WORD[128:] = True
 
+# Bytes of a word up to which its hash is a sum over its bytes.
+LONG_WORD = 64
 _BASE = 0x9E3779B97F4A7C15
 _powers: list[np.ndarray] = [np.ones(0, np.uint64)] * 2
 
@@ -56,6 +59,9 @@ class Words:
         sums = np.zeros(len(low) + 1, np.uint64)
         np.cumsum((low.astype(np.uint64) + np.uint64(1)) * power[: len(low)], out=sums[1:])
         self.hashes = (sums[self.ends] - sums[self.starts]) * inverse[self.starts]
+        # Sums modulo 2**64 have well-known long words of one value: those are hashed by themselves.
+        for i in np.flatnonzero(self.ends - self.starts > LONG_WORD).tolist():
+            self.hashes[i] = xxhash.xxh64_intdigest(low[self.starts[i] : self.ends[i]].tobytes())
 
     def __len__(self) -> int:
         return len(self.starts)

@@ -69,3 +69,13 @@ def test_longest_matches(spark, make):
     docs = make([(4, "so one two three"), (3, "two three four, one"), (9, "one two")])
     rows = {(r["item"], r["item_word"]): (r["words"], r["doc_id"], r["word"]) for r in longest_matches(docs, bench).collect()}
     assert rows == {("1", 0): (3, 4, 1), ("1", 1): (3, 3, 0), ("1", 2): (2, 3, 1), ("1", 3): (1, 3, 2)}
+
+
+def test_long_words_of_one_polynomial_value(make, spark):
+    """Words that agree in any polynomial hash modulo 2**64 are told apart."""
+    flips = [bin(i).count("1") % 2 for i in range(1024)]
+    one, other = "".join("ab"[f] for f in flips), "".join("ba"[f] for f in flips)
+    rest = " ".join(f"w{i}" for i in range(9))
+    items = spark.createDataFrame([("i1", f"{one} {rest}"), ("i2", f"{other} {rest}")], "item_id string, text string")
+    found = contamination(make([(1, f"x {one} {rest} y"), (2, f"x {other.upper()} {rest}"), (3, rest)]), items)
+    assert {r["doc_id"]: sorted(r["items"]) for r in found.collect()} == {1: ["i1"], 2: ["i2"], 3: []}
