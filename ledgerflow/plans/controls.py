@@ -8,9 +8,11 @@ once per control.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -424,7 +426,10 @@ def broken_relationships(dims: Tables, facts: Tables) -> DataFrame:
 
     One scan of each fact, tested against one bitmap of each dimension's keys.
     """
-    sets = {k: key_set(dims[d], k) for d, k in DIMENSION_KEYS.items()}
+    spark = next(iter(dims.values())).sparkSession
+    with ThreadPoolExecutor(len(DIMENSION_KEYS)) as pool:
+        made = pool.map(inheritable_thread_target(spark)(lambda d: key_set(dims[d], DIMENSION_KEYS[d])), DIMENSION_KEYS)
+        sets = dict(zip(DIMENSION_KEYS.values(), made, strict=True))
     frames = []
     for fact in FACTS:
         fks = [(fk, dims[d], DIMENSION_KEYS[d]) for f, fk, d in RELATIONSHIPS if f == fact]

@@ -8,7 +8,7 @@ in any lookup of a table, are found in one pass and spread.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.rules import (
@@ -20,6 +20,7 @@ from ledgerflow.functions.rules import (
     side_amount,
     unpaid_amount,
 )
+from ledgerflow.functions.text import reference_key
 from ledgerflow.operators.lookup import resolve_key, split_left_join
 from ledgerflow.operators.skew import Skew, find_skew
 
@@ -187,15 +188,27 @@ def fact_objectifs_agences(staging: Tables, dims: Tables) -> DataFrame:
 
 
 def fact_entrees_clients(staging: Tables, dims: Tables) -> DataFrame:
-    """One row per client; client identifiers are unique here, so no key is hot."""
-    c = staging["clients"].select("client_id", "date_entree", "agence_id")
-    keyed = resolve_key(
-        c, F.col("client_id"), dims["dim_client"], "client_id", "client_key", "client_key"
+    """One row per client, from the dimension itself: it has a member for each staging row and knows its key.
+
+    Identifiers that only differ in spelling answer with the least key of them,
+    as in every lookup; a client without identifier is unknown.
+    """
+    members = dims["dim_client"].where("client_key <> 0")
+    own = reference_key(F.col("client_id"))
+    # Members without identifier are groups of their own, so that many of them are no group.
+    alike = Window.partitionBy(F.coalesce(own, F.concat(F.lit("\0"), F.col("client_key"))))
+    c = members.select(
+        "date_entree",
+        F.col("agence_rattachement_id").alias("agence_id"),
+        "client_key",
+        F.when(own.isNotNull(), F.min("client_key").over(alike)).alias("_least"),
     )
-    keyed = _day(keyed, dims, "date_entree", "date_key")
-    keyed = _found(keyed, dims, _skew(c, "agence_id"), "agence_id", "dim_agence", ["client_id"])
+    keyed = _day(c, dims, "date_entree", "date_key")
+    keyed = _found(keyed, dims, _skew(members.select(F.col("agence_rattachement_id").alias("agence_id")), "agence_id"),
+                   "agence_id", "dim_agence", ["client_key"])
     return keyed.select(
-        "date_key", "client_key", "agence_key", counter().alias("nombre_nouveaux_clients")
+        "date_key", key_or_unknown(F.col("_least")).alias("client_key"), "agence_key",
+        counter().alias("nombre_nouveaux_clients"),
     )
 
 
