@@ -9,10 +9,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ledgerflow.llm.common import map_arrow, record, schema, shards
+from ledgerflow.llm.common import map_arrow, record, schema, shards, text_bytes
 
 WINDOW = 4096
 END_ID = 2
@@ -25,8 +26,10 @@ OPEN_WINDOWS = 2048
 # Sequence ids: the task's number above these bits, the window's number below.
 SEQUENCE_BITS = 33
 
-# A word of Latin letters, which the vocabulary takes as one piece whatever its case, and a mark behind it.
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+# A word of Latin letters, which the vocabulary takes as one piece whatever its case, and the marks behind it,
+# which are a piece of their own.
+_SIMPLE = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-/:-@\[-`{-~]*)$"
+_LETTERS = re.compile("[a-zà-öø-ÿ]+")
 _END_OF_WORD = "</w>"
 
 
@@ -34,7 +37,8 @@ class Encoder:
     """Token ids of a text as little-endian 32-bit bytes, word by word.
 
     The vocabulary drops white space and never joins across it, hence a text's
-    ids are those of its words in order, and a word is encoded once.
+    ids are those of its words in order. The distinct words of a call are cut
+    into letters and the marks behind them, and each of these is encoded once.
     """
 
     def __init__(self, path: str):
@@ -57,46 +61,46 @@ class Encoder:
         self.old: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
-        known = self._known(set().union(*split))
-        return [b"".join([known[w] for w in words]) for words in split]
-
-    def _known(self, distinct: set[str]) -> dict[str, bytes]:
-        """The ids of these words."""
-        known, missing = {}, []
-        for word in distinct:
-            ids = self.young.get(word)
-            if ids is None:
-                missing.append(word)
-            else:
-                known[word] = ids
+        words = pc.split_pattern(pa.array([_lowered(t).replace("\n", " ") for t in texts], pa.string()), " ")
+        coded = words.flatten().dictionary_encode()
+        data, offsets = text_bytes(self._ids(coded.dictionary).take(coded.indices))
+        edges = offsets[words.offsets.to_numpy()].tolist()
+        return [data[a:b].tobytes() for a, b in zip(edges, edges[1:])]
+
+    def _ids(self, words: pa.Array) -> pa.Array:
+        """The ids of these words: of letters and marks the ones after the others, of any other word as it is."""
+        parts = pc.extract_regex(words, _SIMPLE)
+        letters, marks = pc.struct_field(parts, "letters"), pc.struct_field(parts, "marks")
+        ids = []
+        for part in (pc.coalesce(pc.utf8_lower(letters), words), pc.fill_null(marks, "")):
+            coded = part.dictionary_encode()
+            ids.append(self._known(coded.dictionary).take(coded.indices))
+        return pc.binary_join_element_wise(*ids, pa.scalar(b"", pa.large_binary()))
+
+    def _known(self, distinct: pa.Array) -> pa.Array:
+        """The ids of these words and parts of words, remembered or new."""
+        words = distinct.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.young.get, words))
+        missing = {words[at]: at for at, found in enumerate(ids) if found is None}
         if missing:
-            known.update(self._learned(missing))
-        return known
+            if len(self.young) + len(missing) > CACHED_WORDS:
+                self.old, self.young = self.young, {}
+            found = self._learned(list(missing))
+            for word, at in missing.items():
+                ids[at] = found[word]
+            self.young.update(found)
+        return pa.array(ids, pa.large_binary())
 
     def _learned(self, words: list[str]) -> dict[str, bytes]:
-        if len(self.young) + len(words) > CACHED_WORDS:
-            self.old, self.young = self.young, {}
         found = {w: ids for w in words if (ids := self.old.get(w)) is not None}
-        simple, other = {}, []
+        letters, other = [], []
         for word in words:
             if word not in found:
-                if match := _SIMPLE.fullmatch(word):
-                    simple[word] = match[1].lower(), match[2]
-                else:
-                    other.append(word)
-        cores = {core: ids for core, _ in simple.values() if (ids := self.young.get(core) or self.old.get(core))}
-        self._encode_pieces([c for c in dict.fromkeys(core for core, _ in simple.values()) if c not in cores], cores)
-        marks = {m: self._ids(m) for m in ("", ".", ",")}
-        found.update((word, cores[core] + marks[mark]) for word, (core, mark) in simple.items())
+                (letters if _LETTERS.fullmatch(word) else other).append(word)
+        self._encode_pieces(letters, found)
         self._encode_others(other, found)
-        self.young.update(cores)
-        self.young.update(found)
         return found
 
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
     @staticmethod
     def _groups(words: list[str]) -> tuple[list[list[str]], list[str]]:
         groups = [words[at : at + WORDS_A_CALL] for at in range(0, len(words), WORDS_A_CALL)]

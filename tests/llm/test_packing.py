@@ -78,3 +78,25 @@ def test_level_choice_is_the_least_sum_of_squares():
         assert chosen in able and cost(chosen) == best
         window, _ = levels.place(size, number)
         number += window == number
+
+
+def test_letters_are_encoded_once_whatever_case_and_marks(monkeypatch):
+    text = "Mot, mot*** MOT!!% mot' mot's l'Été été<| ß×÷ a.b x*** *** mot,\tmot"
+    encoder, asked = Encoder(tokenizer_path()), []
+    for name in ("_encode_pieces", "_encode_others"):
+        encode = getattr(encoder, name)
+        monkeypatch.setattr(encoder, name, lambda words, into, encode=encode: (asked.extend(words), encode(words, into)))
+    (found,) = encoder([text])
+    assert np.frombuffer(found, "<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    whole = ["mot's", "l'Été", "ß×÷", "a.b", "mot,\tmot"]
+    assert sorted(asked) == sorted(["mot", "été", "x", "", ",", "***", "!!%", "'", "<|", *whole])
+    assert encoder([text, "MOT***"]) == [found, encoder(["mot"])[0] + encoder(["***"])[0]]
+    assert len(asked) == len(set(asked))
+
+
+def test_a_full_memory_of_words_changes_no_ids(monkeypatch):
+    texts = [f"eins zwei{'abcdefgh'[i % 8]} drei{'xyz' * (i % 5)}, vier**" for i in range(40)]
+    wanted = Encoder(tokenizer_path())(texts)
+    monkeypatch.setattr("ledgerflow.llm.packing.CACHED_WORDS", 5)
+    small = Encoder(tokenizer_path())
+    assert [small([t])[0] for t in texts] == wanted and len(small.young) <= 5
