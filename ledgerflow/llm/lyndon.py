@@ -29,60 +29,76 @@ class Strings:
             words = (words << np.uint64(8)) | matrix[:, k : k + self.width + 9]
         self.words = words
 
-    def word(self, row: np.ndarray, place: np.ndarray) -> np.ndarray:
-        return self.words[row, np.minimum(place, self.width + 8)]
+    def places(self, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The index of each place among the words of all strings, one string after another."""
+        return row * self.words.shape[1] + place
+
+    def word(self, places: np.ndarray) -> np.ndarray:
+        """The 8 bytes from these places on; behind a string's last word they are any."""
+        return self.words.ravel().take(places, mode="clip")
 
 
 def next_smaller(strings: Strings) -> np.ndarray:
     """For each place the next one where a smaller suffix begins; a string's end is smaller than all."""
     rows, width = len(strings.lengths), strings.width
-    following = np.zeros((rows, width + 1), np.int32)
-    following[:] = strings.lengths[:, None]
+    # Longest strings first, place by place: those that reach to a place are neighbours.
+    order = np.argsort(-strings.lengths, kind="stable")
+    lengths = strings.lengths[order]
+    reach = np.searchsorted(-lengths, -np.arange(width), "left")
+    words = np.ascontiguousarray(strings.words[order].T)
+    following = np.empty((width + 1, rows), np.int32)
+    following[:] = lengths
+    all_words, all_following = words.ravel(), following.ravel()
     for place in range(width - 1, -1, -1):
-        active = np.flatnonzero(strings.lengths > place)
-        at = np.full(len(active), place + 1, np.int32)
+        active, at = np.arange(reach[place]), np.full(reach[place], place + 1)
+        a, b = words[place, : len(active)], words[place + 1, : len(active)]
         while len(active):
-            inner = at < strings.lengths[active]
-            smaller = np.zeros(len(active), bool)  # whether the suffix at ``place`` precedes the one at ``at``
-            open_ = np.flatnonzero(inner)
-            step = 0
+            # Whether the suffix at ``place`` precedes the one at ``at``; at a string's end stands 0, below all.
+            smaller = a < b
+            open_ = np.flatnonzero(a == b)
+            step = 8
             while len(open_):
                 row = active[open_]
-                a = strings.word(row, np.full(len(row), place + step))
-                b = strings.word(row, at[open_] + step)
-                smaller[open_[a < b]] = True
-                open_ = open_[a == b]
+                a_more = all_words.take((place + step) * rows + row)
+                b_more = all_words.take((at[open_] + step) * rows + row)
+                smaller[open_[a_more < b_more]] = True
+                open_ = open_[a_more == b_more]
                 step += 8
-            following[active[~smaller], place] = at[~smaller]
-            active, at = active[smaller], at[smaller]
-            at = following[active, at]
-    return following
+            following[place, active] = at  # the last one written is right
+            active, a = active[smaller], a[smaller]
+            at = all_following.take(at[smaller] * rows + active).astype(np.int64)
+            b = all_words.take(at * rows + active)
+    by_string = np.empty((rows, width + 1), np.int32)
+    by_string[order] = following.T
+    return by_string
+
+
+# The first 0 to 8 bytes of a word.
+_FIRST_BYTES = np.array([0] + [(1 << 64) - (1 << 8 * k) for k in range(7, -1, -1)], np.uint64)
 
 
 def groups(strings: Strings, row: np.ndarray, place: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The rank of each suffix's Lyndon prefix (``size`` bytes from ``place``), eight bytes at a time."""
     rank = np.zeros(len(row), np.int64)
     open_ = np.arange(len(row))
+    at = strings.places(row, place)
     step = 0
     while len(open_):
-        left = np.clip(size[open_] - step, 0, 8).astype(np.uint64)
-        word = strings.word(row[open_], place[open_] + step)
-        drop = (np.uint64(8) - left) * np.uint64(8)
-        word = np.where(left > 0, (word >> np.minimum(drop, np.uint64(63))) << np.minimum(drop, np.uint64(63)), 0)
+        left = size[open_] - step
+        word = strings.word(at[open_] + step) & _FIRST_BYTES.take(left, mode="clip")
         order = np.lexsort((word, rank[open_])) if step else np.argsort(word)
-        mine, word = rank[open_][order], word[order]
+        open_, word = open_[order], word[order]
+        mine = rank[open_]
         new_group = np.append(True, mine[1:] != mine[:-1])
         new = new_group | np.append(True, word[1:] != word[:-1])
         # A suffix's rank counts those before its group: ranks of closed groups stay as they are.
         starts = np.flatnonzero(new)
-        first = np.repeat(starts, np.diff(np.append(starts, len(new))))
-        base = np.repeat(np.flatnonzero(new_group), np.diff(np.append(np.flatnonzero(new_group), len(new))))
-        members = np.repeat(np.diff(np.append(starts, len(new))), np.diff(np.append(starts, len(new))))
-        rank[open_[order]] = mine + first - base
+        members = np.diff(starts, append=len(new))
+        base = np.maximum.accumulate(np.where(new_group[starts], starts, 0))
+        rank[open_] = mine + np.repeat(starts - base, members)
         step += 8
-        longer = np.maximum.reduceat(size[open_[order]], starts) > step
-        longer = np.repeat(longer, np.diff(np.append(starts, len(new))))
-        open_ = open_[order][(members > 1) & longer]
+        longer = np.maximum.reduceat(size[open_], starts) > step
+        open_ = open_[np.repeat((members > 1) & longer, members)]
     return rank
 
 
@@ -116,8 +132,8 @@ def suffix_places(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     # A rank is the group's first place, so its members stand there in the order of ranks.
     position = np.append(rank, -1)
     members = np.bincount(rank, minlength=total + 1)
-    by_rank = np.argsort(rank)
-    by_target = np.argsort(target)
+    by_rank = _order(rank)
+    by_target = _order(target)
     pointing = np.bincount(target, minlength=total + 1)
     ends = np.cumsum(pointing)
     begins = ends - pointing
@@ -137,6 +153,11 @@ def suffix_places(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndar
     return row, place, position[:-1], data
 
 
+def _order(values: np.ndarray) -> np.ndarray:
+    """The order of at most 2**25 values of at most 2**25: sorted with their places, they need no gathering."""
+    return np.sort(values << 25 | np.arange(len(values))) & ((1 << 25) - 1)
+
+
 def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """All numbers of all ranges, one range after another."""
     sizes = ends - starts

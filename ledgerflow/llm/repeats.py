@@ -18,6 +18,8 @@ from ledgerflow.llm.lyndon import suffix_places
 LENGTH = 50
 # Bytes of a gram. Every string of ``LENGTH`` bytes is named by the least hash of its grams.
 GRAM = 20
+# Places hashed at once: their arrays stay in a core's cache.
+HASHED = 1 << 15
 # Text of one batch of documents, and bytes of the contexts whose suffixes are sorted together.
 BATCH_BYTES = 8 << 20
 SORT_BYTES = 3 << 19
@@ -31,22 +33,33 @@ HOT_CONTEXTS = 20_000
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the ``GRAM`` (16 to 24) bytes from each place on."""
-    n = len(data) - 7
-    eight = np.empty(n, np.uint64)
-    for r in range(8):
-        part = data[r : r + (n - r + 7) // 8 * 8]
-        eight[r::8] = np.frombuffer(part.tobytes(), np.uint64)
+    eight = np.ndarray((len(data) - 7,), np.uint64, np.ascontiguousarray(data), strides=(1,)).copy()
     last = GRAM - 8
-    mixed = eight[: n - last] * np.uint64(0x9E3779B97F4A7C15)
+    mixed = eight[:-last] * np.uint64(0x9E3779B97F4A7C15)
+    shifted = np.empty_like(mixed)
     for at in dict.fromkeys((8, last)):
-        mixed ^= mixed >> np.uint64(29)
-        mixed += eight[at : n - last + at]
+        mixed ^= np.right_shift(mixed, np.uint64(29), out=shifted)
+        mixed += eight[at : len(mixed) + at]
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    mixed ^= mixed >> np.uint64(32)
+    mixed ^= np.right_shift(mixed, np.uint64(32), out=shifted)
     mixed *= np.uint64(0x94D049BB133111EB)
     return mixed
 
 
+def _names_of(data: np.ndarray, length: int) -> np.ndarray:
+    """The least hash of the grams of the ``length`` bytes from each place on."""
+    names = np.empty(len(data) - length + 1, np.uint64)
+    for at in range(0, len(names), HASHED):
+        least = _gram_hashes(data[at : at + HASHED + length - 1])
+        have, want = 1, length - GRAM + 1
+        while have < want:
+            step = min(have, want - have)
+            least = np.minimum(least[:-step], least[step:], out=least[: len(least) - step])
+            have += step
+        names[at : at + HASHED] = least
+    return names
+
+
 def named_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of neighbouring strings of one name: name, first place, number of strings, text.
 
@@ -55,22 +68,18 @@ def named_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.n
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none.astype(np.uint64), none, none, none
-    least = _gram_hashes(data)
-    have, want = 1, length - GRAM + 1
-    while have < want:
-        step = min(have, want - have)
-        least = np.minimum(least[:-step], least[step:], out=least[: len(least) - step])
-        have += step
+    least = _names_of(data, length)
     text = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
     valid = text[: len(least)] == text[length - 1 :]
     new = np.empty(len(least), bool)
     new[0] = True
     np.not_equal(least[1:], least[:-1], out=new[1:])
     new[offsets[(offsets > 0) & (offsets < len(least))]] = True
-    first = np.flatnonzero(new & valid)
     # A text's strings are neighbours; what follows its last one is not valid.
-    edges = np.append(np.flatnonzero(new | ~valid), len(least))
-    count = edges[np.searchsorted(edges, first, "right")] - first
+    edges = np.flatnonzero(np.logical_or(new, ~valid, out=new))
+    first = valid[edges]
+    count = np.diff(edges, append=len(least))[first]
+    first = edges[first]
     pieces = -(-count // CONTEXT)
     part = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     first, whole = np.repeat(first, pieces) + part * CONTEXT, np.repeat(count, pieces) - part * CONTEXT
@@ -171,13 +180,15 @@ def least_holders(contexts: list[bytes], least: np.ndarray, length: int) -> list
     ``length`` bytes are one string.
     """
     row, place, position, data = suffix_places(contexts)
-    whole = np.flatnonzero(place + length <= data.lengths[row])
-    order = whole[np.argsort(position[whole])]
-    r, p = row[order], place[order]
+    whole = place + length <= data.lengths[row]
+    order = np.empty(len(row), np.int64)
+    order[position] = np.arange(len(row))
+    order = order[whole[order]]
+    r, at = row[order], data.places(row[order], place[order])
     new = np.zeros(len(order), bool)
     new[0] = True
     for step in range(0, length, 8):
-        word = data.word(r, p + step)
+        word = data.word(at + step)
         if (spare := step + 8 - length) > 0:
             word = word >> np.uint64(8 * spare)
         new[1:] |= word[1:] != word[:-1]

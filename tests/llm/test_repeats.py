@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 
+from ledgerflow.llm import repeats
 from ledgerflow.llm.catalog import QUERIES
 from ledgerflow.llm.common import table
 from ledgerflow.llm.lyndon import Strings, groups, next_smaller, suffix_places
@@ -102,3 +103,33 @@ def test_lyndon_prefixes():
     prefixes = [strings[r][p : p + n] for r, p, n in zip(row, place, size)]
     ranks = groups(data, row, place, size)
     assert [sum(x < y for x in prefixes) for y in prefixes] == ranks.tolist()
+
+
+def test_names_are_found_block_by_block(monkeypatch):
+    rng = random.Random(3)
+    texts = [bytes(rng.choice(b"abc") for _ in range(n)) for n in (0, 49, 50, 51, 400, 0, 7, 1)] + [b"=" * 300]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])
+    hashes = repeats._gram_hashes
+    wanted = []
+    for number, begin in enumerate(offsets[:-1].tolist()):
+        for first in range(begin, offsets[number + 1] - 49):
+            name = min(int(hashes(data[at : at + repeats.GRAM])[0]) for at in range(first, first + 50 - repeats.GRAM + 1))
+            if wanted and wanted[-1][0] == name and wanted[-1][3] == number and wanted[-1][2] < repeats.CONTEXT:
+                wanted[-1][2] += 1
+            else:
+                wanted.append([name, first, 1, number])
+    for block in (1, 7, 64, 1 << 15):
+        sizes = []
+        monkeypatch.setattr(repeats, "HASHED", block)
+        monkeypatch.setattr(repeats, "_gram_hashes", lambda part: (sizes.append(len(part)), hashes(part))[1])
+        found = repeats.named_runs(data, offsets, 50)
+        assert [list(r) for r in zip(*(x.tolist() for x in found))] == wanted
+        assert max(sizes) <= block + 49  # whatever the text's length
+
+
+def test_next_smaller_of_strings_of_any_length():
+    rng = random.Random(4)
+    strings = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(0, 60))) for _ in range(40)] + [b"a" * 70, b"ba" * 30]
+    following = next_smaller(Strings(strings))
+    for r, s in enumerate(strings):
+        assert following[r, : len(s)].tolist() == [min(q for q in range(p + 1, len(s) + 1) if s[q:] < s[p:]) for p in range(len(s))]
