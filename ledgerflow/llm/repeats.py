@@ -86,6 +86,19 @@ def named_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.n
     return least[first], first, np.minimum(whole, CONTEXT), text[first]
 
 
+def _by_name(name: np.ndarray, owner: np.ndarray, batch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of these names and rows ordered by name, batch and row: name, row, batch; ``batch`` is that of each row."""
+    rows = np.argsort(batch, kind="stable")
+    place = np.empty(len(rows), np.int64)
+    place[rows] = np.arange(len(rows))
+    order = np.argsort(name)
+    name = name[order]
+    group = np.cumsum(np.append(False, name[1:] != name[:-1])[: len(name)])
+    # Within a name only the rows are sorted, and a number says all of a run.
+    owner = rows[np.sort(group * len(rows) + place[owner[order]]) % max(len(rows), 1)]
+    return name, owner, batch[owner]
+
+
 def _sorted_rows(docs: pa.Table) -> pa.RecordBatch | None:
     docs = docs.combine_chunks()
     order = sorted(
@@ -148,16 +161,22 @@ def _names(table: pa.Table, column: str) -> np.ndarray:
     return np.unique(values.astype(np.int64).view(np.uint64))
 
 
-def holders_of(contexts: list[bytes], least: np.ndarray, length: int) -> list[int | np.ndarray]:
+def _values(column: pa.Array | pa.ChunkedArray) -> list:
+    """The values as Python objects; a column of numbers holds no null."""
+    return (column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)).tolist()
+
+
+def holders_of(contexts: pa.Array, least: np.ndarray, length: int) -> list[int | np.ndarray]:
     """For each context the least key that holds its strings: one for all, or one for each.
 
     Strings of one name are in contexts of that name only. A context alone
     under its name is like no other; where a name has several, their suffixes
     are sorted.
     """
-    data, offsets = text_bytes(pa.array(contexts, pa.binary()))
-    name, _, _, text = named_runs(data, offsets, length)
-    name = name[np.searchsorted(text, np.arange(len(contexts)))]
+    data, offsets = text_bytes(contexts)
+    # The strings of a context have one least gram, which is that of the whole.
+    grams = np.append(_names_of(data, GRAM), np.uint64(0))
+    name = np.minimum.reduceat(grams, np.column_stack([offsets[:-1], offsets[1:] - GRAM + 1]).ravel())[::2]
     _, number, times = np.unique(name, return_inverse=True, return_counts=True)
     found: list[int | np.ndarray] = least.tolist()
     several = np.flatnonzero(times[number] > 1)
@@ -167,7 +186,7 @@ def holders_of(contexts: list[bytes], least: np.ndarray, length: int) -> list[in
     while begin < len(several):
         end = np.append(cuts[cuts >= begin + SORTED_CONTEXTS], len(several))[0]
         own = several[begin:end]
-        for i, holders in zip(own.tolist(), least_holders([contexts[i] for i in own.tolist()], least[own], length)):
+        for i, holders in zip(own.tolist(), least_holders(_values(contexts.take(pa.array(own))), least[own], length)):
             found[i] = holders
         begin = end
     return found
@@ -256,9 +275,7 @@ def without_repeats(
         for shard in shards(parts, "body", 2 << 20):
             data, offsets = text_bytes(shard.column("body"))
             name, _, _, owner = named_runs(data, offsets, length)
-            batch = shard.column("batch").to_numpy()[owner]
-            order = np.lexsort((owner, batch, name))
-            name, batch, owner = name[order], batch[order], owner[order]
+            name, owner, batch = _by_name(name, owner, shard.column("batch").to_numpy())
             new_pair = np.append(True, (name[1:] != name[:-1]) | (batch[1:] != batch[:-1]))[: len(name)]
             new_doc = new_pair | np.append(True, owner[1:] != owner[:-1])[: len(name)]
             starts = np.flatnonzero(new_pair)
@@ -315,13 +332,12 @@ def without_repeats(
     answer_schema = schema(("batch", "int"), ("number", "int"), ("holders", "binary"))
 
     def solve(part: pa.Table) -> pa.Table:
-        given = part["context"].to_pylist()
+        given = part["context"].combine_chunks().dictionary_encode()
         own = part["least"].to_numpy()
-        number: dict[bytes, int] = {}
-        which = np.array([number.setdefault(c, len(number)) for c in given], np.int64)
-        least = np.full(len(number), np.iinfo(np.int64).max)
+        which = given.indices.to_numpy()
+        least = np.full(len(given.dictionary), np.iinfo(np.int64).max)
         np.minimum.at(least, which, own)
-        holders = holders_of(list(number), least, length)
+        holders = holders_of(given.dictionary, least, length)
         # A batch knows its own least key: what is no smaller need not be told.
         packed = [h.tobytes() if isinstance(h, np.ndarray) else h.to_bytes(8, "little", signed=True) for h in holders]
         smallest = np.array([h.min() if isinstance(h, np.ndarray) else h for h in holders], np.int64)
@@ -360,10 +376,10 @@ def without_repeats(
         columns: dict[str, list] = {c: [] for c in out.names}
         if batch is not None:
             own = Contexts(batch, _names(info, "names"), _names(info, "hot"), length)
+            given = info.filter(pc.is_valid(info["number"]))
             holders = {
                 n: np.frombuffer(h, np.int64) if len(h) > 8 else int.from_bytes(h, "little", signed=True)
-                for n, h in zip(info["number"].to_pylist(), info["holders"].to_pylist())
-                if n is not None
+                for n, h in zip(_values(given["number"]), _values(given["holders"]))
             }
             bodies = batch.column("body").to_pylist()
             columns["key"] = batch.column("key").to_pylist()

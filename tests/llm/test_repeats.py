@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from ledgerflow.llm import repeats
 from ledgerflow.llm.catalog import QUERIES
@@ -133,3 +134,27 @@ def test_next_smaller_of_strings_of_any_length():
     following = next_smaller(Strings(strings))
     for r, s in enumerate(strings):
         assert following[r, : len(s)].tolist() == [min(q for q in range(p + 1, len(s) + 1) if s[q:] < s[p:]) for p in range(len(s))]
+
+
+def test_runs_come_by_name_batch_and_row():
+    rng = np.random.default_rng(6)
+    name, owner = rng.integers(0, 40, 500).astype(np.uint64) << np.uint64(58), rng.integers(0, 30, 500)
+    batch = rng.integers(0, 4, 30).astype(np.int32)
+    order = np.lexsort((owner, batch[owner], name))
+    found = repeats._by_name(name, owner, batch)
+    assert all((a == b[order]).all() for a, b in zip(found, (name, owner, batch[owner])))
+    assert [len(x) for x in repeats._by_name(name[:0], owner[:0], batch)] == [0, 0, 0]
+
+
+def test_each_string_of_a_context_gets_its_least_key():
+    # Two contexts of one name, a third that holds strings of both, one of another name.
+    gram, rng = b"", random.Random(9)
+    while not gram or repeats._gram_hashes(np.frombuffer(gram, np.uint8))[0] > 1 << 56:
+        gram = bytes(rng.randrange(97, 123) for _ in range(repeats.GRAM))
+    one, two = b"0" * 31 + gram + b"1" * 31, b"2" * 31 + gram + b"3" * 31
+    contexts = [one, two, b"0" * 30 + gram + b"1" * 10, b"4" * 60]
+    found = repeats.holders_of(pa.array(contexts, pa.binary()), np.array([5, 6, 2, 9]), 50)
+    for context, holders in zip(contexts, found):
+        places = range(len(context) - 49)
+        wanted = [min(k for c, k in zip(contexts, (5, 6, 2, 9)) if context[p : p + 50] in c) for p in places]
+        assert np.broadcast_to(holders, len(wanted)).tolist() == wanted
