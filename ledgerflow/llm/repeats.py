@@ -23,6 +23,8 @@ HASHED = 1 << 15
 # Text of one batch of documents, and bytes of the contexts whose suffixes are sorted together.
 BATCH_BYTES = 8 << 20
 SORT_BYTES = 3 << 19
+# Contexts copied from a text at once.
+GATHERED = 1 << 12
 # Strings that one context joins at most.
 CONTEXT = 64
 # Contexts, of whole names, whose suffixes are sorted at once.
@@ -100,11 +102,9 @@ def _by_name(name: np.ndarray, owner: np.ndarray, batch: np.ndarray) -> tuple[np
 
 
 def _sorted_rows(docs: pa.Table) -> pa.RecordBatch | None:
-    docs = docs.combine_chunks()
-    order = sorted(
-        range(docs.num_rows), key=lambda i, k=docs["id"].to_pylist(): (k[i] is None, k[i] or 0)
-    )
-    docs = docs.take(pa.array(order, pa.int64())).combine_chunks()
+    """The rows by key and text, so that every step numbers the contexts alike; rows without key are last."""
+    order = pc.sort_indices(docs, sort_keys=[("id", "ascending"), ("body", "ascending")])
+    docs = docs.take(order).combine_chunks()
     return docs.to_batches()[0] if docs.num_rows else None
 
 
@@ -115,39 +115,47 @@ class Contexts:
     """
 
     def __init__(self, docs: pa.RecordBatch, shared: np.ndarray, hot: np.ndarray, length: int):
-        self.number: dict[bytes, int] = {}
-        self.least: list[int] = []
-        self.name: list[int] = []
-        #: For each row of ``docs``: (place, strings, context) of its runs.
-        self.runs: list[list[tuple[int, int, int]]] = [[] for _ in range(docs.num_rows)]
-        ids = docs.column("id").to_pylist()
-        row = 0
+        keyed = docs.column("id").is_valid().to_numpy(zero_copy_only=False)
+        #: The key of each row of ``docs`` (0 for none, such a row has no run).
+        self.ids = pc.fill_null(docs.column("id"), 0).to_numpy()
+        pieces, runs, begin = [pa.array([], pa.binary())], [], 0
         for shard in shards(iter([docs]), "body"):
             data, offsets = text_bytes(shard.column("body"))
             name, first, count, text = named_runs(data, offsets, length)
-            known = _among(name, shared)
+            known = _among(name, shared) & keyed[begin + text]
             name, first, count, text = name[known], first[known], count[known], text[known]
-            if len(hot) and (single := _among(name, hot)).any():
+            single = _among(name, hot)
+            if single.any():
                 times = np.where(single, count, 1)
                 step = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
                 first = np.repeat(first, times) + step
                 name, text = np.repeat(name, times), np.repeat(text, times)
                 count = np.repeat(np.where(single, 1, count), times)
                 single = np.repeat(single, times)
-            else:
-                single = np.zeros(len(name), bool)
-            raw, begins = data.tobytes(), offsets[text]
-            for n, at, c, t, begin, alone in zip(*(x.tolist() for x in (name, first, count, text, begins, single))):
-                if ids[row + t] is None:
-                    continue
-                context = raw[at : at + c + length - 1]
-                number = self.number.setdefault(context, len(self.number))
-                if number == len(self.least):
-                    self.least.append(ids[row + t])
-                    # Strings of a hot name are dealt out by what they are.
-                    self.name.append(xxhash.xxh64_intdigest(context) if alone else n)
-                self.runs[row + t].append((at - begin, c, number))
-            row += shard.num_rows
+            for at in range(0, len(first), GATHERED):
+                pieces.append(_slices(data, first[at : at + GATHERED], count[at : at + GATHERED] + length - 1))
+            runs.append((name, single, begin + text, first - offsets[text], count))
+            begin += shard.num_rows
+        name, single, self.row, self.place, self.count = map(np.concatenate, zip(*runs))
+        coded = pa.concat_arrays(pieces).dictionary_encode()
+        #: The distinct contexts, and the number of that of each run; a run has a row of ``docs``, place and strings.
+        self.contexts, self.number = coded.dictionary, coded.indices.to_numpy()
+        self.least = np.full(len(self.contexts), np.iinfo(np.int64).max)
+        np.minimum.at(self.least, self.number, self.ids[self.row])
+        self.name = np.empty(len(self.contexts), np.uint64)
+        self.name[self.number] = name
+        # Strings of a hot name are dealt out by what they are.
+        alone = np.unique(self.number[single])
+        strings = _values(self.contexts.take(pa.array(alone)))
+        self.name[alone] = np.array([xxhash.xxh64_intdigest(c) for c in strings], np.uint64)
+
+
+def _slices(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The bytes from these places on, as values."""
+    ends = np.cumsum(sizes)
+    body = data[np.arange(ends[-1]) + np.repeat(first - ends + sizes, sizes)]
+    offsets = np.append(0, ends).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
 
 
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -313,14 +321,14 @@ def without_repeats(
         if batch is None or not names.num_rows:
             return pa.Table.from_batches([record(context_schema, {c: [] for c in context_schema.names})])
         own = Contexts(batch, _names(names, "names"), _names(names, "hot"), length)
-        name = np.array(own.name, np.uint64)
+        name = own.name
         return pa.Table.from_batches(
             [
                 record(
                     context_schema,
                     {
                         "bucket": ((name ^ (name >> np.uint64(32))) % np.uint64(buckets)).astype(np.int32),
-                        "context": list(own.number),
+                        "context": own.contexts,
                         "least": own.least,
                         "batch": np.full(len(name), docs_["batch"][0].as_py(), np.int32),
                         "number": np.arange(len(name), dtype=np.int32),
@@ -377,15 +385,10 @@ def without_repeats(
         if batch is not None:
             own = Contexts(batch, _names(info, "names"), _names(info, "hot"), length)
             given = info.filter(pc.is_valid(info["number"]))
-            holders = {
-                n: np.frombuffer(h, np.int64) if len(h) > 8 else int.from_bytes(h, "little", signed=True)
-                for n, h in zip(_values(given["number"]), _values(given["holders"]))
-            }
             bodies = batch.column("body").to_pylist()
             columns["key"] = batch.column("key").to_pylist()
-            for id_, value, found in zip(batch.column("id").to_pylist(), bodies, own.runs):
+            for value, spans in zip(bodies, _spans(own, given["number"], given["holders"], batch.num_rows, length)):
                 raw = value.encode()
-                spans = _spans(id_, found, own.least, holders, length)
                 columns["n_bytes"].append(len(raw))
                 columns["span_starts"].append([a for a, _ in spans])
                 columns["span_ends"].append([b for _, b in spans])
@@ -398,24 +401,32 @@ def without_repeats(
 
 
 def _spans(
-    id_: int | None, runs: list[tuple[int, int, int]], least: list[int], holders: dict[int, int | np.ndarray], length: int
-) -> list[tuple[int, int]]:
-    """The maximal removed ranges of one document."""
-    spans: list[tuple[int, int]] = []
-
-    def add(start: int, end: int) -> None:
+    own: Contexts, number: pa.ChunkedArray, holders: pa.ChunkedArray, rows: int, length: int
+) -> list[list[tuple[int, int]]]:
+    """The maximal removed ranges of each row, given what holds the strings of the contexts of these numbers."""
+    found: list[list[tuple[int, int]]] = [[] for _ in range(rows)]
+    one = pc.equal(pc.binary_length(holders), 8)
+    holder = own.least.copy()
+    told, _ = text_bytes(holders.filter(one).combine_chunks())
+    holder[number.filter(one).to_numpy()] = np.frombuffer(told.tobytes(), np.int64)
+    each = pc.invert(one)
+    apart = {n: np.frombuffer(h, np.int64) for n, h in zip(_values(number.filter(each)), _values(holders.filter(each)))}
+    mixed = np.zeros(len(holder), bool)
+    mixed[list(apart)] = True
+
+    def add(spans: list[tuple[int, int]], start: int, end: int) -> None:
         if spans and start <= spans[-1][1]:
             spans[-1] = (spans[-1][0], max(end, spans[-1][1]))
         else:
             spans.append((start, end))
 
-    for at, count, number in runs:
-        own = holders.get(number, least[number])
-        if not isinstance(own, np.ndarray):
-            if own < id_:
-                add(at, at + count + length - 1)
+    key = own.ids[own.row]
+    runs = np.flatnonzero(mixed[own.number] | (holder[own.number] < key))
+    for row, at, count, n, id_ in zip(*(x[runs].tolist() for x in (own.row, own.place, own.count, own.number, key))):
+        if n not in apart:
+            add(found[row], at, at + count + length - 1)
             continue
-        smaller = np.flatnonzero(np.diff(np.concatenate(([0], (own < id_).view(np.int8), [0]))))
+        smaller = np.flatnonzero(np.diff(np.concatenate(([0], (apart[n] < id_).view(np.int8), [0]))))
         for a, b in zip(smaller[::2].tolist(), smaller[1::2].tolist()):
-            add(at + a, at + b + length - 1)
-    return spans
+            add(found[row], at + a, at + b + length - 1)
+    return found

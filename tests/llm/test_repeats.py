@@ -158,3 +158,11 @@ def test_each_string_of_a_context_gets_its_least_key():
         places = range(len(context) - 49)
         wanted = [min(k for c, k in zip(contexts, (5, 6, 2, 9)) if context[p : p + 50] in c) for p in places]
         assert np.broadcast_to(holders, len(wanted)).tolist() == wanted
+
+
+def test_rows_of_one_key_come_in_one_order_however_they_arrive():
+    rows = [(4, "b"), (None, "d"), (4, "a"), (2, "z"), (None, "c"), (4, "c")]
+    for turn in range(6):
+        ids, bodies = zip(*(rows[turn:] + rows[:turn]))
+        docs = repeats._sorted_rows(pa.table({"id": pa.array(ids, pa.int64()), "body": list(bodies)}))
+        assert docs.column("body").to_pylist() == ["z", "a", "b", "c", "c", "d"]
